@@ -129,6 +129,10 @@ def fact_web_lookup(activity: DataFrame, geo: DataFrame, device: DataFrame, cust
     )
 
 
+def sales_rows(lines: DataFrame, company: DataFrame, customer: DataFrame, product: DataFrame, now: datetime) -> DataFrame:
+    return fact_sales_lookup(lines, company, customer, product).withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
+
+
 def lead_rows(silver: DataFrame, batch_id: int) -> DataFrame:
     return for_batch(silver, batch_id).select(
         F.col("lead_id").alias("source_lead_id"),
@@ -144,7 +148,7 @@ def sales_actions(
     update_cols: tuple[str, ...] = SALES_UPDATES, updates_rows: int | None = None,
 ) -> DataFrame:
     """Without `unit_price` in `update_cols` (the default) a changed price shows in the amount only."""
-    rows = fact_sales_lookup(silver, company, customer, product).withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
+    rows = sales_rows(silver, company, customer, product, now)
     return merged(target, rows, ["source_order_item_id"], update_cols, updates_rows=updates_rows)
 
 

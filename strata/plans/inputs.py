@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import conform, quality, star
 from strata.plans import fixtures
-from strata.session import materialize, scratch_path
+from strata.session import empty_frame, materialize, scratch_path
 
 LINES_PER_FILE = {"leads_csv": 500, "weblog_lines": 2500}
 
@@ -53,7 +53,7 @@ class Inputs:
         return conform.stamp_batch(self.earlier(table), 1)
 
     def empty(self, table: str) -> DataFrame:
-        return self.spark.createDataFrame([], schemas.GOLD[table])
+        return empty_frame(self.spark, schemas.GOLD[table])
 
     # Conformed rows of the raw tables.
 

@@ -149,7 +149,7 @@ FROM device_logins ORDER BY rank_no LIMIT 5""",
     # Load history.
     "layer_now": """SELECT pipeline_name, layer_name,
   arg_max(last_watermark, seq) FILTER (WHERE last_watermark IS NOT NULL) AS last_watermark, arg_max(batch_id, seq) AS last_batch_id,
-  arg_max(status, seq) AS status, max(CASE WHEN seq >= 0 THEN event_time END) AS updated_at
+  arg_max(status, seq) AS status, arg_max(event_time, seq) AS updated_at
 FROM (SELECT seq, pipeline_name, layer_name, last_watermark, batch_id, status, event_time FROM log_layer_events
   UNION ALL SELECT DISTINCT -1, pipeline_name, layer, CAST(NULL AS TIMESTAMP), 0, 'PENDING', CAST(NULL AS TIMESTAMP) FROM log_layer_events,
     (VALUES ('bronze_ingestion_layer'), ('silver_cleansing_layer'), ('gold_star_schema_layer')) l(layer)) e

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DataType,
     DateType,
@@ -109,3 +110,6 @@ AUDIT = {
         seq=_long, pipeline_name=_text, layer_name=_text, last_watermark=_time, batch_id=_long, status=_text, event_time=_time
     ),
 }
+
+# One row per published version of a merged table: which data directories it consists of.
+VERSIONS = _schema(version=_long, published_at=_time, entries=ArrayType(_schema(data_version=_long, part=_long)))

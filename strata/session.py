@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A side of a join is broadcast only after counting that it has at most this many (narrow) rows.
 BROADCAST_ROWS = 500_000
@@ -60,3 +61,14 @@ def materialize(df: DataFrame, label: str = "held") -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when counting shows at most `rows` rows; otherwise the join shuffles. Counts, so pass something cheap."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of `schema`, known to be none when a plan is optimized, so that joins with it disappear."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).filter(F.lit(False)).select(*nothing)
+
+
+def one_row(spark: SparkSession, schema: StructType, **values) -> DataFrame:
+    """A single row from literals; columns not given are NULL."""
+    return spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])

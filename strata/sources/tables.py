@@ -9,60 +9,75 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_ENTRIES = "version LONG, data_version LONG, part LONG, published_at TIMESTAMP_NTZ"
+from strata.schemas import VERSIONS
+from strata.session import empty_frame, one_row
+
 PART = "_part"
 WHOLE = 0  # the part of a table that is not split
 
 
-def month_part(date_key: str = "date_key") -> Column:
+def read_or_create(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at `path`, which is made, without rows, if nothing is there."""
+    empty_frame(spark, schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def month_part() -> Column:
     """Part of a fact: its month as yyyymm, 0 without a date."""
-    return F.coalesce(F.floor(F.col(date_key) / 100), F.lit(0)).cast("bigint")
+    return F.coalesce(F.expr("date_key div 100"), F.lit(0)).cast("bigint")
 
 
-def _entries(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
-    """(version, data version, part) of the current version: one row per part, a few hundred months at most."""
-    try:
-        log = spark.read.schema(_ENTRIES).parquet(f"{path}/_versions")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    current = log.agg(F.max("version").alias("version"))
-    rows = log.join(F.broadcast(current), "version").select("version", "data_version", "part").distinct().collect()
-    return [(r.version, r.data_version, r.part) for r in rows]
+def _current(spark: SparkSession, path: str) -> tuple[int, list[tuple[int, int]]]:
+    """The current version and its (data version, part) entries: one row, with at most a few hundred months in it."""
+    log = read_or_create(spark, f"{path}/_versions", VERSIONS)
+    row = log.agg(F.max("version").alias("version"), F.max_by("entries", "version").alias("entries")).first()
+    return (0, []) if row.version is None else (row.version, [tuple(e) for e in row.entries])
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType, parts: list[int] | None = None) -> DataFrame:
     """The current version (or only some of its parts); no rows before the first."""
-    listed = [(v, p) for _, v, p in _entries(spark, path) if p >= 0 and (parts is None or p in parts)]
+    listed = [(v, p) for v, p in _current(spark, path)[1] if parts is None or p in parts]
     if not listed:
-        return spark.createDataFrame([], schema)
-    files = [f"{path}/data_version={v}/{PART}={p}" for v, p in sorted(listed)]
+        return empty_frame(spark, schema)
+    files = [f"{_data_path(path, v)}/{PART}={p}" for v, p in sorted(listed)]
     return spark.read.schema(schema).option("basePath", path).parquet(*files).select(*schema.names)
 
 
+def _data_path(path: str, version: int) -> str:
+    return f"{path}/data_version={version}"
+
+
+def read_data(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:
+    """What was written for one version, without the parts it took over. Data may hold more columns than the table's schema."""
+    return spark.read.schema(schema).parquet(_data_path(path, version))
+
+
 def publish(
     spark: SparkSession, path: str, df: DataFrame, now: datetime, part: Column | None = None, replaces: list[int] | None = None
 ) -> int:
     """Write `df` as data of a new version and make that current. `replaces` are the old parts it stands for: all of them when None,
     none of them ([]) when `df` only adds rows. Returns the version."""
-    entries = _entries(spark, path)
-    version = max((e[0] for e in entries), default=0) + 1
-    data = f"{path}/data_version={version}"
-    parted = df.withColumn(PART, F.lit(WHOLE).cast("bigint") if part is None else part)
+    current, entries = _current(spark, path)
+    version = current + 1
+    data = _data_path(path, version)
+    if part is None:
+        parted = df.withColumn(PART, F.lit(WHOLE).cast("bigint"))
+    else:
+        # Rows of a part come together, so parts are few files each; adaptive execution splits a part that is too large for one task.
+        parted = df.withColumn(PART, part).hint("rebalance", PART)
     parted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(data)
     # Reads no data columns, only which part directories there are.
-    written = spark.read.schema(f"{PART} LONG").parquet(data).select(PART).distinct().collect()
-    kept = [] if replaces is None else [(v, p) for _, v, p in entries if p >= 0 and p not in replaces]
-    listed = kept + [(version, r[0]) for r in written]
-    # A version without rows still has to be current: part -1 stands for nothing.
-    rows = [(version, v, p, now) for v, p in listed] or [(version, version, -1, now)]
-    spark.createDataFrame(rows, _ENTRIES).coalesce(1).write.mode("append").parquet(f"{path}/_versions")
+    written = read_data(spark, path, version, f"{PART} LONG").distinct().collect()
+    kept = [] if replaces is None else [(v, p) for v, p in entries if p not in replaces]
+    listed = [F.struct(F.lit(v), F.lit(p)) for v, p in kept + [(version, r[0]) for r in written]]
+    pointer = one_row(spark, VERSIONS, version=version, published_at=now).withColumn(
+        "entries", F.array(*listed).cast(VERSIONS["entries"].dataType)
+    )
+    pointer.write.mode("append").parquet(f"{path}/_versions")
     return version
 
 
