@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,28 +96,41 @@ def database_sources(spark: SparkSession, url: str, props: dict[str, str], leads
     }
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Run independent writes side by side, so that small tables do not hold up the cluster. Fails when one of them fails."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [started.result() for started in [pool.submit(step) for step in steps]]
+
+
 def load_bronze(w: Warehouse, sources: Sources, batch_id: int, now: datetime) -> None:
-    for table, schema in schemas.BRONZE.items():
+    def copy(table: str) -> None:
         rows = sources[table]()
         if table == "marketing_leads":
             rows = conform.add_lineage(rows, now)
-        aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schema)
+        aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schemas.BRONZE[table])
         files.write_full(aligned, w.path("bronze", table))
 
+    together(*[partial(copy, table) for table in schemas.BRONZE])
+
 
 def load_silver(w: Warehouse, batch_id: int, as_of: date) -> None:
     """Each table is conformed, judged and written once; accepted and rejected rows are then read back."""
-    files.write_full(conform.companies(w.bronze("companies", batch_id)), w.path("silver", "companies"))
-    files.write_full(conform.customers(w.bronze("end_customers", batch_id), as_of), w.path("silver", "customers"))
-    files.write_full(conform.products(w.bronze("products", batch_id)), w.path("silver", "products"))
-
     conformed = {
+        "companies": conform.companies(w.bronze("companies", batch_id)),
+        "customers": conform.customers(w.bronze("end_customers", batch_id), as_of),
+        "products": conform.products(w.bronze("products", batch_id)),
         "sales_order_lines": conform.sales_lines(w.bronze("order_items", batch_id), w.bronze("orders", batch_id)),
         "web_activity": conform.web_activity(w.bronze("weblogs", batch_id)),
         "marketing_leads": conform.lead_types(w.bronze("marketing_leads", batch_id)),
     }
-    for table, rows in conformed.items():
-        files.write_full(quality.with_verdict(rows, REJECTS[table][0]()), w.path("silver", table), "verdict")
+
+    def write(table: str, rows: DataFrame) -> None:
+        if table in REJECTS:
+            files.write_full(quality.with_verdict(rows, REJECTS[table][0]()), w.path("silver", table), "verdict")
+        else:
+            files.write_full(rows, w.path("silver", table))
+
+    together(*[partial(write, table, rows) for table, rows in conformed.items()])
 
     rejects = quality.union_rejects(
         *[quality.quarantine(w.judged(t, quality.BAD), source, reason, batch_id) for t, (_, source, reason) in REJECTS.items()]
@@ -161,30 +175,38 @@ def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_co
 
 def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[str, dict[str, int]]:
     """Dimensions, then facts. Returns the rows of each merge by action."""
-    counts = {}
-
-    def done(m: Merge) -> None:
-        counts[m.table] = publish_merge(w, m, now)
+    web, lines, leads = (w.judged(t, quality.GOOD) for t in ("web_activity", "sales_order_lines", "marketing_leads"))
+
+    def publish_all(merges: dict[str, Callable[[], Merge]]) -> dict[str, dict[str, int]]:
+        done = together(*[lambda build=build: publish_merge(w, build(), now) for build in merges.values()])
+        return dict(zip(merges, done))
+
+    counts = publish_all(
+        {
+            "dim_company": lambda: Merge("dim_company", star.company_actions(w.gold("dim_company"), w.silver("companies"))),
+            "dim_customer": lambda: Merge("dim_customer", star.customer_actions(w.gold("dim_customer"), w.silver("customers"))),
+            "dim_product": lambda: Merge("dim_product", star.product_actions(w.gold("dim_product"), w.silver("products"))),
+            "dim_device": lambda: Merge("dim_device", star.device_actions(w.gold("dim_device"), web)),
+            "dim_geo": lambda: Merge("dim_geo", star.geo_actions(w.gold("dim_geo"), web)),
+            "dim_date": lambda: Merge("dim_date", star.date_actions(w.gold("dim_date"), as_of)),
+        }
+    )
+    company, customer, product = w.gold("dim_company"), w.gold("dim_customer"), w.gold("dim_product")
 
-    web, lines = w.judged("web_activity", quality.GOOD), w.judged("sales_order_lines", quality.GOOD)
-    done(Merge("dim_company", star.company_actions(w.gold("dim_company"), w.silver("companies"))))
-    done(Merge("dim_customer", star.customer_actions(w.gold("dim_customer"), w.silver("customers"))))
-    done(Merge("dim_product", star.product_actions(w.gold("dim_product"), w.silver("products"))))
-    done(Merge("dim_device", star.device_actions(w.gold("dim_device"), web)))
-    done(Merge("dim_geo", star.geo_actions(w.gold("dim_geo"), web)))
-    done(Merge("dim_date", star.date_actions(w.gold("dim_date"), as_of)))
+    def sales() -> Merge:
+        rows = star.sales_rows(lines, company, customer, product, now)
+        return _fact_updates(w, "fact_sales", "source_order_item_id", rows, star.SALES_UPDATES, lines.count())
 
-    company, customer, product = w.gold("dim_company"), w.gold("dim_customer"), w.gold("dim_product")
-    sales = star.sales_rows(lines, company, customer, product, now)
-    done(_fact_updates(w, "fact_sales", "source_order_item_id", sales, star.SALES_UPDATES, lines.count()))
+    def activity() -> Merge:
+        # Known log rows stay as they are, so only new ones are written; the months before are listed again.
+        merged = star.web_actions(w.gold("fact_web_activity"), web, w.gold("dim_geo"), w.gold("dim_device"), customer)
+        return Merge("fact_web_activity", merged.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
 
-    # Known log rows stay as they are, so only new ones are written; the months before are listed again.
-    added = star.web_actions(w.gold("fact_web_activity"), web, w.gold("dim_geo"), w.gold("dim_device"), customer)
-    done(Merge("fact_web_activity", added.filter(F.col("_action") == merge.INSERT), tables.month_part(), []))
+    def scored_leads() -> Merge:
+        rows = star.lead_rows(leads, batch_id)
+        return _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES, rows.count())
 
-    leads = star.lead_rows(w.judged("marketing_leads", quality.GOOD), batch_id)
-    done(_fact_updates(w, "fact_marketing_lead", "source_lead_id", leads, star.LEAD_UPDATES, leads.count()))
-    return counts
+    return counts | publish_all({"fact_sales": sales, "fact_web_activity": activity, "fact_marketing_lead": scored_leads})
 
 
 def refresh_reports(w: Warehouse, as_of: date) -> None:
@@ -196,8 +218,7 @@ def refresh_reports(w: Warehouse, as_of: date) -> None:
         "report_top_products_in_top_country": reports.top_products(web, sales, w.gold("dim_geo"), w.gold("dim_product"), logins),
         "report_monthly_sales_last_year": reports.monthly_sales(sales, w.gold("dim_date"), as_of),
     }
-    for table, rows in results.items():
-        files.write_full(rows, w.path("gold", table))
+    together(*[partial(files.write_full, rows, w.path("gold", table)) for table, rows in results.items()])
     logins.unpersist()
 
 

@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every column costs several calls to the JVM each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
