@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ _NULL_KEY_SALTS = 1024
 
 
 def _has_null(keys: Sequence[str]) -> Column:
-    return F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
 def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Dimensions and facts of the star schema. Every function takes the current table and the conformed rows and returns the merged table.
 
 Joins carry no broadcast hints: dimensions are read from written tables, whose size Spark knows and checks against its broadcast limit;
-beyond it the join shuffles, and adaptive execution splits hot keys. `updates_rows` (a counted number of rows) is passed on to the merge.
+beyond it the join shuffles, and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -20,26 +20,26 @@ SALES_UPDATES = ("quantity", "total_amount", "etl_batch_id", "updated_at")
 LEAD_UPDATES = ("date_key", "company_name", "lead_score", "etl_batch_id")
 
 
-def _dimension(target: DataFrame, rows: DataFrame, natural_key: str, key_col: str, update_cols: list[str], rows_count=None) -> DataFrame:
+def _dimension(target: DataFrame, rows: DataFrame, natural_key: str, key_col: str, update_cols: list[str]) -> DataFrame:
     keyed = assign_keys(target, rows, natural_key, key_col)
-    return merged(target, keyed, [natural_key], update_cols, updates_rows=rows_count)
+    return merged(target, keyed, [natural_key], update_cols)
 
 
-def company_actions(target: DataFrame, silver: DataFrame, updates_rows: int | None = None) -> DataFrame:
+def company_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
     rows = silver.select("source_company_id", "cuit", "company_name", "is_supplier")
-    return _dimension(target, rows, "source_company_id", "company_key", ["cuit", "company_name", "is_supplier"], updates_rows)
+    return _dimension(target, rows, "source_company_id", "company_key", ["cuit", "company_name", "is_supplier"])
 
 
-def customer_actions(target: DataFrame, silver: DataFrame, updates_rows: int | None = None) -> DataFrame:
+def customer_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
     """A known customer keeps the birth date it came with."""
     rows = silver.select("source_customer_id", "document_number", "full_name", "date_of_birth", "age")
-    return _dimension(target, rows, "source_customer_id", "customer_key", ["document_number", "full_name", "age"], updates_rows)
+    return _dimension(target, rows, "source_customer_id", "customer_key", ["document_number", "full_name", "age"])
 
 
-def product_actions(target: DataFrame, silver: DataFrame, updates_rows: int | None = None) -> DataFrame:
+def product_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
     """A known product keeps its supplier."""
     rows = silver.select("source_product_id", "source_supplier_id", "product_name", "default_price")
-    return _dimension(target, rows, "source_product_id", "product_key", ["product_name", "default_price"], updates_rows)
+    return _dimension(target, rows, "source_product_id", "product_key", ["product_name", "default_price"])
 
 
 def distinct_devices(web: DataFrame) -> DataFrame:

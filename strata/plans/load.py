@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata import fixed, schemas
 from strata.operators import conform, merge, quality, star
 from strata.plans import audit, reports
-from strata.session import BROADCAST_ROWS, one_row
+from strata.session import BROADCAST_ROWS, materialize, one_row
 from strata.sources import files, jdbc, tables
 
 Sources = Mapping[str, Callable[[], DataFrame]]
@@ -167,8 +167,10 @@ def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
 
 def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_cols: tuple[str, ...], count: int) -> Merge:
     """A merge into a fact split by month: few updates rewrite only the months they touch, many rewrite all."""
-    part = tables.month_part()
-    touched = tables.touched_parts(w.gold(table).withColumn("_month", part), rows, [key], part) if count <= BROADCAST_ROWS else None
+    part, touched = tables.month_part(), None
+    if count <= BROADCAST_ROWS:
+        rows = materialize(rows, "updates")  # looked up once, used several times
+        touched = tables.touched_parts(w.gold(table), rows, [key], part)
     actions = merge.merged(w.gold(table, touched), rows, [key], update_cols, updates_rows=count)
     return Merge(table, actions, part, touched)
 
@@ -204,7 +206,7 @@ def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[s
 
     def scored_leads() -> Merge:
         rows = star.lead_rows(leads, batch_id)
-        return _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES, rows.count())
+        return _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES, leads.count())
 
     return counts | publish_all({"fact_sales": sales, "fact_web_activity": activity, "fact_marketing_lead": scored_leads})
 

@@ -19,6 +19,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Spark's own check of what it may broadcast: key pairs of a dimension of a few million rows still fit.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Tables split by a few values are written without sorting every task's rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python line of every column costs several calls to the JVM each.

@@ -82,7 +82,7 @@ def publish(
 
 
 def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column) -> list[int]:
-    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. A key does not tell its part, so the table's
-    keys are semi-joined; only the distinct parts, at most one per month, come to the driver."""
-    held = table.join(updates.select(*keys), keys, "left_semi").select(part.alias(PART))
+    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. For updates counted to be few: they are broadcast
+    to the table's keys, because a key does not tell its part. Only the distinct parts, at most one per month, come to the driver."""
+    held = table.join(F.broadcast(updates.select(*keys)), keys, "left_semi").select(part.alias(PART))
     return [r[0] for r in held.union(updates.select(part.alias(PART))).distinct().collect()]
