@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import fixed
+from strata.functions import (
+    age_in_years,
+    city,
+    country,
+    date_key,
+    device_type,
+    mapped_customer,
+    month_start,
+    row_hash,
+    wall_clock,
+    whole_number,
+)
+
+
+def apply(spark, column, values, kind="string"):
+    rows = [(n, v) for n, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"n int, v {kind}")
+    return [r.x for r in df.select("n", column(F.col("v")).alias("x")).orderBy("n").collect()]
+
+
+def test_mapped_customer(spark):
+    names = ["cust12", "custodian", "guest7", None, "cust", "custX cust9", "cust99999999999", "CUST5", "mycust3", "cust007x"]
+    assert apply(spark, mapped_customer, names) == [12, None, None, None, None, 9, None, None, None, 7]
+
+
+def test_device_type(spark):
+    agents = ["x MOBILE y", "iPad; Mobile", "an ipad", "iPhone", None, ""]
+    assert apply(spark, device_type, agents) == ["Mobile", "Mobile", "Tablet", "Desktop", "Desktop", "Desktop"]
+
+
+def test_places_follow_the_hash_and_know_null(spark):
+    ips = [None, "bad_ip_address"] + [f"10.{a}.{b}.1" for a in range(9) for b in range(9)]
+    hashes = apply(spark, F.hash, ips)
+    assert hashes[0] == 42
+    assert apply(spark, country, ips) == [fixed.COUNTRIES[abs(h) % 6] for h in hashes]
+    assert apply(spark, city, ips) == [fixed.CITIES[abs(h) % 6] for h in hashes]
+
+
+def test_whole_number(spark):
+    text = ["7", " 7 ", "7.9", "-7.9", "+3", "", "n/a", None, "1e3", ".5", "5.", "99999999999", "- 7", "0012", "7.9x", "1.2.3"]
+    assert apply(spark, whole_number, text) == [7, 7, 7, -7, 3, None, None, None, None, 0, 5, None, None, 12, None, None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_does_not_depend_on_the_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    text = ["2001-04-01 02:30:00", "2001-02-30 00:00:00", "2001-1-1 00:00:00", "not-a-date", None, "2001-12-24 08:30:59", "2001-12-24T08:30:59"]
+    expected = [datetime(2001, 4, 1, 2, 30), None, None, None, None, datetime(2001, 12, 24, 8, 30, 59), None]
+    assert apply(spark, wall_clock, text) == expected
+
+
+def test_age_counts_completed_years(spark):
+    born = [date(1990, 12, 1), date(1990, 12, 2), date(1990, 11, 30), None, date(1992, 2, 29), date(2001, 12, 1), date(2002, 1, 1)]
+    ages = apply(spark, lambda c: age_in_years(date(2001, 12, 1), c), born, "date")
+    assert ages == [11, 10, 11, None, 9, 0, -1]
+
+
+def test_dates(spark):
+    days = [date(1999, 1, 31), date(2024, 2, 29), None]
+    assert apply(spark, date_key, days, "date") == [19990131, 20240229, None]
+    assert apply(spark, month_start, days, "date") == [date(1999, 1, 1), date(2024, 2, 1), None]
+
+
+def test_row_hash_and_its_null_safe_form(spark):
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a", "", "b")], "x string, y string, z string")
+    plain = [r[0] for r in df.select(row_hash(df.columns)).collect()]
+    safe = [r[0] for r in df.select(row_hash(df.columns, null_safe=True)).collect()]
+    assert plain[0] == plain[1] != plain[2]
+    assert len(set(safe)) == 3
+
+
+def test_date_key_equals_formatting_for_many_days(spark):
+    random.seed(1)
+    days = [date.fromordinal(random.randrange(date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal())) for _ in range(300)]
+    assert apply(spark, date_key, days, "date") == [int(d.strftime("%Y%m%d")) for d in days]

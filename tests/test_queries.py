@@ -1,0 +1,32 @@
+"""Every registered query against its SQL."""
+
+from __future__ import annotations
+
+import pytest
+from compare import difference, duck
+
+from strata.plans.catalog import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query_equals_sql(spark, con, name):
+    assert difference(spark, con, QUERIES[name], ORACLES[name], SF_DIR) is None
+
+
+def test_entry(spark):
+    import __spark_entry__ as contract
+
+    result = contract.entry(spark)
+    assert result.columns[0] == "month_start" and result.count() > 0
+    assert set(contract.oracle_sql()) <= set(contract.queries())
