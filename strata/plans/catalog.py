@@ -366,7 +366,7 @@ def _(i: Inputs):
 
 @_query("J6_sales_product_country", "SELECT * FROM product_country")
 def _(i: Inputs):
-    joined = reports.sales_product_country(i.gold("fact_sales"), i.gold("dim_product"), _home_country(i))
+    joined = reports.sales_product_country(i.gold("fact_sales"), i.gold("dim_product"), reports.held_customers(_home_country(i)))
     return joined.select("source_order_item_id", "product_name", "country", "quantity", "total_amount")
 
 
@@ -402,7 +402,7 @@ def _home_country(i: Inputs) -> DataFrame:
 
 
 def _product_sums(i: Inputs) -> DataFrame:
-    return reports.units_revenue(i.gold("fact_sales"), i.gold("dim_product"), _home_country(i))
+    return reports.units_revenue(i.gold("fact_sales"), i.gold("dim_product"), reports.held_customers(_home_country(i)))
 
 
 @_query("A1_logins_by_device", "SELECT * FROM device_logins")

@@ -15,6 +15,7 @@ from strata.functions import date_key, month_start
 from strata.operators.conform import since
 from strata.operators.numbering import number_rows
 from strata.schemas import REPORT_MONEY
+from strata.session import materialize
 
 
 def web_device(fact_web: DataFrame, dim_device: DataFrame) -> DataFrame:
@@ -61,12 +62,19 @@ def primary_country(by_customer_country: DataFrame) -> DataFrame:
     return by_customer_country.groupBy("customer_key").agg(F.min_by("country", order).alias("country"))
 
 
+def held_customers(customer_country: DataFrame) -> DataFrame:
+    """Customers and countries as a written table. Sales join it on the customer: Spark then knows its size, and where it is too large to
+    broadcast both sides are plain shuffles, the form in which adaptive execution can split a hot customer's sales."""
+    return materialize(customer_country, "customers")
+
+
 def in_top_country(primary: DataFrame, top: DataFrame) -> DataFrame:
     """Customers at home in the top country: an equality join with one row instead of a cross join and filter."""
     return primary.join(F.broadcast(top.select("country")), "country").select("customer_key", "country")
 
 
 def sales_product_country(fact_sales: DataFrame, dim_product: DataFrame, customer_country: DataFrame) -> DataFrame:
+    """`customer_country` should be held (see above)."""
     return fact_sales.join(customer_country, "customer_key").join(dim_product.select("product_key", "product_name"), "product_key")
 
 
@@ -120,7 +128,7 @@ def top_products(
     if logins is None:
         logins = customer_country_logins(fact_web, dim_geo)
     top = top_country(logins_by_country(logins))
-    customers = in_top_country(primary_country(logins_by_customer_country(logins)), top)
+    customers = held_customers(in_top_country(primary_country(logins_by_customer_country(logins)), top))
     return rank_all(units_revenue(fact_sales, dim_product, customers), "total_units_sold", "product_name")
 
 

@@ -9,7 +9,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -38,9 +38,8 @@ def rows(names, data) -> Counter:
     return Counter(tuple(_tagged(r[k]) for k in order) for r in data)
 
 
-def difference(spark: SparkSession, con, query, sql: str, sf_dir: str) -> str | None:
+def difference(df: DataFrame, con, sql: str) -> str | None:
     """None when equal, else a short description."""
-    df = query(spark, sf_dir)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -71,7 +70,7 @@ if __name__ == "__main__":
         start = time.time()
         try:
             if name in oracles:
-                result = difference(spark, con, query, oracles[name], sf)
+                result = difference(query(spark, sf), con, oracles[name])
             else:
                 result = f"no SQL; {query(spark, sf).count()} rows"
         except Exception as problem:  # noqa: BLE001
