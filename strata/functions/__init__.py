@@ -4,6 +4,7 @@ from strata.functions.columns import (
     country,
     date_key,
     device_type,
+    fixed_time,
     mapped_customer,
     month_start,
     row_hash,
@@ -17,6 +18,7 @@ __all__ = [
     "country",
     "date_key",
     "device_type",
+    "fixed_time",
     "mapped_customer",
     "month_start",
     "row_hash",

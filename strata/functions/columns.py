@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +57,11 @@ def whole_number(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s*([+-]?)(\d*)\.\d*\s*$", "$10$2").try_cast("int")
 
 
+def fixed_time(when: datetime) -> Column:
+    """A zone-free timestamp literal. Made from text: a plain literal would be read in one zone and written in another."""
+    return F.lit(str(when)).cast("timestamp_ntz")
+
+
 def wall_clock(text: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss` text as a zone-free timestamp; NULL for any other text or an impossible time."""
     shaped = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")

@@ -14,6 +14,7 @@ from strata.functions import (
     city,
     country,
     device_type,
+    fixed_time,
     mapped_customer,
     row_hash,
     wall_clock,
@@ -43,7 +44,7 @@ def add_lineage(df: DataFrame, now: datetime, source_file: str = fixed.LEADS_ORI
         with_line_numbers(df)
         .withColumn("source_file", F.lit(source_file))
         .withColumn("row_hash", row_hash(df.columns, null_safe))
-        .withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
+        .withColumn("ingested_at", fixed_time(now))
         .withColumn("is_processed", F.lit(False))
     )
 

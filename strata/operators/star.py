@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import date_key
+from strata.functions import date_key, fixed_time
 from strata.operators.conform import for_batch
 from strata.operators.merge import assign_keys, merged
 from strata.session import materialize
@@ -130,7 +130,7 @@ def fact_web_lookup(activity: DataFrame, geo: DataFrame, device: DataFrame, cust
 
 
 def sales_rows(lines: DataFrame, company: DataFrame, customer: DataFrame, product: DataFrame, now: datetime) -> DataFrame:
-    return fact_sales_lookup(lines, company, customer, product).withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
+    return fact_sales_lookup(lines, company, customer, product).withColumn("updated_at", fixed_time(now))
 
 
 def lead_rows(silver: DataFrame, batch_id: int) -> DataFrame:

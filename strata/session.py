@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.functions import fixed_time
+
 # A side of a join is broadcast only after counting that it has at most this many (narrow) rows.
 BROADCAST_ROWS = 500_000
 
@@ -27,6 +30,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python line of every column costs several calls to the JVM each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
@@ -77,4 +81,8 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def one_row(spark: SparkSession, schema: StructType, **values) -> DataFrame:
     """A single row from literals; columns not given are NULL."""
-    return spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+
+    def literal(value):
+        return fixed_time(value) if isinstance(value, datetime) else F.lit(value)
+
+    return spark.range(1).select(*[literal(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])

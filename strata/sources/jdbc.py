@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 WRITE_BATCH = 25_000  # rows per insert
+FETCH_ROWS = 10_000  # rows per round trip; many drivers otherwise hold the whole result in memory
+
+# Connection properties for PostgreSQL. Text goes into columns of any type; inserts of a batch are sent as one.
+POSTGRESQL = {"driver": "org.postgresql.Driver", "stringtype": "unspecified", "rewriteBatchedInserts": "true"}
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, props: dict[str, str]) -> DataFrame:
     """A whole table in one query: for small lookup tables. Filters and columns are still pushed to the database."""
-    return spark.read.jdbc(url, table, properties=props)
+    return spark.read.jdbc(url, table, properties=_fetching(props))
+
+
+def _fetching(props: dict[str, str]) -> dict[str, str]:
+    return {"fetchsize": str(FETCH_ROWS), **props}
 
 
 def key_bounds(spark: SparkSession, url: str, table: str, key: str, props: dict[str, str]) -> tuple[int, int] | None:
@@ -26,11 +34,12 @@ def read_jdbc_ranged(spark: SparkSession, url: str, table: str, key: str, n: int
     if bounds is None:
         return read_jdbc(spark, url, table, props)
     low, high = bounds
+    ranges = max(1, min(n, high - low + 1))
     return spark.read.jdbc(
-        url, table, column=key, lowerBound=low, upperBound=high + 1, numPartitions=max(1, min(n, high - low + 1)), properties=props
+        url, table, column=key, lowerBound=low, upperBound=high + 1, numPartitions=ranges, properties=_fetching(props)
     )
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, props: dict[str, str], mode: str = "append") -> None:
     """Bulk insert, one connection per partition."""
-    df.write.option("batchsize", WRITE_BATCH).option("rewriteBatchedInserts", "true").jdbc(url, table, mode=mode, properties=props)
+    df.write.option("batchsize", WRITE_BATCH).jdbc(url, table, mode=mode, properties=props)

@@ -13,6 +13,7 @@ from strata.functions import (
     country,
     date_key,
     device_type,
+    fixed_time,
     mapped_customer,
     month_start,
     row_hash,
@@ -58,6 +59,13 @@ def test_wall_clock_does_not_depend_on_the_zone(spark, conf, zone):
     assert apply(spark, wall_clock, text) == expected
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_fixed_time_does_not_depend_on_the_zone(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    when = datetime(2001, 3, 25, 2, 30, 0, 123456)
+    assert spark.range(1).select(fixed_time(when)).first()[0] == when
+
+
 def test_age_counts_completed_years(spark):
     born = [date(1990, 12, 1), date(1990, 12, 2), date(1990, 11, 30), None, date(1992, 2, 29), date(2001, 12, 1), date(2002, 1, 1)]
     ages = apply(spark, lambda c: age_in_years(date(2001, 12, 1), c), born, "date")

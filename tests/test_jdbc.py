@@ -7,7 +7,8 @@ from unittest.mock import MagicMock
 from strata.plans import load
 from strata.sources import jdbc
 
-PROPS = {"user": "u"}
+PROPS = {"user": "u", **jdbc.POSTGRESQL}
+READ = {"fetchsize": "10000", **PROPS}
 
 
 def session(low, high):
@@ -22,7 +23,7 @@ def test_ranges_follow_the_keys_that_exist():
     (bounds, _), (args, options) = spark.read.jdbc.call_args_list
     assert "MIN(order_id)" in bounds[1] and "MAX(order_id)" in bounds[1]
     assert args == ("jdbc:x", "source.orders")
-    assert options == {"column": "order_id", "lowerBound": 500, "upperBound": 1_500, "numPartitions": 4, "properties": PROPS}
+    assert options == {"column": "order_id", "lowerBound": 500, "upperBound": 1_500, "numPartitions": 4, "properties": READ}
 
 
 def test_no_more_ranges_than_keys_and_none_for_an_empty_table():
@@ -31,13 +32,14 @@ def test_no_more_ranges_than_keys_and_none_for_an_empty_table():
     assert spark.read.jdbc.call_args.kwargs["numPartitions"] == 2
     spark = session(None, None)
     jdbc.read_jdbc_ranged(spark, "jdbc:x", "t", "id", 16, PROPS)
-    assert spark.read.jdbc.call_args.args == ("jdbc:x", "t") and spark.read.jdbc.call_args.kwargs == {"properties": PROPS}
+    assert spark.read.jdbc.call_args.args == ("jdbc:x", "t") and spark.read.jdbc.call_args.kwargs == {"properties": READ}
 
 
 def test_appends_in_large_batches():
     df = MagicMock()
     jdbc.write_jdbc(df, "jdbc:x", "bronze.t", PROPS)
     df.write.option.assert_called_once_with("batchsize", 25_000)
+    df.write.option.return_value.jdbc.assert_called_once_with("jdbc:x", "bronze.t", mode="append", properties=PROPS)
 
 
 def test_database_sources_read_large_tables_in_ranges(tmp_path):
