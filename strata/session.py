@@ -30,7 +30,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python line of every column costs several calls to the JVM each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.parquet.compression.codec": "zstd",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
