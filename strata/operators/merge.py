@@ -57,6 +57,11 @@ def not_yet_present(updates: DataFrame, target: DataFrame, keys: Sequence[str])
     return updates.join(target.select(*keys), list(keys), "left_anti").select(*updates.columns)
 
 
+def _held_keys(target: DataFrame, few: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's keys, cut to those of a few updates before anything is shuffled."""
+    return target.select(*keys).join(F.broadcast(few.select(*keys)), list(keys), "left_semi")
+
+
 def _absent(fresh: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`not_yet_present` for rows that carry `_salt`, on the partitioning they already have."""
     known = target.select(*keys, F.when(_has_null(keys), 1).otherwise(0).alias("_salt"))
@@ -84,11 +89,13 @@ def merged(
     updates = updates.select(*[c for c in target.columns if c in updates.columns])
     fresh = _unique(updates, keys, on_duplicate, first_by)
 
+    few = updates_rows is not None and updates_rows <= BROADCAST_ROWS
+
     if not update_cols:
-        inserts = _absent(fresh, target, keys).withColumn("_action", F.lit(INSERT))
+        inserts = _absent(fresh, _held_keys(target, fresh, keys) if few else target, keys).withColumn("_action", F.lit(INSERT))
         return target.withColumn("_action", F.lit(KEEP)).unionByName(inserts, allowMissingColumns=True)
 
-    if updates_rows is not None and updates_rows <= BROADCAST_ROWS:
+    if few:
         return _merged_small(target, fresh.drop("_salt"), keys, update_cols)
 
     # One shuffle of each side. The flags, not the values, tell what matched, so that a new NULL overwrites an old value.
@@ -116,8 +123,7 @@ def _merged_small(target: DataFrame, fresh: DataFrame, keys: list[str], update_c
         F.when(new, F.col(f"_u.{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c) for c in target.columns
     ]
     kept = joined.select(*columns, F.when(new, UPDATE).otherwise(KEEP).alias("_action"))
-    known = target.select(*keys).join(F.broadcast(fresh.select(*keys)), keys, "left_semi")
-    inserts = not_yet_present(fresh, known, keys).withColumn("_action", F.lit(INSERT))
+    inserts = not_yet_present(fresh, _held_keys(target, fresh, keys), keys).withColumn("_action", F.lit(INSERT))
     return kept.unionByName(inserts, allowMissingColumns=True)
 
 

@@ -108,6 +108,15 @@ def _(i: Inputs):
     return kept.groupBy("batch_id", "source_name", "error_reason").agg(F.count("*").alias("records"))
 
 
+@_query("S10_schema_probe", "SELECT *, CAST(3 AS BIGINT) AS batch_id FROM src_orders")
+def _(i: Inputs):
+    """The raw orders brought to the schema of a table that is already there."""
+    path = scratch_path(i.spark, "probed")
+    files.write_full(i.bronze_earlier("orders"), path)
+    unordered = i.bronze("orders", 3).select(*[F.col(c).cast("string").alias(c.upper()) for c in reversed(schemas.BRONZE["orders"].names)])
+    return conform.align_schema(unordered, files.table_schema(i.spark, path))
+
+
 @_query(
     "S11_report_read",
     """SELECT * FROM (SELECT 'devices' AS report, rank_no AS position, device_type AS label, total_logins AS amount FROM best_devices)

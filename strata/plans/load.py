@@ -201,8 +201,11 @@ def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[s
 
     def activity() -> Merge:
         # Known log rows stay as they are, so only new ones are written; the months before are listed again.
-        merged = star.web_actions(w.gold("fact_web_activity"), web, w.gold("dim_geo"), w.gold("dim_device"), customer)
-        return Merge("fact_web_activity", merged.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
+        rows, count = star.fact_web_lookup(web, w.gold("dim_geo"), w.gold("dim_device"), customer), web.count()
+        if count <= BROADCAST_ROWS:
+            rows = materialize(rows, "updates")
+        actions = merge.merged(w.gold("fact_web_activity"), rows, ["source_log_id"], [], updates_rows=count)
+        return Merge("fact_web_activity", actions.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
 
     def scored_leads() -> Merge:
         rows = star.lead_rows(leads, batch_id)

@@ -81,6 +81,11 @@ def publish(
     return version
 
 
+def compact(spark: SparkSession, path: str, schema: StructType, now: datetime, part: Column | None = None) -> int:
+    """Write the current rows again as one version. For tables that many small additions have left in many directories."""
+    return publish(spark, path, read_table(spark, path, schema), now, part)
+
+
 def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column) -> list[int]:
     """Parts of `table` that hold a key of `updates`, and parts the updates fall into. For updates counted to be few: they are broadcast
     to the table's keys, because a key does not tell its part. Only the distinct parts, at most one per month, come to the driver."""

@@ -44,10 +44,13 @@ def load_lines(spark: SparkSession, lines: DataFrame, target: str, now: datetime
     return counts
 
 
-def stream_weblogs(spark: SparkSession, source_dir: str, target: str, checkpoint: str, now: datetime) -> None:
-    """Load all files that arrived in `source_dir` since the last run, then stop. A file must be complete when it appears (write elsewhere,
-    then move). A repeated batch changes nothing, because known lines are skipped."""
-    files = spark.readStream.schema(LOG_LINES).format("text").option("recursiveFileLookup", True).load(source_dir).select("raw_line", *file_position())
+def stream_weblogs(
+    spark: SparkSession, source_dir: str, target: str, checkpoint: str, now: datetime, batch_bytes: int = 1 << 40
+) -> None:
+    """Load all files that arrived in `source_dir` since the last run, then stop; a long backlog goes in batches of about `batch_bytes`.
+    A file must be complete when it appears (write elsewhere, then move). A repeated batch changes nothing: known lines are skipped."""
+    reader = spark.readStream.schema(LOG_LINES).option("recursiveFileLookup", True).option("maxBytesPerTrigger", batch_bytes)
+    files = reader.text(source_dir).select("raw_line", *file_position())
 
     def add(batch: DataFrame, _: int) -> None:
         load_lines(batch.sparkSession, batch, target, now)

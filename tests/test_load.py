@@ -173,6 +173,10 @@ def test_unpublished_data_is_not_seen(spark, tmp_path):
     assert [r.id for r in tables.read_table(spark, path, SALES_SCHEMA).collect()] == [1]
     tables.publish(spark, path, sales(spark, [(3, 20010105, "c")]), now)
     assert [r.id for r in tables.read_table(spark, path, SALES_SCHEMA).collect()] == [3]
+    tables.publish(spark, path, sales(spark, [(4, 20010205, "d")]), now, replaces=[])
+    for _ in range(2):
+        assert sorted(r.id for r in tables.read_table(spark, path, SALES_SCHEMA).collect()) == [3, 4]
+        tables.compact(spark, path, SALES_SCHEMA, now, tables.month_part())
     tables.publish(spark, path, sales(spark, []), now)
     assert tables.read_table(spark, path, SALES_SCHEMA).collect() == []
 
