@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm.bpe import encode_documents
 from strata.llm.common import read_table
 from strata.llm.simhash import simhash_groups
+from strata.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,11 @@ def query(name: str):
     return add
 
 
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 @query("op6_byte_level_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
