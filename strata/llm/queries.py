@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.bpe import encode_documents
 from strata.llm.common import read_table
+from strata.llm.mixing import mix_sources
 from strata.llm.simhash import simhash_groups
 from strata.llm.token_counts import count_tokens
 
@@ -25,6 +26,12 @@ def query(name: str):
     return add
 
 
+@query("op1_entropy_balanced_mix")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
