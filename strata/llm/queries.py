@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.bpe import encode_documents
 from strata.llm.common import read_table
+from strata.llm.imatch import edited_fingerprints
 from strata.llm.mixing import mix_sources
 from strata.llm.simhash import simhash_groups
 from strata.llm.token_counts import count_tokens
@@ -37,6 +38,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op5_imatch_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_byte_level_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
