@@ -14,6 +14,7 @@ from strata.llm.imatch import edited_fingerprints
 from strata.llm.mixing import mix_sources
 from strata.llm.simhash import simhash_groups
 from strata.llm.token_counts import count_tokens
+from strata.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
 
 
+@query("op2_warc_members")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_round_trip(read_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_warc_members"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, n, max(page_id) AS chosen FROM p WHERE n >= 1000 GROUP BY digest, n)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN g.chosen IS NOT NULL AND p.page_id IS DISTINCT FROM g.chosen THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN g.chosen IS NOT NULL AND p.page_id IS DISTINCT FROM g.chosen THEN g.chosen END AS refers_to
+FROM p LEFT JOIN g USING (digest, n)
+"""
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
