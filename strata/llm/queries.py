@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm.bpe import encode_documents
 from strata.llm.common import read_table
 from strata.llm.imatch import edited_fingerprints
+from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_sources
 from strata.llm.simhash import simhash_groups
 from strata.llm.token_counts import count_tokens
@@ -72,3 +73,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_license_signatures")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
