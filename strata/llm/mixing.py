@@ -17,9 +17,9 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: A document is taken at most so often.
 COPIES = 3
 #: Newton steps of one job, jobs at most, and the relative error of a source's words that ends them.
-STEPS, JOBS, ERROR = 6, 12, 1e-9
-#: Bins of one round of the search for the rounding threshold, and rounds; together 2**30 places between 0 and 1.
-BINS, ROUNDS = 1024, 3
+STEPS, JOBS, ERROR = 3, 24, 1e-9
+#: Bins of one round of the search for the rounding threshold, and rounds; together 2**24 places between 0 and 1.
+BINS, ROUNDS = 4096, 2
 #: Passes of the rounding: later ones fill what long documents left open.
 PASSES = 3
 
