@@ -13,6 +13,7 @@ from strata.llm.common import read_table
 from strata.llm.imatch import edited_fingerprints
 from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_sources
+from strata.llm.nbsvm import quality_scores
 from strata.llm.simhash import simhash_groups
 from strata.llm.token_counts import count_tokens
 from strata.llm.warc import warc_round_trip
@@ -70,6 +71,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_nbsvm_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"))
