@@ -32,9 +32,10 @@ def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, levels: int = LE
 
     An empty term with an empty mask is added; it stands for the document itself. In: column text. Written to the shared folder.
     """
-    seen = texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # the outer form of explode, as for the plain one Spark adds a filter that works out all terms once more
+    seen = texts.select(F.explode_outer(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     total = texts.count()
-    kept = seen.filter((F.col("df") >= band[0] * total) & (F.col("df") <= band[1] * total)).select("term")
+    kept = seen.filter(F.col("term").isNotNull() & (F.col("df") >= band[0] * total) & (F.col("df") <= band[1] * total)).select("term")
     bits = [
         F.when(F.xxhash64("term", F.lit(level * parts + part)).bitwiseAND((1 << (level + 1)) - 1) == 0, F.lit(1 << (level * parts + part)).cast("long")).otherwise(F.lit(0).cast("long"))
         for level in range(levels)
@@ -48,37 +49,36 @@ def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, levels: int = LE
 
 
 def _signature(terms: Column, whole: Column, count: int) -> Column:
-    """Of each part the 32-bit hash of its terms in order, '-' where it has none; of a text without any, '=' and a hash of all its terms."""
-    def of_part(j: Column) -> Column:
-        own = F.filter(terms, lambda t: F.getbit(t["mask"], j) == 1)
-        joined = F.array_join(F.transform(own, lambda t: t["term"]), " ")
-        return F.when(F.size(own) == 0, F.lit(_NONE)).otherwise(F.lower(F.lpad(F.hex(F.xxhash64(joined).bitwiseAND(0xFFFFFFFF)), 8, "0")))
+    """Of each part the 32-bit hash of its terms in order, '-' where it has none; of a text without any, '=' and a hash of all of it."""
 
-    signs = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), of_part), "")
-    return F.when(signs == _NONE * count, F.concat(F.lit("="), F.lower(F.lpad(F.hex(whole), 16, "0")))).otherwise(signs)
+    def of_part(j: int) -> Column:
+        own = F.filter(terms, lambda t: F.getbit(t["mask"], F.lit(j)) == 1)
+        return F.when(F.size(own) == 0, F.lit(_NONE)).otherwise(F.lpad(F.hex(F.xxhash64(own).bitwiseAND(0xFFFFFFFF)), 8, "0"))
+
+    signs = F.lower(F.concat(*map(of_part, range(count))))
+    return F.when(F.exists(terms, lambda t: t["mask"] != 0), signs).otherwise(F.concat(F.lit("="), F.lower(F.lpad(F.hex(whole), 16, "0"))))
 
 
 def fingerprint_texts(df: DataFrame, keys: list[str], texts: dict[str, str], lexicon: DataFrame, count: int = LEVELS * PARTS) -> DataFrame:
-    """Adds a fingerprint of each text column: texts maps the column's name to the fingerprint's. Text columns are dropped.
+    """Adds a fingerprint of each of one or two text columns: texts maps the column's name to the fingerprint's. Text columns are dropped.
 
-    keys tell rows apart; where `df` is partitioned by some of them, nothing is shuffled.
+    keys tell rows apart; where `df` is partitioned by some of them, nothing is shuffled. Terms are looked up in the lexicon as
+    rows; those outside of it are gone before terms meet again.
     """
     names = list(texts)
     held = [c for c in df.columns if c not in names and c not in keys]
-    arrays = df.select(*keys, *held, *[_terms(F.coalesce(F.col(n), F.lit(""))).alias(n) for n in names])
-    wholes = [F.xxhash64(F.array_join(F.sort_array(n), " ")).alias(f"whole{i}") for i, n in enumerate(names)]
-    tagged = lambda i: lambda t: F.struct(F.lit(i).alias("of"), t.alias("term"))
-    pairs = F.concat(
-        *[F.transform(F.col(n), tagged(i)) for i, n in enumerate(names)],
-        F.array(F.struct(F.lit(-1).alias("of"), F.lit("").alias("term"))),
-    )
-    rows = arrays.select(*keys, *held, *wholes, F.explode(pairs).alias("t")).select(*keys, *held, *[f"whole{i}" for i in range(len(names))], F.col("t.of").alias("of"), F.col("t.term").alias("term"))
+    filled = [F.coalesce(F.col(n), F.lit("")) for n in names]
+    wholes = [F.xxhash64(F.lower(t)).alias(f"whole{i}") for i, t in enumerate(filled)]
+    cut = df.select(*keys, *held, *wholes, *[_terms(t).alias(n) for n, t in zip(names, filled)])
+    # place 0 holds the empty term that stands for the row, then come the first text's terms, then the second's
+    cut = cut.select(*keys, *held, *[f"whole{i}" for i in range(len(names))], F.size(names[0]).alias("first"), F.concat(F.array(F.lit("")), *names).alias("terms"))
+    rows = cut.select(*keys, *held, *[f"whole{i}" for i in range(len(names))], "first", F.posexplode_outer("terms").alias("place_of", "term"))
     found = rows.join(broadcast_if_small(lexicon, LEXICON_ROWS), "term")
-    entry = F.struct("term", "mask")
+    of = F.when(F.col("place_of") == 0, -1).when(F.col("place_of") <= F.col("first"), 0).otherwise(1)
     grouped = found.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in held],
         *[F.first(f"whole{i}").alias(f"whole{i}") for i in range(len(names))],
-        *[F.sort_array(F.collect_list(F.when(F.col("of") == i, entry))).alias(n) for i, n in enumerate(names)],
+        *[F.sort_array(F.collect_list(F.when(of == i, F.struct("term", "mask")))).alias(n) for i, n in enumerate(names)],
     )
     return grouped.select(*keys, *held, *[_signature(F.col(n), F.col(f"whole{i}"), count).alias(texts[n]) for i, n in enumerate(names)])
 
