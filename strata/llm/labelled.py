@@ -42,16 +42,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def calibrate(margins: np.ndarray, y: np.ndarray, weights: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """a and b, so that sigmoid(a * margin + b) is the probability of label 1: logistic regression on one number, a little damped."""
-    x = np.stack([margins, np.ones_like(margins)], axis=1)
-    theta = np.array([1.0, 0.0])
+def calibrate(margins: np.ndarray, y: np.ndarray, weights: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """a > 0 and b, so that sigmoid(a * margin + b) is the probability of label 1: logistic regression on one number, a little damped."""
+    scale = float(np.abs(margins).max()) or 1.0
+    x = np.stack([margins / scale, np.ones_like(margins)], axis=1)
+    weights = weights / weights.sum()
+
+    def loss(theta: np.ndarray) -> float:
+        z = x @ theta
+        return float((weights * (np.logaddexp(0, z) - y * z)).sum() + 5e-4 * theta @ theta)
+
+    theta = np.zeros(2)
     for _ in range(steps):
         p = sigmoid(x @ theta)
         slope = x.T @ (weights * (p - y)) + 1e-3 * theta
         curve = (x * (weights * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, slope)
-        theta -= np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while size > 1e-6 and loss(theta - size * step) > loss(theta):
+            size /= 2
+        theta = theta - size * step
+        if np.abs(step).max() < 1e-9 or size <= 1e-6:
             break
-    return max(float(theta[0]), 1e-3), float(theta[1])
+    return max(float(theta[0]), 1e-3) / scale, float(theta[1])
