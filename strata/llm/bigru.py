@@ -23,8 +23,8 @@ BITS, PIECE = 16, 24
 MEMORY, WORDS, WINDOWS = 200_000, 200_000, 4096
 #: Rows of each class that the network is trained on at most.
 PER_CLASS = 1500
-#: Passes over the training windows, windows of a step, step size, and the seed of the starting values.
-PASSES, BATCH, RATE, SEED = 8, 128, 0.01, 7
+#: Training steps (in whole passes over the windows), windows of a step, step size, and the seed of the starting values.
+STEPS, BATCH, RATE, SEED = 360, 128, 0.01, 7
 #: A word or n-gram that so many texts hold has half of its log ratio as starting value.
 FEW = 5
 _APART = bytes(b if b >= 0x80 or chr(b).isdigit() or "a" <= chr(b) <= "z" else 0x20 for b in range(256))
@@ -321,8 +321,9 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float | None = None) -> N
     trainer, draw = Trainer(words, tuple(prior)), np.random.default_rng(SEED)
     weight = np.array([1.0, (y == 0).sum() / max(1, (y == 1).sum())])
     picked = [int(value[r].max(axis=1).argmax()) for r in rows]
-    for turn in range(PASSES):
-        if turn == PASSES // 2:
+    passes = max(8, round(STEPS * BATCH / (2 * len(own))))
+    for turn in range(passes):
+        if turn == passes // 2:
             model = _ready(trainer, words)
             picked = [int(model.logits(r).argmax()) for r in rows]
         chosen = [(r[k], r[draw.integers(len(r))] if label == 0 else r[k]) for r, k, label in zip(rows, picked, y)]
