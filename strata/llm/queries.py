@@ -16,6 +16,7 @@ from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_sources
 from strata.llm.nbsvm import quality_scores
 from strata.llm.simhash import simhash_groups
+from strata.llm.threshold import top_k
 from strata.llm.token_counts import count_tokens
 from strata.llm.warc import warc_round_trip
 
@@ -53,6 +54,23 @@ FROM p LEFT JOIN g USING (digest, n)
 """
 
 
+@query("op3_threshold_top_k")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
+ORACLES["op3_threshold_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
