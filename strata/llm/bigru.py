@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_ids_and_text, map_arrow, utf8
+from strata.llm.common import doc_ids_and_text, map_arrow, prepare, utf8
 from strata.llm.labelled import LONGEST, calibrate, held_out, sigmoid, training_sample
 
 #: Words of a window, and from one window's start to the next one's: windows overlap by their difference.
@@ -347,25 +348,44 @@ def _ready(trainer: Trainer, words: list[bytes]) -> Network:
     return model
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.3, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 where score >= threshold) of every row of `docs`.
-
-    The network is trained on the driver, on a bounded sample of labelled rows that are not held out (per_class, longest: see
-    training_sample); all overlapping windows of every whole text are scored, and the highest counts. Only the text enters a
-    score. A null text is empty: it has one window without words. Null ids and repeated rows stay. With labels of one class
-    only, or none, all scores are about the share of label 1 (a half without any).
-    """
-    texts, y = training_sample(docs, labels, label, per_class, longest)
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, longest: int = LONGEST) -> Network:
+    """A network for the labelled rows of `docs` that are not held out: trained on the driver, on a bounded sample of them."""
     usable = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id").cast("long")))
     share = usable.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    model = fit(texts, y, share)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # a few megabytes, whatever the input
+    return fit(*training_sample(docs, labels, label, per_class, longest), share)
+
+
+def score_documents(docs: DataFrame, model: Network) -> DataFrame:
+    """doc_id and score of every row of `docs`: the highest of all overlapping windows of the whole text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few megabytes, whatever the input
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own.scores(utf8(batch)), pa.float64())], ["doc_id", "score"])
 
-    scored = map_arrow(doc_ids_and_text(docs), work, "doc_id long, score double")
+    return map_arrow(doc_ids_and_text(docs), work, "doc_id long, score double")
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.3, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
+    """The rows of `docs`, all columns kept, that toxicity_scores predicts to be of label 0."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, per_class, longest))
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.scores([(t or "").encode() for t in texts]))
+
+    prepare(docs.sparkSession)
+    return docs.filter(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) < threshold)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.3, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
+    """doc_id, held_out, score and predicted (1 where score >= threshold) of every row of `docs`.
+
+    The network is trained on a bounded sample of labelled rows that are not held out (per_class, longest: see training_sample);
+    all overlapping windows of every whole text are scored, and the highest counts. Only the text enters a score. A null text is
+    empty: it has one window without words. Null ids and repeated rows stay. With labels of one class only, or none, all scores
+    are about the share of label 1 (a half without any).
+    """
+    scored = score_documents(docs, train(docs, labels, label, per_class, longest))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -47,6 +47,20 @@ def doc_ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns: rows that share it are taken for repeated rows."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def with_decisions(docs: DataFrame, key: Column, decisions: DataFrame, column: str) -> DataFrame:
+    """Each row of `docs` with `column` of the row of `decisions` (key, column; keys distinct) that has its key; others go.
+
+    docs may have any column names; the key and the decision are structs beside a struct of the row.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    return rows.join(decisions.select("key", F.col(column).alias("decision")), "key")
+
+
 def crc_bucket(id_col: Column, buckets: int) -> Column:
     """crc32 of the id's decimal text modulo `buckets`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(buckets)
@@ -56,4 +70,4 @@ def crc32(data: bytes) -> int:
     return zlib.crc32(data)
 
 
-__all__ = ["BATCH_ROWS", "crc32", "crc_bucket", "doc_ids_and_text", "keep", "map_arrow", "prepare", "read_table", "scratch_path", "utf8"]
+__all__ = ["BATCH_ROWS", "crc32", "crc_bucket", "doc_ids_and_text", "keep", "map_arrow", "row_key", "with_decisions", "prepare", "read_table", "scratch_path", "utf8"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import keep
+from strata.llm.common import keep, row_key, with_decisions
 
 #: ASCII white space ends a word; anything else is part of one.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -169,8 +169,21 @@ def mix_sources(
     random, so reruns agree. Null text: no words, never taken. A null source is one source, the last. Null ids and repeated rows
     stay; rows equal in id and text are taken equally often. Empty in, empty out. Other columns are not read.
     """
+    final = _mixed(docs.select(*dict.fromkeys((id_col, text_col, source_col))), weights, copies, id_col, text_col, source_col)
+    return final.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES) -> DataFrame:
+    """The rows of `docs`, all columns kept, each as often as mix_sources takes it. Documents without words are never taken."""
+    times = _mixed(docs, weights, copies, "doc_id", "text", "source").groupBy("key").agg(F.max("copies").alias("copies"))
+    taken = with_decisions(docs, row_key(docs), keep(times.filter("copies > 0"), "copies"), "copies")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("decision")))).select("row.*")
+
+
+def _mixed(docs: DataFrame, weights: Sequence[float], copies: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sized = docs.select(
+        row_key(docs).alias("key"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
@@ -183,11 +196,10 @@ def mix_sources(
     tilts = solve_tilts(keep(histogram, "histogram"), targets, copies)
     placed = targets.join(tilts, "k", "left").withColumnRenamed("source", "own")
     rate = F.when(F.col("size") > 0, _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"), copies)).otherwise(0.0)
-    rated = sized.join(placed, sized["source"].eqNullSafe(placed["own"])).select("doc_id", "source", "size", "source_size", "target", "k", rate.alias("rate"), "draw")
+    rated = sized.join(placed, sized["source"].eqNullSafe(placed["own"])).select("key", "doc_id", "source", "size", "source_size", "target", "k", rate.alias("rate"), "draw")
     drawn = F.col("rate") + F.col("draw")
     rated = keep(rated.select("*", F.floor(F.least(drawn, F.lit(float(copies)))).cast("int").alias("base"), (drawn - F.floor(drawn)).alias("part")), "rated")
     final = rated.join(_round_off(rated, copies), "k").withColumn("place", _place())
     room = F.when(F.col("up") > 0, F.col("base") < copies).otherwise(F.col("base") > 0)
     times = F.when(F.col("size") > 0, F.col("base") + F.when(room & _moved(PASSES), F.col("up")).otherwise(0)).otherwise(0)
-    final = final.withColumn("copies", times)
-    return final.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return final.withColumn("copies", times)

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_ids_and_text, map_arrow, utf8
+from strata.llm.common import doc_ids_and_text, map_arrow, prepare, utf8
 from strata.llm.labelled import LONGEST, PER_CLASS, calibrate, held_out, sigmoid, training_sample
 
 #: Indicators are hashed into 2**BITS places. Character n-grams run over bytes within and across words, up to this order.
@@ -152,6 +153,23 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return map_arrow(doc_ids_and_text(docs, id_col, text_col), work, "doc_id long, score double")
 
 
+def score_column(model: Model, text_col: str = "text") -> Column:
+    """The score as a column beside all others of a row."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score((t or "").encode()) for t in texts])
+
+    return score(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
+    """The rows of `docs`, all columns kept, that quality_scores predicts to be of label 1."""
+    model = fit(*training_sample(docs, labels, label, per_class, longest))
+    prepare(docs.sparkSession)
+    return docs.filter(score_column(model) >= threshold)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
     """doc_id, held_out, score and predicted (1 where score >= threshold) of every row of `docs`.
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_ids_and_text, keep, map_arrow, utf8
+from strata.llm.common import keep, map_arrow, row_key, utf8, with_decisions
 from strata.llm.components import components
 
 SEED = 42
@@ -39,14 +39,15 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row. A null or blank text has fingerprint 0."""
+    """doc_id, key (a hash of the whole row) and fp (the 64 bits as a signed long) of every row. A null or blank text has fingerprint 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.fromiter((fingerprint(t, shingle) for t in utf8(batch)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(bits.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return map_arrow(doc_ids_and_text(docs, id_col, text_col), work, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(docs).alias("key"))
+    return map_arrow(rows, work, "doc_id long, key long, fp long")
 
 
 def _signatures(df: DataFrame, level: int) -> DataFrame:
@@ -118,12 +119,34 @@ def simhash_groups(
     zero and links like any other. Rows with a null id keep a row; their component is that of their fingerprint, null when it
     holds no id. Repeated rows stay. Other columns are not read. Empty in, empty out.
     """
-    prints = keep(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(near_pairs(nodes, max_bits, group)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    columns = dict.fromkeys((id_col, text_col))
+    prints, rooted = _rooted(docs.select(*columns), shingle, max_bits, group, id_col, text_col)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     placed = keep(rooted.join(smallest, "root").select("fp", "component_id"), "placed")
     return prints.join(placed, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _rooted(docs: DataFrame, shingle: int, max_bits: int, group: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows; and fp, least (its smallest id) and root (the fingerprint that stands for its component) of each distinct one."""
+    prints = keep(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = components(near_pairs(nodes, max_bits, group)).withColumnRenamed("node", "fp")
+    return prints, keep(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+
+
+def one_of_each_group(
+    docs: DataFrame, shingle: int = 3, max_bits: int = 3, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs`, all columns kept, but one of each group of simhash_groups: that with the smallest id, ids before null.
+
+    Of rows that share that id the one with the smallest hash of all columns stays, of fully repeated rows one.
+    """
+    prints, rooted = _rooted(docs, shingle, max_bits, group, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    chosen = prints.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(order)["key"].alias("key"))
+    often = prints.groupBy("key").agg(F.count("*").alias("rows"))
+    chosen = keep(chosen.select("key").distinct().join(often, "key"), "chosen")
+    kept = with_decisions(docs, row_key(docs), chosen, "rows")
+    return kept.filter("decision = 1").select("row.*").union(kept.filter("decision > 1").dropDuplicates(["key"]).select("row.*"))
