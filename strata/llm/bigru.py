@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import doc_ids_and_text, map_arrow, prepare, utf8
-from strata.llm.labelled import LONGEST, calibrate, held_out, sigmoid, training_sample
+from strata.llm.labelled import LONGEST, calibrate, fit_in_task, held_out, sigmoid, training_sample
 
 #: Words of a window, and from one window's start to the next one's: windows overlap by their difference.
 WINDOW, STRIDE = 48, 32
@@ -349,10 +349,10 @@ def _ready(trainer: Trainer, words: list[bytes]) -> Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, longest: int = LONGEST) -> Network:
-    """A network for the labelled rows of `docs` that are not held out: trained on the driver, on a bounded sample of them."""
+    """A network for the labelled rows of `docs` that are not held out: trained in one task, on a bounded sample of them."""
     usable = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id").cast("long")))
     share = usable.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    return fit(*training_sample(docs, labels, label, per_class, longest), share)
+    return fit_in_task(training_sample(docs, labels, label, per_class, longest), lambda texts, y: fit(texts, y, share))
 
 
 def score_documents(docs: DataFrame, model: Network) -> DataFrame:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +26,8 @@ def held_out(id_col: Column) -> Column:
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS, longest: int = LONGEST, id_col: str = "doc_id", text_col: str = "text"
-) -> tuple[list[bytes], np.ndarray]:
-    """Texts (UTF-8) and 0/1 labels of at most `per_class` rows of each class, none of them held out.
+) -> DataFrame:
+    """id, y (0 or 1) and text (UTF-8) of at most `per_class` rows of each class, none of them held out.
 
     Only fitting uses the sample; statistics of a model that are said to be of the corpus do not. Rows are taken in order of a
     hash of their id, so reruns take the same ones. Ids are chosen from the labels alone and broadcast (2 * per_class numbers).
@@ -33,9 +38,23 @@ def training_sample(
     order = [F.xxhash64("id"), F.col("id")]
     chosen = [usable.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(chosen[0].union(chosen[1])), "id").select("id", "y", F.col("text").cast("binary").alias("text")).collect()
-    rows = sorted(((r.id, r.y, bytes(r.text)) for r in rows), key=lambda r: (r[0] * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, r))
-    return [r[2] for r in rows], np.array([r[1] for r in rows], np.int64)
+    return texts.join(F.broadcast(chosen[0].union(chosen[1])), "id").select("id", "y", F.col("text").cast("binary").alias("text"))
+
+
+def fit_in_task(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], Any]) -> Any:
+    """What `fit` makes of a bounded sample's texts and labels, in one task, so that neither texts nor training weigh on the driver.
+
+    Rows are put in a fixed order first, so reruns fit the same model. An empty sample is fitted as well: to nothing.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(r["id"], r["y"], r["text"]) for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (r[0] * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, r))
+        model = fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    made = sample.repartition(1).mapInArrow(work, "model binary").first()
+    return pickle.loads(made[0]) if made else fit([], np.zeros(0, np.int64))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import doc_ids_and_text, map_arrow, prepare, utf8
-from strata.llm.labelled import LONGEST, PER_CLASS, calibrate, held_out, sigmoid, training_sample
+from strata.llm.labelled import LONGEST, PER_CLASS, calibrate, fit_in_task, held_out, sigmoid, training_sample
 
 #: Indicators are hashed into 2**BITS places. Character n-grams run over bytes within and across words, up to this order.
 BITS, ORDER = 18, 4
@@ -73,7 +73,7 @@ def indicators(text: bytes) -> np.ndarray:
             break
         cut = max(text.rfind(b" ", at + STRETCH // 2, end), text.rfind(b"\n", at + STRETCH // 2, end))
         at = cut if cut > 0 else end - ORDER
-    return np.flatnonzero(seen)
+    return np.flatnonzero(seen).astype(np.int32)
 
 
 @dataclass
@@ -165,7 +165,7 @@ def score_column(model: Model, text_col: str = "text") -> Column:
 
 def good_documents(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
     """The rows of `docs`, all columns kept, that quality_scores predicts to be of label 1."""
-    model = fit(*training_sample(docs, labels, label, per_class, longest))
+    model = fit_in_task(training_sample(docs, labels, label, per_class, longest), fit)
     prepare(docs.sparkSession)
     return docs.filter(score_column(model) >= threshold)
 
@@ -173,10 +173,10 @@ def good_documents(docs: DataFrame, labels: DataFrame, label: str = "quality", t
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
     """doc_id, held_out, score and predicted (1 where score >= threshold) of every row of `docs`.
 
-    The model is fitted on the driver, on a bounded sample of labelled rows that are not held out (per_class, longest: see
+    The model is fitted in one task, on a bounded sample of labelled rows that are not held out (per_class, longest: see
     training_sample); every row's whole text is scored. Only the text enters a score. A null text is empty; null ids and repeated
     rows stay. With labels of one class only, or none, all scores are about the share of label 1 (a half without any).
     """
-    model = fit(*training_sample(docs, labels, label, per_class, longest))
+    model = fit_in_task(training_sample(docs, labels, label, per_class, longest), fit)
     scored = score_documents(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
