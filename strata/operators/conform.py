@@ -39,11 +39,12 @@ def since(df: DataFrame, day_col: str, as_of: date, months: int) -> DataFrame:
 
 
 def add_lineage(df: DataFrame, now: datetime, source_file: str = fixed.LEADS_ORIGIN, null_safe: bool = False) -> DataFrame:
-    """Origin, record number, content hash, arrival time and processed flag. The hash covers the columns `df` came with."""
+    """Origin, record number, content hash, arrival time and processed flag. The hash covers the columns `df` came with, those of its
+    file position left out."""
     return (
         with_line_numbers(df)
         .withColumn("source_file", F.lit(source_file))
-        .withColumn("row_hash", row_hash(df.columns, null_safe))
+        .withColumn("row_hash", row_hash([c for c in df.columns if c not in ("_file", "_block")], null_safe))
         .withColumn("ingested_at", fixed_time(now))
         .withColumn("is_processed", F.lit(False))
     )

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.operators.numbering import number_rows
-from strata.session import BROADCAST_ROWS
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 _NULL_KEY_SALTS = 1024
@@ -89,7 +89,7 @@ def merged(
     updates = updates.select(*[c for c in target.columns if c in updates.columns])
     fresh = _unique(updates, keys, on_duplicate, first_by)
 
-    few = updates_rows is not None and updates_rows <= BROADCAST_ROWS
+    few = updates_rows is not None and updates_rows <= session.BROADCAST_ROWS
 
     if not update_cols:
         inserts = _absent(fresh, _held_keys(target, fresh, keys) if few else target, keys).withColumn("_action", F.lit(INSERT))

@@ -17,6 +17,8 @@ from strata.operators.merge import assign_keys, merged
 from strata.session import materialize
 
 SALES_UPDATES = ("quantity", "total_amount", "etl_batch_id", "updated_at")
+# Of log rows with one id the earliest counts; the further columns only make the choice definite.
+WEB_FIRST = ("request_time", "geo_key", "device_key", "customer_key", "etl_batch_id", "date_key")
 LEAD_UPDATES = ("date_key", "company_name", "lead_score", "etl_batch_id")
 
 
@@ -110,23 +112,27 @@ def unmatched_lines(lines: DataFrame, company: DataFrame, customer: DataFrame, p
 
 
 def fact_web_lookup(activity: DataFrame, geo: DataFrame, device: DataFrame, customer: DataFrame) -> DataFrame:
-    """Log rows with dimension keys; the customer key is NULL for unknown accounts."""
-    return (
-        activity.join(device.select("device_type", "device_key"), "device_type")
-        .join(geo.select(F.col("ip_address").alias("client_ip"), "geo_key"), "client_ip")
-        .join(
-            customer.select(F.col("source_customer_id").alias("mapped_customer_id"), "customer_key"), "mapped_customer_id", "left"
-        )
-        .select(
-            "source_log_id",
-            date_key(F.col("request_time")).alias("date_key"),
-            "geo_key",
-            "device_key",
-            "customer_key",
-            "request_time",
-            F.col("batch_id").alias("etl_batch_id"),
-        )
+    """Log rows with dimension keys; the customer key is NULL for unknown accounts.
+
+    Rows without an account match no customer, so they stay out of that join: they would all be shuffled to one task.
+    """
+    located = activity.join(device.select("device_type", "device_key"), "device_type").join(
+        geo.select(F.col("ip_address").alias("client_ip"), "geo_key"), "client_ip"
     )
+    columns = [
+        "source_log_id",
+        date_key(F.col("request_time")).alias("date_key"),
+        "geo_key",
+        "device_key",
+        "customer_key",
+        "request_time",
+        F.col("batch_id").alias("etl_batch_id"),
+    ]
+    accounts = customer.select(F.col("source_customer_id").alias("mapped_customer_id"), "customer_key")
+    named = located.filter(F.col("mapped_customer_id").isNotNull()).join(accounts, "mapped_customer_id", "left")
+    nobody = F.lit(None).cast(customer.schema["customer_key"].dataType).alias("customer_key")
+    unnamed = located.filter(F.col("mapped_customer_id").isNull()).select(*activity.columns, "geo_key", "device_key", nobody)
+    return named.select(*columns).unionByName(unnamed.select(*columns))
 
 
 def sales_rows(lines: DataFrame, company: DataFrame, customer: DataFrame, product: DataFrame, now: datetime) -> DataFrame:
@@ -153,7 +159,8 @@ def sales_actions(
 
 
 def web_actions(target: DataFrame, silver: DataFrame, geo: DataFrame, device: DataFrame, customer: DataFrame) -> DataFrame:
-    return merged(target, fact_web_lookup(silver, geo, device, customer), ["source_log_id"], [])
+    rows = fact_web_lookup(silver, geo, device, customer)
+    return merged(target, rows, ["source_log_id"], [], on_duplicate="first", first_by=WEB_FIRST)
 
 
 def lead_actions(target: DataFrame, silver: DataFrame, batch_id: int, updates_rows: int | None = None) -> DataFrame:

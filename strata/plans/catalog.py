@@ -37,16 +37,19 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
-def _without_batch(df: DataFrame) -> DataFrame:
-    return df.drop("batch_id")
-
-
 # --- Sources and sinks -------------------------------------------------------------------------------------------------------------
 
 
 @_query("S3_csv_leads", "SELECT * FROM src_leads_csv")
 def _(i: Inputs):
-    return files.read_leads(i.spark, i.leads_dir)
+    """Some files with the columns in another order and case, and one column more."""
+    path = scratch_path(i.spark, "leads")
+    number = F.expr("CAST(substring(lead_id, 2) AS BIGINT)")
+    leads, exact = i.raw("leads_csv"), {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    leads.filter(number % 2 == 0).write.options(**exact).csv(f"{path}/as_is")
+    turned = [F.col(c).alias(c.upper()) for c in reversed(leads.columns)]
+    leads.filter(number % 2 == 1).select(F.lit("x").alias("note"), *turned).write.options(**exact).csv(f"{path}/turned")
+    return files.read_leads(i.spark, path)
 
 
 PARSED = """SELECT raw_line, source_line_number,
@@ -96,13 +99,14 @@ def _(i: Inputs):
 @_query(
     "S8_dlq_append",
     """SELECT b.batch_id, r.source_name, r.error_reason, count(*) AS records
-FROM rejects r JOIN (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) b(batch_id) ON r.source_name = 'Weblogs' OR b.batch_id = 1 GROUP BY ALL""",
+FROM rejects r JOIN (VALUES (CAST(1 AS BIGINT)), (CAST(3 AS BIGINT))) b(batch_id) ON r.source_name = 'Weblogs' OR b.batch_id = 1 GROUP BY ALL""",
 )
 def _(i: Inputs):
     path = scratch_path(i.spark, "quarantine")
     bad_web = quality.split(i.web(2), quality.weblog_rule())[1]
-    second = quality.quarantine(bad_web, fixed.WEBLOG_SOURCE, fixed.WEBLOG_REASON, 2)
-    for rejects, batch_id in [(i.rejects(), 1), (second, 2), (i.rejects(), 1)]:
+    later = {n: quality.quarantine(bad_web, fixed.WEBLOG_SOURCE, fixed.WEBLOG_REASON, n) for n in (2, 3)}
+    none = later[2].filter(F.lit(False))
+    for rejects, batch_id in [(i.rejects(), 1), (later[2], 2), (later[3], 3), (i.rejects(), 1), (none, 2)]:
         files.append_quarantine(rejects, path, batch_id)
     kept = files.read_quarantine(i.spark, path)
     return kept.groupBy("batch_id", "source_name", "error_reason").agg(F.count("*").alias("records"))
@@ -143,11 +147,7 @@ def _(i: Inputs):
     return reduce(DataFrame.unionByName, parts)
 
 
-@_query(
-    "S12_weblog_incremental",
-    f"""{FILE_LINES}, client_ip, username, request_time, user_agent FROM ({PARSED}) p""",
-)
-def _(i: Inputs):
+def _streamed_log(i: Inputs) -> DataFrame:
     """The log arrives in two parts; the stream runs after each, and once more without news."""
     source, target, checkpoint = (scratch_path(i.spark, label) for label in ("arriving", "weblogs", "stream"))
     i.write_log(source, first_file_only=True)
@@ -155,7 +155,29 @@ def _(i: Inputs):
     i.write_log(source)
     for _ in range(2):
         weblogs.stream_weblogs(i.spark, source, target, checkpoint, NOW)
-    loaded = tables.read_table(i.spark, target, schemas.WEBLOG_ROWS)
+    return tables.read_table(i.spark, target, schemas.WEBLOG_ROWS)
+
+
+@_query(
+    "S12_log_ids",
+    f"""SELECT raw_line, row_number() OVER (ORDER BY (source_line_number - 1) // {LINES_PER_FILE["weblog_lines"]} > 0,
+  CAST((source_line_number - 1) // {LINES_PER_FILE["weblog_lines"]} AS VARCHAR), source_line_number) AS log_id,
+  client_ip, username, request_time, user_agent, CAST(5 AS BIGINT) AS batch_id FROM ({PARSED}) p""",
+)
+def _(i: Inputs):
+    """Loaded log lines as the source of the weblogs table: ids in the order of arrival, then of file and line."""
+    rows = conform.stamp_batch(_streamed_log(i), 5)
+    return conform.align_schema(rows, schemas.BRONZE["weblogs"]).join(
+        rows.select("log_id", "raw_line"), "log_id"
+    ).select("raw_line", "log_id", "client_ip", "username", "request_time", "user_agent", "batch_id")
+
+
+@_query(
+    "S12_weblog_incremental",
+    f"""{FILE_LINES}, client_ip, username, request_time, user_agent FROM ({PARSED}) p""",
+)
+def _(i: Inputs):
+    loaded = _streamed_log(i)
     return loaded.select(
         "raw_line", _file_number("source_file").alias("file_no"), F.col("source_line_number").alias("line_no"),
         "client_ip", "username", "request_time", "user_agent",
@@ -403,7 +425,7 @@ def _country_counts(i: Inputs) -> DataFrame:
 
 
 def _best_country(i: Inputs) -> DataFrame:
-    return reports.top_country(reports.logins_by_country(_country_counts(i)))
+    return reports.top_country(reports.logins_by_country(i.gold("fact_web_activity"), i.gold("dim_geo")))
 
 
 def _home_country(i: Inputs) -> DataFrame:
@@ -421,7 +443,7 @@ def _(i: Inputs):
 
 @_query("A2_logins_by_country", "SELECT * FROM country_logins")
 def _(i: Inputs):
-    return reports.logins_by_country(_country_counts(i))
+    return reports.logins_by_country(i.gold("fact_web_activity"), i.gold("dim_geo"))
 
 
 @_query("A3_logins_by_customer_country", "SELECT * FROM customer_country WHERE customer_key IS NOT NULL")
@@ -633,8 +655,11 @@ def _(i: Inputs):
 FROM web_rows r LEFT JOIN old_good_web o ON r.source_log_id = o.source_log_id""",
 )
 def _(i: Inputs):
+    """Every log row comes a second time, an hour later: the first one counts."""
+    web = i.good_web(2)
+    repeated = web.withColumn("request_time", F.col("request_time") + F.expr("INTERVAL '1' HOUR")).unionByName(web)
     return star.fact_web_activity(
-        i.earlier_gold("fact_web_activity"), i.good_web(2), i.gold("dim_geo"), i.gold("dim_device"), i.gold("dim_customer")
+        i.earlier_gold("fact_web_activity"), repeated, i.gold("dim_geo"), i.gold("dim_device"), i.gold("dim_customer")
     )
 
 

@@ -27,14 +27,13 @@ SELECT p_partkey AS product_id, p_partkey % 10 AS supplier_id, p_name AS product
     "orders": """
 SELECT o_orderkey AS order_id, o_custkey % 10 AS company_id, o_custkey AS customer_id, o_orderdate AS order_timestamp FROM {orders}""",
     "order_items": """
-SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey AS order_item_id, l_orderkey AS order_id,
+SELECT (((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey) * 10 + rn - 1 AS order_item_id, l_orderkey AS order_id,
   l_partkey AS product_id,
   CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -CAST(l_quantity AS INT)
        WHEN l_linenumber = 6 AND l_quantity = 13 THEN NULL ELSE CAST(l_quantity AS INT) END AS quantity,
   CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
-                                   ORDER BY l_quantity, l_extendedprice, l_shipdate) AS rn FROM {lineitem}) t
-WHERE rn = 1""",
+                                   ORDER BY l_quantity, l_extendedprice, l_shipdate) AS rn FROM {lineitem}) t""",
     "weblogs": """
 SELECT event_id AS log_id,
   CASE WHEN event_id % 97 = 0 THEN 'bad_ip_address' WHEN event_id % 101 = 0 THEN NULL

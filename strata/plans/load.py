@@ -15,14 +15,14 @@ from datetime import date, datetime
 from functools import partial, reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import fixed, schemas
 from strata.operators import conform, merge, quality, star
 from strata.plans import audit, reports
-from strata.session import BROADCAST_ROWS, materialize, one_row
+from strata.session import materialize, one_row
 from strata.sources import files, jdbc, tables
 
 Sources = Mapping[str, Callable[[], DataFrame]]
@@ -62,6 +62,9 @@ class Warehouse:
     def report(self, table: str) -> DataFrame:
         return self.spark.read.schema(schemas.REPORTS[table]).parquet(self.path("gold", table))
 
+    def load_counts(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("audit", "load_counts"))
+
     def quarantine(self) -> DataFrame:
         return files.read_quarantine(self.spark, self.path("audit", "quarantine_records"))
 
@@ -92,7 +95,7 @@ def database_sources(spark: SparkSession, url: str, props: dict[str, str], leads
         "orders": ranged("orders", "order_id"),
         "order_items": ranged("order_items", "order_item_id"),
         "weblogs": ranged("weblogs", "log_id"),
-        "marketing_leads": lambda: files.read_leads(spark, leads_path),
+        "marketing_leads": lambda: files.read_leads(spark, leads_path, located=True),
     }
 
 
@@ -102,18 +105,18 @@ def together(*steps: Callable[[], object]) -> list:
         return [started.result() for started in [pool.submit(step) for step in steps]]
 
 
-def load_bronze(w: Warehouse, sources: Sources, batch_id: int, now: datetime) -> None:
+def load_bronze(w: Warehouse, sources: Sources, batch_id: int, now: datetime, alignment: str = "exact") -> None:
     def copy(table: str) -> None:
         rows = sources[table]()
         if table == "marketing_leads":
             rows = conform.add_lineage(rows, now)
-        aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schemas.BRONZE[table])
+        aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schemas.BRONZE[table], alignment)
         files.write_full(aligned, w.path("bronze", table))
 
     together(*[partial(copy, table) for table in schemas.BRONZE])
 
 
-def load_silver(w: Warehouse, batch_id: int, as_of: date) -> None:
+def load_silver(w: Warehouse, batch_id: int, as_of: date, load_name: str = fixed.LOAD_NAME) -> None:
     """Each table is conformed, judged and written once; accepted and rejected rows are then read back."""
     conformed = {
         "companies": conform.companies(w.bronze("companies", batch_id)),
@@ -133,7 +136,7 @@ def load_silver(w: Warehouse, batch_id: int, as_of: date) -> None:
     together(*[partial(write, table, rows) for table, rows in conformed.items()])
 
     rejects = quality.union_rejects(
-        *[quality.quarantine(w.judged(t, quality.BAD), source, reason, batch_id) for t, (_, source, reason) in REJECTS.items()]
+        *[quality.quarantine(w.judged(t, quality.BAD), source, reason, batch_id, load_name) for t, (_, source, reason) in REJECTS.items()]
     )
     files.append_quarantine(rejects, w.path("audit", "quarantine_records"), batch_id)
 
@@ -156,27 +159,71 @@ class Merge(NamedTuple):
     replaces: list[int] | None = None
 
 
+def _content(rows: DataFrame) -> Row:
+    """Row count and the sum of the rows' hashes: equal for equal content in any order, one pass, nothing shuffled but a row a task."""
+    return rows.agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()
+
+
 def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
     """Make a merge the current version of its table. Returns rows inserted, updated and kept, as read back from the written actions,
-    so that repeated tasks count once."""
+    so that repeated tasks count once. A dimension whose content stays the same gets no new version."""
     path = w.path("gold", m.table)
+    if m.part is None:
+        m = m._replace(actions=materialize(m.actions, m.table))
+        names = schemas.GOLD[m.table].names
+        if _content(m.actions.select(*names)) == _content(w.gold(m.table).select(*names)):
+            return {r.action: r.row_count for r in merge.merge_counts(m.actions).collect()}
+        if not m.actions.filter(F.col("_action") == merge.UPDATE).limit(1).count():
+            kept = m.actions.filter(F.col("_action") != merge.INSERT).count()
+            m = m._replace(actions=m.actions.filter(F.col("_action") == merge.INSERT), replaces=[])  # rows are only added
+            tables.publish(w.spark, path, m.actions, now, m.part, m.replaces)
+            return {merge.INSERT: m.actions.count()} | ({merge.KEEP: kept} if kept else {})
     version = tables.publish(w.spark, path, m.actions, now, m.part, m.replaces)
     written = tables.read_data(w.spark, path, version, "_action STRING")
     return {r.action: r.row_count for r in merge.merge_counts(written).collect()}
 
 
 def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_cols: tuple[str, ...], count: int) -> Merge:
-    """A merge into a fact split by month: few updates rewrite only the months they touch, many rewrite all."""
-    part, touched = tables.month_part(), None
-    if count <= BROADCAST_ROWS:
-        rows = materialize(rows, "updates")  # looked up once, used several times
-        touched = tables.touched_parts(w.gold(table), rows, [key], part)
+    """A merge into a fact split by month: only the months that updates touch are rewritten, however many updates there are."""
+    part = tables.month_part()
+    rows = materialize(rows, "updates")  # looked up once, used several times
+    touched = tables.touched_parts(w.gold(table), rows, [key], part, count)
     actions = merge.merged(w.gold(table, touched), rows, [key], update_cols, updates_rows=count)
     return Merge(table, actions, part, touched)
 
 
+def load_counts(w: Warehouse, batch_id: int) -> DataFrame:
+    """Where the rows of a batch went, as table, outcome and rows: the verdicts of each judged table; order items without an order
+    ("orphan"); and accepted rows that found a dimension ("fact") or not ("unmatched"). Verdicts and orphans add up to the raw rows, facts
+    and unmatched rows to the accepted ones."""
+    items, orders = w.bronze("order_items", batch_id), w.bronze("orders", batch_id)
+    lines, web = (w.judged(t, quality.GOOD) for t in ("sales_order_lines", "web_activity"))
+    dims = [w.gold(f"dim_{d}") for d in ("company", "customer", "product")]
+    unmatched_web = web.join(w.gold("dim_geo"), web["client_ip"] == F.col("ip_address"), "left_anti")
+
+    def count(table: str, outcome: str, rows: DataFrame) -> DataFrame:
+        return rows.agg(F.count("*").alias("rows")).select(F.lit(table).alias("table"), F.lit(outcome).alias("outcome"), "rows")
+
+    parts = [
+        verdict_counts(w).withColumnRenamed("verdict", "outcome").select("table", "outcome", "rows"),
+        count("sales_order_lines", "orphan", items.join(orders.select("order_id"), "order_id", "left_anti")),
+        count("fact_sales", "unmatched", star.unmatched_lines(lines, *dims)),
+        count("fact_sales", "fact", star.fact_sales_lookup(lines, *dims)),
+        count("fact_web_activity", "unmatched", unmatched_web),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def record_counts(w: Warehouse, batch_id: int, merges: dict[str, dict[str, int]]) -> None:
+    """Write the batch's counts, and those of its merges by action, to the audit tables. Repeating a batch replaces them."""
+    rows = [(table, action, n) for table, actions in merges.items() for action, n in actions.items()]
+    merged = w.spark.createDataFrame(rows, "table string, outcome string, rows long")  # a few rows a table
+    counts = load_counts(w, batch_id).unionByName(merged)
+    files.write_full(counts.coalesce(1), f"{w.path('audit', 'load_counts')}/batch_id={batch_id}")
+
+
 def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[str, dict[str, int]]:
-    """Dimensions, then facts. Returns the rows of each merge by action."""
+    """Dimensions, then facts. Returns the rows of each merge by action, and records them with the batch's other counts."""
     web, lines, leads = (w.judged(t, quality.GOOD) for t in ("web_activity", "sales_order_lines", "marketing_leads"))
 
     def publish_all(merges: dict[str, Callable[[], Merge]]) -> dict[str, dict[str, int]]:
@@ -202,29 +249,34 @@ def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[s
     def activity() -> Merge:
         # Known log rows stay as they are, so only new ones are written; the months before are listed again.
         rows, count = star.fact_web_lookup(web, w.gold("dim_geo"), w.gold("dim_device"), customer), web.count()
-        if count <= BROADCAST_ROWS:
-            rows = materialize(rows, "updates")
-        actions = merge.merged(w.gold("fact_web_activity"), rows, ["source_log_id"], [], updates_rows=count)
+        rows = materialize(rows, "updates")
+        actions = merge.merged(
+            w.gold("fact_web_activity"), rows, ["source_log_id"], [], on_duplicate="first", first_by=star.WEB_FIRST, updates_rows=count
+        )
         return Merge("fact_web_activity", actions.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
 
     def scored_leads() -> Merge:
         rows = star.lead_rows(leads, batch_id)
         return _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES, leads.count())
 
-    return counts | publish_all({"fact_sales": sales, "fact_web_activity": activity, "fact_marketing_lead": scored_leads})
+    counts |= publish_all({"fact_sales": sales, "fact_web_activity": activity, "fact_marketing_lead": scored_leads})
+    record_counts(w, batch_id, counts)
+    return counts
 
 
 def refresh_reports(w: Warehouse, as_of: date) -> None:
     """Replace the three report tables. The logins per customer and country feed two parts of one report, so they are held meanwhile."""
     web, sales = w.gold("fact_web_activity"), w.gold("fact_sales")
-    logins = reports.customer_country_logins(web, w.gold("dim_geo")).persist()
+    logins = reports.customer_country_logins(web.filter(F.col("customer_key").isNotNull()), w.gold("dim_geo")).persist()
     results = {
         "report_top_devices": reports.top_devices(web, w.gold("dim_device")),
         "report_top_products_in_top_country": reports.top_products(web, sales, w.gold("dim_geo"), w.gold("dim_product"), logins),
         "report_monthly_sales_last_year": reports.monthly_sales(sales, w.gold("dim_date"), as_of),
     }
-    together(*[partial(files.write_full, rows, w.path("gold", table)) for table, rows in results.items()])
-    logins.unpersist()
+    try:
+        together(*[partial(files.write_full, rows, w.path("gold", table)) for table, rows in results.items()])
+    finally:
+        logins.unpersist()
 
 
 def next_batch(w: Warehouse, load_name: str) -> tuple[int, str]:
@@ -238,16 +290,16 @@ def next_batch(w: Warehouse, load_name: str) -> tuple[int, str]:
 
 
 def run_load(
-    spark: SparkSession, root: str, sources: Sources, as_of: date, now: datetime, load_name: str = fixed.LOAD_NAME
+    spark: SparkSession, root: str, sources: Sources, as_of: date, now: datetime, load_name: str = fixed.LOAD_NAME, alignment: str = "exact"
 ) -> tuple[int, list[str]]:
-    """Run the next batch. Returns its number and the layers that ran."""
+    """Run the next batch. Returns its number and the layers that ran. alignment: how source columns are matched, see `align_schema`."""
     w = Warehouse(spark, root)
     batch_id, first = next_batch(w, load_name)
     w.log("batch_events", batch_id=batch_id, pipeline_name=load_name, status=fixed.RUNNING)
 
     work = {
-        "bronze": (fixed.BRONZE, lambda: load_bronze(w, sources, batch_id, now)),
-        "silver": (fixed.SILVER, lambda: load_silver(w, batch_id, as_of)),
+        "bronze": (fixed.BRONZE, lambda: load_bronze(w, sources, batch_id, now, alignment)),
+        "silver": (fixed.SILVER, lambda: load_silver(w, batch_id, as_of, load_name)),
         "gold": (fixed.GOLD, lambda: load_gold(w, batch_id, as_of, now)),
     }
     names = list(work)

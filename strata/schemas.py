@@ -44,7 +44,7 @@ BRONZE = {
 }
 
 WEBLOG_ROWS = _schema(
-    client_ip=_text, username=_text, request_time=_time, user_agent=_text, raw_line=_text, source_file=_text, source_line_number=_long
+    log_id=_long, client_ip=_text, username=_text, request_time=_time, user_agent=_text, raw_line=_text, source_file=_text, source_line_number=_long
 )
 
 SILVER = {
@@ -112,4 +112,7 @@ AUDIT = {
 }
 
 # One row per published version of a merged table: which data directories it consists of.
+# Which state of a log file has been loaded: a file of another length or time is looked at again.
+LOG_FILES = _schema(file=_text, length=_long, modified=_time)
+
 VERSIONS = _schema(version=_long, published_at=_time, entries=ArrayType(_schema(data_version=_long, part=_long)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from datetime import datetime
@@ -46,10 +47,13 @@ _own_scratch: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: the session's checkpoint folder. Only where none is set (tests, local runs) a temporary one."""
+    """The folder all executors share: the session's checkpoint folder. Where none is set, a temporary one under a local master, whose
+    tasks all run on this machine; under any other master that would be a different disk on each executor, so it is refused."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="strata-")

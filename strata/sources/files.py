@@ -2,17 +2,52 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata import fixed
+from strata.operators.numbering import file_position
 from strata.schemas import LEADS_CSV, LOG_LINES, QUARANTINE
+from strata.session import empty_frame
+
 
+def read_leads(spark: SparkSession, path: str, located: bool = False) -> DataFrame:
+    """Leads as text, from a file or a folder with subfolders. Columns go by the name in each file's header, whatever their order or case.
 
-def read_leads(spark: SparkSession, path: str) -> DataFrame:
-    """Leads as text, from a file or a folder with subfolders. The schema is given, so no pass over the files to infer it, and no value is changed on the way in."""
-    return spark.read.schema(LEADS_CSV).option("header", True).option("recursiveFileLookup", True).csv(path)
+    A header without one of the columns raises; further columns are left out. Files of one header are read together. located: with
+    the columns of `file_position`, for numbering the records. An empty file has no header and no leads.
+    """
+    groups = []
+    for header, paths in sorted(_headers(spark, path).items()):
+        names = next(csv.reader([header]))
+        own = {name.strip().lower(): k for k, name in reversed(list(enumerate(names)))}
+        missing = [c for c in LEADS_CSV.names if c not in own]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {paths[0]}")
+        given = StructType([StructField(f"_c{k}", StringType()) for k in range(len(names))])
+        rows = spark.read.schema(given).option("header", True).csv(paths)
+        columns = [F.col(f"_c{own[c]}").alias(c) for c in LEADS_CSV.names]
+        groups.append(rows.select(*columns, *(file_position() if located else [])))
+    if not groups:
+        return empty_frame(spark, StructType([*LEADS_CSV.fields, *(LOCATED if located else [])]))
+    return reduce(DataFrame.union, groups)
+
+
+LOCATED = [StructField("_file", StringType()), StructField("_block", LongType())]
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line to files. Reads each file's first split only; what comes to the driver is as much as a listing of the files."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("value"), *file_position())
+    first = lines.filter("_block = 0").select("_file", "value", F.monotonically_increasing_id().alias("at"))
+    found: dict[str, list[str]] = {}
+    for r in first.groupBy("_file").agg(F.min_by("value", "at").alias("header")).orderBy("_file").collect():
+        found.setdefault(r.header.removeprefix("\ufeff"), []).append(r["_file"])
+    return found
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -61,9 +96,9 @@ def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> Non
 
 
 def append_quarantine(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch's rejects. Repeating a batch replaces its own rows only, so a restarted load leaves no doubles."""
-    rows = df.filter(F.col("batch_id") == batch_id)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    """Add one batch's rejects. Repeating a batch replaces its own rows only, so a restarted load leaves no doubles, nor, if it has no
+    rejects this time, the old ones."""
+    write_full(df.filter(F.col("batch_id") == batch_id).drop("batch_id"), f"{path}/batch_id={batch_id}")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

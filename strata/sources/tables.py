@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata import session
 from strata.schemas import VERSIONS
 from strata.session import empty_frame, one_row
 
@@ -86,8 +87,12 @@ def compact(spark: SparkSession, path: str, schema: StructType, now: datetime, p
     return publish(spark, path, read_table(spark, path, schema), now, part)
 
 
-def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column) -> list[int]:
-    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. For updates counted to be few: they are broadcast
-    to the table's keys, because a key does not tell its part. Only the distinct parts, at most one per month, come to the driver."""
-    held = table.join(F.broadcast(updates.select(*keys)), keys, "left_semi").select(part.alias(PART))
+def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column, updates_rows: int | None = None) -> list[int]:
+    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. A key does not tell its part, so the table's keys
+    are joined with the updates': broadcast where they were counted to be few, otherwise both sides are shuffled. Only the distinct
+    parts, at most one per month, come to the driver."""
+    wanted = updates.select(*keys)
+    if updates_rows is not None and updates_rows <= session.BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    held = table.join(wanted, keys, "left_semi").select(part.alias(PART))
     return [r[0] for r in held.union(updates.select(part.alias(PART))).distinct().collect()]

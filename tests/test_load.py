@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from strata import fixed, schemas
+from strata import fixed, schemas, session
 from strata.operators import conform, quality, star
 from strata.plans import audit, fixtures, load, reports
 from strata.plans.inputs import inputs
@@ -188,3 +188,57 @@ def test_batch_filter_reads_one_directory(spark, tmp_path):
     one = conform.for_batch(spark.read.schema(schemas.BRONZE["orders"]).parquet(path), 2)
     assert one.count() == i.raw("orders").count()
     assert all("/batch_id=2/" in f for f in one.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+
+
+def test_months_written_do_not_depend_on_the_size_of_a_batch(spark, tmp_path, monkeypatch):
+    """The row limit decides between broadcast and shuffle, not what is rewritten."""
+    i, written = inputs(spark, SF_DIR), []
+    for limit in (session.BROADCAST_ROWS, 0):
+        w = load.Warehouse(spark, str(tmp_path / str(limit)))
+        path = w.path("gold", "fact_sales")
+        tables.publish(spark, path, i.gold("fact_sales"), fixtures.NOW, tables.month_part())
+        one = i.gold("fact_sales").limit(1)
+        with monkeypatch.context() as m:
+            m.setattr(session, "BROADCAST_ROWS", limit)
+            load.publish_merge(w, load._fact_updates(w, "fact_sales", "source_order_item_id", one, star.SALES_UPDATES, 1), fixtures.NOW)
+        written.append(sorted(p.name for p in (tmp_path / str(limit) / "gold" / "fact_sales" / "data_version=2").iterdir() if p.is_dir()))
+    assert written[0] == written[1] and len(written[0]) == 1
+
+
+def test_unchanged_dimensions_get_no_new_version(spark, loaded):
+    version = tables._current(spark, loaded.path("gold", "dim_geo"))[0]
+    run(spark, loaded.root, make_sources(spark))
+    assert tables._current(spark, loaded.path("gold", "dim_geo"))[0] == version
+
+
+def test_counts_of_a_load_balance(spark, loaded):
+    counts = {(r.table, r.outcome): r.rows for r in loaded.load_counts().filter("batch_id = 1").collect()}
+    i = inputs(spark, SF_DIR)
+    judged = sum(n for (t, o), n in counts.items() if t == "sales_order_lines")
+    assert judged == i.raw("order_items").count()  # verdicts and orphans
+    assert counts["fact_sales", "fact"] + counts["fact_sales", "unmatched"] == counts["sales_order_lines", quality.GOOD]
+    assert counts["fact_sales", "insert"] == counts["fact_sales", "fact"]
+
+
+def test_load_name_reaches_the_quarantine(spark, tmp_path):
+    load.run_load(spark, str(tmp_path / "w"), make_sources(spark), fixtures.AS_OF, fixtures.NOW, load_name="other_load")
+    names = load.Warehouse(spark, str(tmp_path / "w")).quarantine().select("job_name").distinct().collect()
+    assert [r.job_name for r in names] == ["other_load"]
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_root(Session())

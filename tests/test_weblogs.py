@@ -1,12 +1,13 @@
 from __future__ import annotations
 
-import re
+import os
 from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.operators import conform
 from strata.sources import files, tables
 from strata.streaming import weblogs
 
@@ -31,21 +32,41 @@ LINES = [
     "",
 ]
 
-FIELDS = re.compile(
-    r'(\S+)\s+\S+\s+(\S+)\s+\[(.*?)\]\s+".*?"\s+\d{3}\s+\S+\s+".*?"\s+"(.*?)"'
-)
+def quoted(text):
+    """What stands between the first quote and the next quote that a blank or the end follows; and what comes after it."""
+    if not text.startswith('"'):
+        return None, text
+    ends = [k for k in range(1, len(text)) if text[k] == '"' and (k + 1 == len(text) or text[k + 1].isspace())]
+    return (text[1 : ends[0]], text[ends[0] + 1 :]) if ends else (None, text)
 
 
 def by_hand(line):
-    found = FIELDS.fullmatch(line)
-    if not found:
-        return None, None, None, None
-    ip, user, time, agent = found.groups()
+    """Field by field from the left: three words, a time in brackets, a quoted request, a status, a size, two quoted texts."""
+    nothing = (None, None, None, None)
+    words, rest = [], line
+    for _ in range(3):
+        k = next((k for k, c in enumerate(rest) if c.isspace()), 0)
+        if not k:
+            return nothing
+        words.append(rest[:k])
+        rest = rest[k:].lstrip()
+    if not rest.startswith("[") or "]" not in rest:
+        return nothing
+    time, rest = rest[1:].split("]", 1)
+    _, rest = quoted(rest.lstrip())
+    status, size, rest = [*rest.split(maxsplit=2), "", ""][:3]
+    if not (len(status) == 3 and status.isdigit() and size):
+        return nothing
+    referrer, rest = quoted(rest)
+    agent = rest.lstrip()
+    if referrer is None or not (len(agent) > 1 and agent[0] == agent[-1] == '"'):
+        return nothing
+    ip, _, user = words
     try:
         when = datetime.strptime(time, "%d/%b/%Y:%H:%M:%S %z").astimezone(UTC).replace(tzinfo=None)
     except ValueError:
         when = None
-    return ip, None if user == "-" else user, when, None if agent == "-" else agent
+    return ip, None if user == "-" else user, when, None if agent[1:-1] == "-" else agent[1:-1]
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
@@ -89,6 +110,37 @@ def test_grown_file_adds_its_new_lines_only(spark, tmp_path):
     assert [x[2] for x in lines_of(spark, target)] == ["one", "two", "three"]
 
 
+def test_stream_takes_old_and_grown_files(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    (tmp_path / "in").mkdir()
+    log = tmp_path / "in" / "a.log"
+    log.write_text("one\ntwo\n")
+    weblogs.stream_weblogs(spark, source, target, checkpoint, NOW)
+    old = tmp_path / "in" / "b.log"
+    old.write_text("x\ny\nz\n")
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    with log.open("a") as more:
+        more.write("three\n")
+    weblogs.stream_weblogs(spark, source, target, checkpoint, NOW)
+    expected = [("a.log", 1, "one"), ("a.log", 2, "two"), ("a.log", 3, "three"), ("b.log", 1, "x"), ("b.log", 2, "y"), ("b.log", 3, "z")]
+    assert lines_of(spark, target) == sorted(expected)
+    assert weblogs.changed_files(spark, source, target) == []
+    ids = [r.log_id for r in tables.read_table(spark, target, schemas.WEBLOG_ROWS).collect()]
+    assert sorted(ids) == list(range(1, 7))
+
+
+def test_leads_go_by_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lead_id,full_name,email,company_name,lead_score,acquired_at\nL1,Ann,a@b.c,Co,5,2001-01-01 00:00:00\n")
+    (tmp_path / "b.csv").write_text("EMAIL,lead_id,note,full_name,company_name,lead_score,acquired_at\nx@y.z,L2,n,Bob,Inc,6,2001-01-02 00:00:00\n")
+    got = sorted(tuple(r) for r in files.read_leads(spark, str(tmp_path)).select("lead_id", "full_name", "email").collect())
+    assert got == [("L1", "Ann", "a@b.c"), ("L2", "Bob", "x@y.z")]
+    numbered = conform.add_lineage(files.read_leads(spark, str(tmp_path), located=True), NOW).collect()
+    assert [r.source_line_number for r in numbered] == [1, 1] and len({r.row_hash for r in numbered}) == 2
+    (tmp_path / "c.csv").write_text("lead_id,full_name\nL3,Eve\n")
+    with pytest.raises(ValueError, match="email"):
+        files.read_leads(spark, str(tmp_path))
+
+
 def test_parsed_fields_need_one_pass_of_the_pattern(spark):
     parsed = files.parse_weblogs(spark.createDataFrame([("x",)], "raw_line string").filter(F.col("raw_line") != ""))
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
