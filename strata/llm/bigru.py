@@ -322,7 +322,7 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float | None = None) -> N
     trainer, draw = Trainer(words, tuple(prior)), np.random.default_rng(SEED)
     weight = np.array([1.0, (y == 0).sum() / max(1, (y == 1).sum())])
     picked = [int(value[r].max(axis=1).argmax()) for r in rows]
-    passes = max(8, round(STEPS * BATCH / (2 * len(own))))
+    passes = max(8, -(-STEPS // -(-2 * len(own) // BATCH)))
     for turn in range(passes):
         if turn == passes // 2:
             model = _ready(trainer, words)
