@@ -55,10 +55,11 @@ def row_key(docs: DataFrame) -> Column:
 def with_decisions(docs: DataFrame, key: Column, decisions: DataFrame, column: str) -> DataFrame:
     """Each row of `docs` with `column` of the row of `decisions` (key, column; keys distinct) that has its key; others go.
 
-    docs may have any column names; the key and the decision are structs beside a struct of the row.
+    docs may have any column names; the key and the decision stand beside a struct of the row. Both sides are shuffled at every size:
+    there are about as many decisions as rows, so they are never broadcast.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    return rows.join(decisions.select("key", F.col(column).alias("decision")), "key")
+    return rows.join(decisions.select("key", F.col(column).alias("decision")).hint("merge"), "key")
 
 
 def crc_bucket(id_col: Column, buckets: int) -> Column:
