@@ -14,6 +14,8 @@ from strata.session import broadcast_if_small
 TERM = r"[\p{L}\p{N}]+"
 #: Terms kept are in this part of the documents at least and at most: idf from 6.2 to 7.6.
 BAND = (0.0005, 0.002)
+#: Terms of so few documents are never above the band: in a small table the upper share alone would leave no term.
+FEW = 2
 #: Random parts of the lexicon: level l holds a term with probability 2**-l; so many parts a level. 62 parts at most.
 LEVELS, PARTS = 8, 4
 #: The band bounds the lexicon by terms a document / BAND[0], whatever the number of documents; beyond this it is shuffled.
@@ -35,7 +37,8 @@ def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, levels: int = LE
     # the outer form of explode, as for the plain one Spark adds a filter that works out all terms once more
     seen = texts.select(F.explode_outer(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     total = texts.count()
-    kept = seen.filter(F.col("term").isNotNull() & (F.col("df") >= band[0] * total) & (F.col("df") <= band[1] * total)).select("term")
+    most = max(band[1] * total, FEW)
+    kept = seen.filter(F.col("term").isNotNull() & (F.col("df") >= band[0] * total) & (F.col("df") <= most)).select("term")
     bits = [
         F.when(F.xxhash64("term", F.lit(level * parts + part)).bitwiseAND((1 << (level + 1)) - 1) == 0, F.lit(1 << (level * parts + part)).cast("long")).otherwise(F.lit(0).cast("long"))
         for level in range(levels)
