@@ -73,7 +73,7 @@ FROM {src_products} WHERE supplier_id < 7""",
 SELECT order_id, company_id, customer_id, order_timestamp FROM {src_orders} WHERE order_timestamp < TIMESTAMP_NTZ '2000-12-01 00:00:00'""",
     "order_items": """
 SELECT order_item_id, order_id, product_id, quantity,
-  CAST(CASE WHEN order_item_id % 5 = 0 THEN unit_price + 1 ELSE unit_price END AS DECIMAL(12,2)) AS unit_price FROM {src_order_items}""",
+  CAST(CASE WHEN order_item_id % 50 < 10 THEN unit_price + 1 ELSE unit_price END AS DECIMAL(12,2)) AS unit_price FROM {src_order_items}""",
     "weblogs": """
 SELECT log_id, client_ip, username, request_time, user_agent FROM {src_weblogs} WHERE request_time < TIMESTAMP_NTZ '2024-01-15 00:00:00'""",
     "leads_csv": """
