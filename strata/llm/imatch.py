@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -29,71 +30,122 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), 0))
 
 
-def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, levels: int = LEVELS, parts: int = PARTS) -> DataFrame:
-    """term and mask (bit j: the term belongs to part j) of the terms within the band of document frequencies, over all texts.
-
-    An empty term with an empty mask is added; it stands for the document itself. In: column text. Written to the shared folder.
-    """
-    # the outer form of explode, as for the plain one Spark adds a filter that works out all terms once more
-    seen = texts.select(F.explode_outer(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    total = texts.count()
-    most = max(band[1] * total, FEW)
-    kept = seen.filter(F.col("term").isNotNull() & (F.col("df") >= band[0] * total) & (F.col("df") <= most)).select("term")
+def _mask(term: Column, levels: int = LEVELS, parts: int = PARTS) -> Column:
+    """Bit j: the term belongs to part j."""
     bits = [
-        F.when(F.xxhash64("term", F.lit(level * parts + part)).bitwiseAND((1 << (level + 1)) - 1) == 0, F.lit(1 << (level * parts + part)).cast("long")).otherwise(F.lit(0).cast("long"))
+        F.when(F.xxhash64(term, F.lit(level * parts + part)).bitwiseAND((1 << (level + 1)) - 1) == 0, F.lit(1 << (level * parts + part)).cast("long")).otherwise(F.lit(0).cast("long"))
         for level in range(levels)
         for part in range(parts)
     ]
     mask = bits[0]
     for bit in bits[1:]:
         mask = mask.bitwiseOR(bit)
-    sentinel = texts.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask"))
-    return keep(kept.select("term", mask.alias("mask")).union(sentinel), "lexicon")
+    return mask
 
 
-def _signature(terms: Column, whole: Column, count: int) -> Column:
-    """Of each part the 32-bit hash of its terms in order, '-' where it has none; of a text without any, '=' and a hash of all of it."""
+def lexicon(texts: DataFrame, band: tuple[float, float] = BAND, levels: int = LEVELS, parts: int = PARTS) -> DataFrame:
+    """term, mask (bit j: the term belongs to part j), df and banded of the terms that are in as many documents as the band begins with, or more.
+
+    banded: df is within the band. Document frequencies and their total are over the distinct texts among all (case aside), so that
+    copies raise neither. In: column text. Written to the shared folder.
+    """
+    distinct = texts.groupBy(F.xxhash64(F.lower("text")).alias("h")).agg(F.first("text").alias("text"))
+    # the outer form of explode, as for the plain one Spark adds a filter that works out all terms once more
+    seen = distinct.select(F.explode_outer(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    total = distinct.count()
+    most = max(band[1] * total, FEW)
+    kept = seen.filter(F.col("term").isNotNull() & (F.col("df") >= band[0] * total))
+    return keep(kept.select("term", _mask(F.col("term"), levels, parts).alias("mask"), "df", (F.col("df") <= most).alias("banded")), "lexicon")
+
+
+def _parts(terms: Column, count: int) -> Column:
+    """Of each part the 32-bit hash of its terms in order, '-' where it has none."""
 
     def of_part(j: int) -> Column:
         own = F.filter(terms, lambda t: F.getbit(t["mask"], F.lit(j)) == 1)
         return F.when(F.size(own) == 0, F.lit(_NONE)).otherwise(F.lpad(F.hex(F.xxhash64(own).bitwiseAND(0xFFFFFFFF)), 8, "0"))
 
-    signs = F.lower(F.concat(*map(of_part, range(count))))
-    return F.when(F.exists(terms, lambda t: t["mask"] != 0), signs).otherwise(F.concat(F.lit("="), F.lower(F.lpad(F.hex(whole), 16, "0"))))
+    return F.lower(F.concat(*map(of_part, range(count))))
+
+
+def _rarer(terms: Column) -> Column:
+    """Of a text's terms in order of df those of at most twice the df of the middle one, so that what is taken stays much the same when a part of the text is another.
+
+    The rarest few would not: in a large group of near copies all terms of the group are commoner than most of what replaces a part.
+    """
+    most = 2 * F.get(terms, F.floor((F.size(terms) - 1) / 2).cast("int"))["df"]
+    return F.filter(terms, lambda t: t["df"] <= most)
+
+
+def _compact(terms: Column) -> Column:
+    """Terms as numbers, to travel with a row."""
+    return F.transform(terms, lambda t: F.struct(F.xxhash64(t["term"]).alias("h"), t["mask"].alias("mask")))
+
+
+def _signature(own: Column, wide: Column, whole: Column) -> Column:
+    """The parts of the terms in the band; of a text without any '~' and those of its rarer terms; without these '=' and a hash of all of it."""
+    some = lambda x: F.regexp_like(x, F.lit("[^-]"))
+    return F.when(some(own), own).when(some(wide), F.concat(F.lit("~"), wide)).otherwise(F.concat(F.lit("="), F.lower(F.lpad(F.hex(whole), 16, "0"))))
 
 
 def fingerprint_texts(df: DataFrame, keys: list[str], texts: dict[str, str], lexicon: DataFrame, count: int = LEVELS * PARTS) -> DataFrame:
     """Adds a fingerprint of each of one or two text columns: texts maps the column's name to the fingerprint's. Text columns are dropped.
 
-    keys tell rows apart; where `df` is partitioned by some of them, nothing is shuffled. Terms are looked up in the lexicon as
-    rows; those outside of it are gone before terms meet again.
+    Beside each fingerprint stands what a likeness needs where one of two texts has no term in the band: with _wide added to its
+    name the rarer of the text's terms (see _rarer), be they above, in or below the band, and with _parts their parts, null where
+    each text of the row has a term in the band. keys tell rows apart; where `df`
+    is partitioned by some of them, nothing is shuffled. Terms are looked up in the lexicon as rows.
     """
     names = list(texts)
     held = [c for c in df.columns if c not in names and c not in keys]
     filled = [F.coalesce(F.col(n), F.lit("")) for n in names]
     wholes = [F.xxhash64(F.lower(t)).alias(f"whole{i}") for i, t in enumerate(filled)]
     cut = df.select(*keys, *held, *wholes, *[_terms(t).alias(n) for n, t in zip(names, filled)])
-    # place 0 holds the empty term that stands for the row, then come the first text's terms, then the second's
+    # place 0 holds an empty term that stands for the row, then come the first text's terms, then the second's
     cut = cut.select(*keys, *held, *[f"whole{i}" for i in range(len(names))], F.size(names[0]).alias("first"), F.concat(F.array(F.lit("")), *names).alias("terms"))
     rows = cut.select(*keys, *held, *[f"whole{i}" for i in range(len(names))], "first", F.posexplode_outer("terms").alias("place_of", "term"))
-    found = rows.join(broadcast_if_small(lexicon, LEXICON_ROWS), "term")
+    found = rows.join(broadcast_if_small(lexicon, LEXICON_ROWS), "term", "left")
     of = F.when(F.col("place_of") == 0, -1).when(F.col("place_of") <= F.col("first"), 0).otherwise(1)
+    # below the band a term's df is not known: 0
+    term = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term", F.coalesce("mask", _mask(F.col("term"))).alias("mask"), F.coalesce("banded", F.lit(False)).alias("banded"))
+    found = found.select(*keys, *held, *[f"whole{i}" for i in range(len(names))], of.alias("of"), term.alias("entry"))
     grouped = found.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in held],
         *[F.first(f"whole{i}").alias(f"whole{i}") for i in range(len(names))],
-        *[F.sort_array(F.collect_list(F.when(of == i, F.struct("term", "mask")))).alias(n) for i, n in enumerate(names)],
+        *[F.sort_array(F.collect_list(F.when(F.col("of") == i, F.col("entry")))).alias(n) for i, n in enumerate(names)],
     )
-    return grouped.select(*keys, *held, *[_signature(F.col(n), F.col(f"whole{i}"), count).alias(texts[n]) for i, n in enumerate(names)])
-
-
-def likeness(a: Column, b: Column, count: int = LEVELS * PARTS) -> Column:
-    """Of the parts in which either fingerprint has terms, the share in which both have the same; 1 for equal fingerprints."""
+    same = [*keys, *held, *[f"whole{i}" for i in range(len(names))]]
+    split = grouped.select(*same, *[c for n in names for c in (F.transform(F.filter(n, lambda t: t["banded"]), lambda t: F.struct(t["term"].alias("term"), t["mask"].alias("mask"))).alias(f"own_{n}"), _compact(_rarer(F.col(n))).alias(f"wide_{n}"))])
+    # parts of rarer terms cost more than all else: they are worked out only for rows in which a text has no term in the band
+    lone = reduce(lambda x, y: x | y, [~F.exists(f"own_{n}", lambda t: t["mask"] != 0) for n in names])
+    parts = split.select(*same, *[c for n in names for c in (
+        _parts(F.col(f"own_{n}"), count).alias(f"own_{n}"), F.when(lone, _parts(F.col(f"wide_{n}"), count)).alias(f"parts_{n}"), F.col(f"wide_{n}")
+    )])
+    return parts.select(*keys, *held, *[
+        c for i, n in enumerate(names) for c in (
+            _signature(F.col(f"own_{n}"), F.col(f"parts_{n}"), F.col(f"whole{i}")).alias(texts[n]), F.col(f"parts_{n}").alias(f"{texts[n]}_parts"), F.col(f"wide_{n}").alias(f"{texts[n]}_wide")
+        )
+    ])
+
+
+def likeness(a: Column, b: Column, a_parts: Column, b_parts: Column, count: int = LEVELS * PARTS) -> Column:
+    """Of the parts in which either text has terms, the share in which both have the same; 1 for equal fingerprints.
+
+    Where a text has no term in the band, the parts are those of the rarer terms of both; terms in the band that the other has
+    count as parts in which they differ.
+    """
     part = lambda x, j: F.substring(x, j * 8 + 1, F.lit(8))
     places = F.sequence(F.lit(0), F.lit(count - 1))
-    either = F.size(F.filter(places, lambda j: (part(a, j) != _NONE) | (part(b, j) != _NONE)))
-    both = F.size(F.filter(places, lambda j: (part(a, j) == part(b, j)) & (part(a, j) != _NONE)))
-    alone = a.startswith("=") | b.startswith("=")
-    return F.when(a == b, F.lit(1.0)).when(alone, F.lit(0.0)).otherwise(both / either)
+
+    def share(x: Column, y: Column, more: Column | int = 0) -> Column:
+        either = F.size(F.filter(places, lambda j: (part(x, j) != _NONE) | (part(y, j) != _NONE)))
+        both = F.size(F.filter(places, lambda j: (part(x, j) == part(y, j)) & (part(x, j) != _NONE)))
+        return both / (either + more)
+
+    lone = lambda x: x.startswith("~")
+    filled = lambda x: F.when(lone(x), 0).otherwise(F.size(F.filter(places, lambda j: part(x, j) != _NONE)))
+    nothing = a.startswith("=") | b.startswith("=")
+    return F.when(a == b, F.lit(1.0)).when(nothing, F.lit(0.0)).when(lone(a) | lone(b), share(a_parts, b_parts, filled(a) + filled(b))).otherwise(share(a, b))
 
 
 def _ranges(docs: DataFrame, range_rows: int, ranges: int) -> Column:
@@ -154,10 +206,13 @@ def edited_fingerprints(
     texts = placed.select("part", "place", "doc_id", chars.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     texts = texts.withColumn("edited_sha256", F.sha2("edited", 256))
     signed = fingerprint_texts(texts, ["part", "place"], {"text": "fingerprint", "edited": "edited_fingerprint"}, words)
-    next_sign = F.lead("fingerprint").over(Window.partitionBy("part").orderBy("place"))
-    signed = signed.withColumn("next_sign", next_sign).join(signs, "part").withColumn("next_sign", F.coalesce("next_sign", "first_sign"))
+    following = Window.partitionBy("part").orderBy("place")
+    signed = signed.withColumns({"next_sign": F.lead("fingerprint").over(following), "next_wide": F.lead("fingerprint_wide").over(following)}).join(signs, "part")
+    signed = signed.withColumns({"next_sign": F.coalesce("next_sign", "first_sign"), "next_wide": F.coalesce("next_wide", "first_sign_wide")})
+    lone = F.col("fingerprint").startswith("~") | F.col("next_sign").startswith("~")
+    signed = signed.withColumns({c: F.when(lone, _parts(F.col(x), LEVELS * PARTS)) for c, x in (("own_parts", "fingerprint_wide"), ("next_parts", "next_wide"))})
     return signed.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_sign")).alias("near_next"),
+        likeness(*map(F.col, ("fingerprint", "edited_fingerprint", "fingerprint_parts", "edited_fingerprint_parts"))).alias("near_edited"),
+        likeness(*map(F.col, ("fingerprint", "next_sign", "own_parts", "next_parts"))).alias("near_next"),
     )
