@@ -168,6 +168,12 @@ def _ranges(docs: DataFrame, range_rows: int, ranges: int) -> Column:
     return F.expr(f"if(doc_id is null, {len(borders) + 1}, {before}) * 128L + if({split}, 32 - shiftright(h, 58), 0)")
 
 
+def _behind(parts: DataFrame) -> DataFrame:
+    """part and behind, the range before it, of the first one the last. All meet in one task, so they come without their texts."""
+    along = Window.orderBy("part")
+    return keep(parts.select("part", F.coalesce(F.lag("part").over(along), F.last("part").over(along.rowsBetween(0, Window.unboundedFollowing))).alias("behind")), "behind")
+
+
 def edited_fingerprints(
     docs: DataFrame,
     band: tuple[float, float] = BAND,
@@ -192,10 +198,8 @@ def edited_fingerprints(
     order = [F.col("doc_id").desc_nulls_last(), F.col("h").desc()]
     # one row a range: its first text, and which range comes before it
     top = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("doc_id").isNotNull().alias("has"), F.col("h"))
-    firsts = ranged.groupBy("part").agg(F.max_by("text", top).alias("first_text"))
-    along = Window.orderBy("part")
-    behind = F.coalesce(F.lag("part").over(along), F.last("part").over(along.rowsBetween(0, Window.unboundedFollowing)))
-    firsts = keep(firsts.select(behind.alias("part"), "first_text"), "firsts")
+    firsts = keep(ranged.groupBy("part").agg(F.max_by("text", top).alias("first_text")), "firsts")
+    firsts = firsts.join(_behind(firsts.select("part")), "part").select(F.col("behind").alias("part"), "first_text")
     signs = keep(fingerprint_texts(firsts.withColumnRenamed("first_text", "t"), ["part"], {"t": "first_sign"}, words), "signs")
     own = Window.partitionBy("part").orderBy(*order)
     placed = ranged.select("part", "doc_id", "text", F.row_number().over(own).alias("place"), F.lead("text").over(own).alias("after"))

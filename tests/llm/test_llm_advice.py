@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -34,3 +35,15 @@ def test_imatch_counts_a_text_once(spark):
     docs = spark.createDataFrame([("same Words",)] * 50 + [("SAME words",)] * 50 + [(f"other{n}",) for n in range(20)], "text string")
     df = {r.term: (r.df, r.banded) for r in imatch.lexicon(docs, band=(0.01, 0.1)).collect()}
     assert df["same"] == df["words"] == (1, True) and len(df) == 22
+
+
+def test_imatch_orders_ranges_without_their_texts(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(imatch, "keep", lambda df, label, real=imatch.keep: kept.setdefault(label, df) and real(df, label))
+    docs = spark.createDataFrame([(n, f"text of {n} here") for n in range(40)], "doc_id long, text string")
+    got = {r.doc_id: r.edited_sha256 for r in imatch.edited_fingerprints(docs, range_rows=5).collect()}
+    for n in range(40):
+        text, after = f"text of {n} here", f"text of {(n - 1) % 40} here"
+        assert got[n] == hashlib.sha256((text[: len(text) - len(text) // 3] + after[: len(text) // 3]).encode()).hexdigest()
+    windows = {label for label, df in kept.items() if "Window" in df._jdf.queryExecution().optimizedPlan().toString()}
+    assert windows == {"behind"} and kept["behind"].columns == ["part", "behind"]
