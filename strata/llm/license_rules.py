@@ -118,7 +118,8 @@ gpl | 50 | copying | you should have received a copy of the gnu general public l
 gpl | 75 | gnu | www gnu org licenses gpl
 gpl-2.0 | 82 | gnu | www gnu org licenses (?:old licenses )?gpl 2 0
 gpl-3.0 | 82 | gnu | www gnu org licenses gpl 3 0
-gpl-classpath-exception | 88 | classpath | (?:classpath exception|as a special exception .{0,200}?link this library with independent modules)
+gpl-classpath-exception | 88 | classpath | classpath exception
+gpl-classpath-exception | 88 | exception | as a special exception .{0,200}?link this library with independent modules
 gcc-exception | 88 | gcc | gcc runtime library exception
 lgpl | 96 | lesser | under the terms of the gnu lesser general public license
 lgpl-2.0 | 92 | library | gnu library general public license
@@ -191,7 +192,8 @@ icu | 80 | icu | icu license
 curl | 75 | curl | curl license
 vim | 75 | vim | vim license
 tcl | 75 | tcl | tcl tk license
-beerware | 85 | beer | (?:the )?beer ?ware license
+beerware | 85 | beer | (?:the )?beer ware license
+beerware | 85 | beerware | (?:the )?beerware license
 json | 90 | evil | the software shall be used for good not evil
 sleepycat | 80 | sleepycat | sleepycat license
 eupl-1.2 | 85 | european | european union public licen[cs]e (?:version |v )?1 2

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from strata.llm import imatch
+from strata.llm import imatch, licenses
 
 
 def _words(seed, n, of):
@@ -47,3 +48,40 @@ def test_imatch_orders_ranges_without_their_texts(spark, monkeypatch):
         assert got[n] == hashlib.sha256((text[: len(text) - len(text) // 3] + after[: len(text) // 3]).encode()).hexdigest()
     windows = {label for label, df in kept.items() if "Window" in df._jdf.queryExecution().optimizedPlan().toString()}
     assert windows == {"behind"} and kept["behind"].columns == ["part", "behind"]
+
+
+def _examples(parsed):
+    """Texts that a parsed pattern matches: every branch, optional parts once and not at all, gaps as short as they may be."""
+    texts = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            more = [chr(v) for o, v in value if str(o) == "LITERAL"]
+        elif name == "BRANCH":
+            more = [x for branch in value[1] for x in _examples(branch)]
+        elif name == "SUBPATTERN":
+            more = _examples(value[-1])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            more = ["x" * value[0]] if str(value[2][0][0]) == "ANY" else [x * n for n in {value[0], min(1, value[1])} for x in _examples(value[2])]
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+            more = [""]
+        texts = [a + b for a in texts for b in dict.fromkeys(more)]
+    return texts
+
+
+def test_license_keywords_stand_in_all_that_their_patterns_match():
+    for rule in licenses.read_rules(licenses.RULES):
+        for text in _examples(re._parser.parse(rule.pattern.pattern)):
+            text = " ".join(text.split()).encode()
+            assert rule.keyword in text.split(), (rule.label, rule.keyword, text)
+            assert rule.pattern.search(b" " + text + b" "), (rule.label, text)
+
+
+def test_licenses_found_without_the_word_of_the_other_wording():
+    scanner = licenses.Scanner(licenses.read_rules(licenses.RULES))
+    found = lambda text: {label for label, *_ in scanner.scan(text)[-1]}
+    assert "gpl-classpath-exception" in found(b"As a special exception, the holders give you permission to link this library with independent modules.")
+    assert found(b"The Beerware License") == found(b"the beer-ware license") == {"beerware"}
