@@ -8,7 +8,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.llm import imatch, licenses
+from strata.llm import imatch, labelled, licenses
 
 
 def _words(seed, n, of):
@@ -85,3 +85,17 @@ def test_licenses_found_without_the_word_of_the_other_wording():
     found = lambda text: {label for label, *_ in scanner.scan(text)[-1]}
     assert "gpl-classpath-exception" in found(b"As a special exception, the holders give you permission to link this library with independent modules.")
     assert found(b"The Beerware License") == found(b"the beer-ware license") == {"beerware"}
+
+
+def test_sample_takes_each_id_once_and_only_those_at_hand(spark):
+    marks = spark.createDataFrame([(n, n % 2) for n in range(200)] * 3, "doc_id long, toxic int")
+    rows = [(n, f"text {n}") for n in range(100)] + [(n, "x" * 50) for n in range(100, 150)]
+    docs = spark.createDataFrame(rows * 4 + [(n, f"a text {n}") for n in range(100)], "doc_id long, text string")
+    held = {r.id for r in spark.range(200).filter(labelled.held_out(F.col("id"))).collect()}
+    for most in (10, 1000):
+        got = [(r.id, r.y, bytes(r.text)) for r in labelled.training_sample(docs, marks, "toxic", most, 40).collect()]
+        for y in (0, 1):
+            free = [n for n in range(100) if n % 2 == y and n not in held]
+            own = [r for r in got if r[1] == y]
+            assert len(own) == len({r[0] for r in own}) == min(most, len(free)) and {r[0] for r in own} <= set(free)
+        assert all(text == f"a text {n}".encode() for n, _, text in got)
