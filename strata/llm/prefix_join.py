@@ -25,37 +25,93 @@ BLOCK = 256
 COUNTED, TOGETHER, BUCKET = 1 << 22, 1 << 20, 1 << 22
 #: Parts of a bucket, so that a shingle of a third of all documents does not meet in one task.
 SALTS = 4
-#: Words whose hashes a worker remembers.
-WORDS = 500_000
+#: Bytes whose words are hashed at once.
+SPAN = 1 << 18
 #: Least bits of a shingle's hash by which shingles are counted; more for larger inputs, so that hardly two share them.
 BITS = 40
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-class Shingles:
-    """The distinct shingles of a text as sorted 64-bit hashes of their words' hashes."""
-
-    def __init__(self, shingle: int = SHINGLE):
-        self.shingle, self.known = shingle, {}
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()  # of bytes: lowers A-Z only, cuts at space and \t to \r only
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(self.known) > WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words):
-            if word not in known:
-                known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        length = min(self.shingle, len(words))
-        total = np.full(len(words) - length + 1, length, np.uint64)  # fewer words than a shingle has: one of all of them, unlike any other
-        for k in range(length):
-            total = (total ^ (total >> np.uint64(29))) * _ODD[k % len(_ODD)] + hashes[k : len(words) - length + 1 + k]
-        total = (total ^ (total >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        total = (total ^ (total >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return np.unique(total ^ (total >> np.uint64(31)))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = np.frombuffer(hashlib.shake_256(b"bytes of a word").digest(8 * 256), "<u8")
+_STEP = 0x9E3779B97F4A7C13  # 3 modulo 4, so differences of its powers have few factors of two
+
+
+def _series(step: int, length: int) -> np.ndarray:
+    """1, step, step ** 2 and so on, modulo 2 ** 64."""
+    out = np.ones(length, np.uint64)
+    done = 1
+    while done < length:
+        more = min(done, length - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(step, done, 1 << 64))
+        done += more
+    return out
+
+
+_POWERS, _INVERSES = _series(_STEP, SPAN), _series(pow(_STEP, -1, 1 << 64), SPAN)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and a 64-bit hash of each: words are cut at ASCII white space.
+
+    A word's hash is a polynomial over its bytes, as a difference of running sums, so that all words of a span are hashed at once.
+    Spans end at white space; a word of SPAN bytes or more is hashed by itself.
+    """
+    whole = np.frombuffer(text, np.uint8)
+    starts, hashes, at = [], [], 0
+    while at < len(whole):
+        part = whole[at : at + SPAN]
+        blank = _SPACE[part]
+        if at + SPAN < len(whole):
+            blanks = np.flatnonzero(blank)
+            if not len(blanks):
+                after = [i for i in (text.find(c, at) for c in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b" ")) if i >= 0]
+                end = min(after, default=len(text))
+                starts.append(np.array([at]))
+                hashes.append(np.array([xxhash.xxh3_64_intdigest(text[at:end])], np.uint64))
+                at = end
+                continue
+            part, blank = part[: blanks[-1] + 1], blank[: blanks[-1] + 1]
+        edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        first, last = edges[::2], edges[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * _POWERS[: len(part)], dtype=np.uint64)])
+        starts.append(first + at)
+        hashes.append(_mixed((sums[last] - sums[first]) * _INVERSES[first] + (last - first).astype(np.uint64)))
+        at += len(part)
+    return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.empty(0, np.int64), np.empty(0, np.uint64))
+
+
+def _joined(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of `length` words."""
+    total = np.full(len(hashes) - length + 1, length, np.uint64)
+    for k in range(length):
+        total = (total ^ (total >> np.uint64(29))) * _ODD[k % len(_ODD)] + hashes[k : len(hashes) - length + 1 + k]
+    return _mixed(total)
+
+
+def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit hashes. A-Z are lowered; fewer words than a shingle has are one of all of them."""
+    starts, hashes = word_hashes(b" ".join(texts).lower())
+    offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]) if texts else np.zeros(1, np.int64)
+    borders = np.searchsorted(starts, offsets)
+    joined = _joined(hashes, shingle) if len(hashes) >= shingle else np.empty(0, np.uint64)
+    sets = []
+    for first, last in zip(borders[:-1], borders[1:]):
+        if last - first >= shingle:
+            sets.append(_distinct(np.sort(joined[first : last - shingle + 1])))
+        else:
+            sets.append(_joined(hashes[first:last], last - first) if last > first else np.empty(0, np.uint64))
+    return sets
+
+
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])]
 
 
 def prefix_length(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -103,9 +159,8 @@ def census(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, text_key (a hash of the text), n (size of the set) and cls of every row; rows of one cls have equal sets. No words: n 0, cls null."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Shingles(shingle)
         for batch in batches:
-            sets = [cut(t) for t in utf8(batch)]
+            sets = shingle_sets(utf8(batch), shingle)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class(s) for s in sets], pa.binary())],
                 ["doc_id", "text_key", "n", "cls"],
@@ -146,22 +201,21 @@ def shared_keys(docs: DataFrame, cut: Cut, shingle: int = SHINGLE) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen, held, size = Shingles(shingle), set(), [], 0
+        seen, held, size = set(), [], 0
 
         def done() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             return _rows([(b, _pack_sorted(keys[at]), _pack(counts[at])) for b, at in cut.parts(keys)], COUNTS)
 
         for batch in batches:
-            for text in utf8(batch):
-                tokens = shingles(text)
+            for tokens in shingle_sets(utf8(batch), shingle):
                 cls = _class(tokens)
                 if cls is None or cls in seen:
                     continue
                 if len(seen) >= 1 << 20:
                     seen.clear()
                 seen.add(cls)
-                held.append(np.unique(cut.keys(tokens)))
+                held.append(_distinct(cut.keys(tokens)))
                 size += len(tokens)
                 if size >= COUNTED:
                     yield done()
@@ -215,7 +269,7 @@ def prefixes(docs: DataFrame, counts: DataFrame, cut: Cut, shingle: int = SHINGL
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shingles, seen, held, size, block = Shingles(shingle), set(), [], 0, 0
+        seen, held, size, block = set(), [], 0, 0
         task = TaskContext.get().partitionId()
 
         def done() -> pa.RecordBatch:
@@ -226,12 +280,10 @@ def prefixes(docs: DataFrame, counts: DataFrame, cut: Cut, shingle: int = SHINGL
             keys, refs = keys[order], refs[order]
             spread = xxhash.xxh32_intdigest(name)
             own = (name, -1 - spread % (1 << 20), 0, _pack(np.array([n for _, n, _ in held], np.uint64)), b"".join(c for c, _, _ in held))
-            # refs of one key rise, so their differences pack well however frequent the key is
-            return _rows([own, *((name, b, spread % SALTS, _pack_sorted(keys[at]), _pack(np.diff(refs[at], prepend=np.uint64(0)))) for b, at in cut.parts(keys))], PIECES)
+            return _rows([own, *((name, b, spread % SALTS, _pack_sorted(keys[at]), _pack(refs[at])) for b, at in cut.parts(keys))], PIECES)
 
         for batch in batches:
-            for text in utf8(batch):
-                tokens = shingles(text)
+            for tokens in shingle_sets(utf8(batch), shingle):
                 cls = _class(tokens)
                 if cls is None or cls in seen:
                     continue
@@ -256,12 +308,12 @@ def prefixes(docs: DataFrame, counts: DataFrame, cut: Cut, shingle: int = SHINGL
                 elif r["block"] is None:  # the counts come before the pieces
                     here, known, often = (r["bucket"], r["salt"]), _unpack_sorted(r["keys"]), _unpack(r["refs"])
                 elif here == (r["bucket"], r["salt"]) and len(known):
-                    keys, refs = _unpack_sorted(r["keys"]), np.cumsum(_unpack(r["refs"]), dtype=np.uint64)
+                    keys, refs = _unpack_sorted(r["keys"]), _unpack(r["refs"])
                     place = np.searchsorted(known, keys)
                     place[place == len(known)] = 0
                     hit = known[place] == keys
                     if hit.any():
-                        rows.append((r["block"], r["bucket"], _pack_sorted(keys[hit]), _pack(np.diff(refs[hit], prepend=np.uint64(0))), _pack(often[place[hit]])))
+                        rows.append((r["block"], r["bucket"], _pack_sorted(keys[hit]), _pack(refs[hit]), _pack(often[place[hit]])))
             yield _rows(rows, HITS)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +337,7 @@ def prefixes(docs: DataFrame, counts: DataFrame, cut: Cut, shingle: int = SHINGL
                         yield done()
                     now, sizes, names, held = r["block"], _unpack(r["keys"]).astype(np.int64), r["refs"], []
                 else:
-                    held.append((_unpack_sorted(r["keys"]), np.cumsum(_unpack(r["refs"]), dtype=np.uint64), _unpack(r["counts"])))
+                    held.append((_unpack_sorted(r["keys"]), _unpack(r["refs"]), _unpack(r["counts"])))
         if now is not None:
             yield done()
 
@@ -335,16 +387,16 @@ def involved_sets(docs: DataFrame, counted: DataFrame, members: DataFrame, shing
     texts = docs.select("text", "text_key").join(broadcast_if_small(keep(chosen.select("text_key").distinct(), "texts")), "text_key", "left_semi")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingles(shingle), set()
+        seen = set()
         for batch in batches:
-            rows = []
+            rows, new = [], []
             for key, text in zip(batch.column("text_key").to_pylist(), utf8(batch)):
-                if key in seen:
-                    continue
-                if len(seen) >= 1 << 20:
-                    seen.clear()
-                seen.add(key)
-                tokens = shingles(text)
+                if key not in seen:
+                    if len(seen) >= 1 << 20:
+                        seen.clear()
+                    seen.add(key)
+                    new.append(text)
+            for tokens in shingle_sets(new, shingle):
                 if len(tokens):
                     rows.append((_class(tokens), len(tokens), _marks(tokens), tokens.tobytes()))
             yield _rows(rows, SETS)
@@ -360,19 +412,20 @@ def _alike(percent: int, n: np.ndarray | int, differing: np.ndarray | int) -> np
     return (100 + percent) * differing <= (100 - percent) * n
 
 
-def _survivors(left: list[dict], right: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
-    """Pairs of different components, from left and right, whose sizes and marks don't tell that they are unlike."""
+def _survivors(left: list[dict], right: list[dict], percent: int, once: bool) -> list[tuple[bytes, bytes]]:
+    """Pairs of different components, from left and right, whose sizes and marks don't tell that they are unlike; once: for each of right
+    the first such pair only."""
     found = []
     by_width: dict[int, tuple] = {}
     for width in {len(r["marks"]) for r in right}:
         rows = [r for r in right if len(r["marks"]) == width]
         by_width[width] = (
             np.frombuffer(b"".join(r["marks"] for r in rows), np.uint8).reshape(-1, width),
-            np.array([r["n"] for r in rows]), [r["cls"] for r in rows], [r["comp"] for r in rows],
+            np.array([r["n"] for r in rows]), [r["cls"] for r in rows], [r["comp"] for r in rows], np.ones(len(rows), bool),
         )
     for x in left:
         own = np.frombuffer(x["marks"], np.uint8)
-        for width, (marks, n, names, comps) in by_width.items():
+        for width, (marks, n, names, comps, wanted) in by_width.items():
             a, b = own, marks
             if width > 2 * len(own) or len(own) > 2 * width:
                 continue  # one set is more than twice as large as the other: less than 50 % alike
@@ -382,20 +435,26 @@ def _survivors(left: list[dict], right: list[dict], percent: int) -> list[tuple[
                 a = a[:width] ^ a[width:]
             differing = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
             near = _alike(percent, n + x["n"], np.maximum(differing, np.abs(n - x["n"])))
-            for k in np.flatnonzero(near):
+            for k in np.flatnonzero(near & wanted):
                 if comps[k] != x["comp"]:
                     found.append((min(x["cls"], names[k]), max(x["cls"], names[k])))
+                    wanted[k] = not once
     return found
 
 
-def _meet(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """a and b: distinct pairs out of lists, left members with right ones, that may be alike. In: list, part, held (members)."""
+def _meet(left: DataFrame, right: DataFrame, percent: int, star: int | None = None, turn: int = 0) -> DataFrame:
+    """a and b: distinct pairs out of lists, left members with right ones, that may be alike. In: list, part, held (members).
+
+    star: where there are so many left members, each right one is paired with the first only that it may be alike, in an order that
+    is the same in all lists of a turn.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = set()
             for lefts, rights in zip(batch.column("lefts").to_pylist(), batch.column("rights").to_pylist()):
-                pairs.update(_survivors(lefts, rights, percent))
+                lefts.sort(key=lambda x: xxhash.xxh64_intdigest(x["cls"], turn))
+                pairs.update(_survivors(lefts, rights, percent, star is not None and len(lefts) >= star))
             yield _rows(sorted(pairs), "a binary, b binary")
 
     met = left.select("list", F.col("held").alias("lefts")).join(right.select("list", F.col("held").alias("rights")), "list")
@@ -428,10 +487,10 @@ def _blocks(rows: DataFrame, spread: Column) -> DataFrame:
 def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, hubs: int = HUBS, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Links that connect what is alike, and node and root of every set that has one.
 
-    All members of a list are compared with `hubs` of them, which is everything for a list of up to hubs + 1. In larger lists what has
-    become one component needs no more comparing: large groups of near copies are found round by round with new hubs. In the
-    end members outside a list's largest component are compared with all members of other components, block by block. No link between
-    components is missed, and a group's pairs are never all made. A pair is compared by sizes and marks, then in full.
+    Members of a list of fewer than `hubs` are all compared with each other. In larger ones each is compared with `hubs` of them and
+    linked to one, round by round with new hubs; what has become one component needs no more comparing. In the end members outside a
+    list's largest component are compared with all members of other components, block by block. No link between components
+    is missed, and a group's pairs are never all made. A pair is compared by sizes and marks, then in full.
     """
     rows = members.join(sets.select("cls", "marks"), "cls")
     found, roots = None, None
@@ -440,7 +499,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, hubs: int
         if found is None:
             now = keep(rows.withColumn("comp", F.col("cls")), "compared")
         else:
-            large = members.filter(F.col("size") > hubs + 1)
+            large = members.filter(F.col("size") >= hubs)
             placed = large.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
             mixed = placed.groupBy("list").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("list")
             placed = placed.join(keep(mixed, "mixed"), "list", "left_semi").join(sets.select("cls", "marks"), "cls")
@@ -457,7 +516,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, hubs: int
             often = now.groupBy("list", "comp").agg(F.count("*").alias("often"))
             most = keep(often.groupBy("list").agg(F.max_by("comp", F.struct("often", "comp")).alias("most")), "largest")
             left = keep(_blocks(now.join(most, "list").filter("comp <> most"), many), "outside")
-        new = _verified(_meet(left, whole, percent), sets, percent)
+        new = _verified(_meet(left, whole, percent, hubs if turn < rounds else None, turn), sets, percent)
         nothing = new.isEmpty()
         if found is None or not nothing:
             found = new if found is None else found.union(new)
