@@ -12,7 +12,7 @@ from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import keep, prepare, scratch_path
@@ -27,6 +27,8 @@ LEVEL = 6
 BLOCK, ROWS = 1 << 20, 500
 #: Compressed bytes of an archive that are read together.
 SPAN = 4 << 20
+#: Partitions at most, in shuffle partitions of the session: a driver cannot schedule millions of small ones.
+TASKS = 4
 #: Groups of equal payloads that are broadcast at most.
 GROUP_ROWS = 100_000
 # Fixed values of the WARC format.
@@ -42,6 +44,14 @@ def _storage(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else f"file://{path}")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The address as Spark resolves it: one without a scheme lies on the session's default file system, not on each machine's disk."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole = place.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", whole)
+
+
 def _open(path: str, mode: str) -> BinaryIO:
     system, place = _storage(path)
     return system.open_input_stream(place, compression=None) if mode == "rb" else system.open_output_stream(place, compression=None)
@@ -80,17 +90,18 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def inflate(stream: BinaryIO) -> Iterator[bytes]:
-    """The bytes of a gzip file of one member or several, block by block."""
-    unzip = zlib.decompressobj(31)
+    """The bytes of a gzip file of one member or several, block by block. A member without its end, trailer included, raises."""
+    unzip, begun = zlib.decompressobj(31), False
     while data := stream.read(BLOCK):
         while data:
+            begun = True
             yield unzip.decompress(data, BLOCK)
             while unzip.unconsumed_tail:
                 yield unzip.decompress(unzip.unconsumed_tail, BLOCK)
             data = unzip.unused_data
             if unzip.eof:
-                unzip = zlib.decompressobj(31)
-    if not unzip.eof and unzip.decompress(b"", 1):
+                unzip, begun = zlib.decompressobj(31), False
+    if begun:
         raise ValueError("the stream is cut off")
 
 
@@ -165,16 +176,17 @@ def _make(folder: str) -> None:
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrite gzip archives so that each record is a member of its own; returns their sidecar offset index.
 
-    In: column archive. Each file is inflated once, as a stream, however its members are cut; one record is held at a time.
-    Index: archive (the new file), offset, length (of the member), page_id, record_type, one row a record, and beside each
-    archive <name>.cdx with the same as text lines. Damaged or cut-off archives raise.
+    In: column archive and, where it is known, records, their number. Each file is inflated once, as a stream, however its members
+    are cut; one record is held at a time. Index: archive (the new file), offset, length (of the member), page_id, record_type, one row a
+    record, and beside each archive <name>.cdx with the same as text lines. Damaged or cut-off archives, and those of another number
+    of records, raise.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for source in batch.column("archive").to_pylist():
+            for source, expected in zip(batch.column("archive").to_pylist(), batch.column("records").to_pylist()):
                 path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-                offset, rows = 0, []
+                offset, count, rows = 0, 0, []
                 with _open(source, "rb") as stream, _open(path, "wb") as out, _open(f"{path}.cdx", "wb") as index:
                     for data in split_records(inflate(stream)):
                         fields, _ = parse(data)
@@ -183,17 +195,25 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         page = _page(fields["warc-record-id"])
                         index.write(f"{'-' if page is None else page} {fields['warc-type']} {offset} {len(packed)}\n".encode())
                         rows.append((path, offset, len(packed), page, fields["warc-type"]))
-                        offset += len(packed)
+                        offset, count = offset + len(packed), count + 1
                         if len(rows) == ROWS:
                             yield _batch(rows, INDEX)
                             rows = []
+                if expected is not None and count != expected:
+                    raise ValueError(f"{source} holds {count} records, not {expected}")
                 yield _batch(rows, INDEX)
 
     _make(folder)
-    files = archives.select("archive").repartition(max(1, archives.count()), "archive")
+    known = F.col("records").cast("long") if "records" in archives.columns else F.lit(None).cast("long").alias("records")
+    files = archives.select("archive", known).repartition(parts(archives.sparkSession, archives.count()))
     return keep(files.mapInArrow(work, INDEX), "index")
 
 
+def parts(spark: SparkSession, wanted: int) -> int:
+    """How many partitions for so many pieces of work: one each, but no more than TASKS times the session's shuffle partitions."""
+    return max(1, min(wanted, TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 INDEX = "archive string, offset long, length long, page_id long, record_type string"
 _TYPES = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
@@ -241,7 +261,7 @@ def read_archives(index: DataFrame) -> DataFrame:
             yield _batch(rows, RECORD)
 
     total = index.agg(F.sum("length")).first()[0] or 0
-    spans = index.repartition(ceil(total / SPAN) + 1, "archive", F.floor(F.col("offset") / SPAN))
+    spans = index.repartition(parts(index.sparkSession, ceil(total / SPAN) + 1), "archive", F.floor(F.col("offset") / SPAN))
     return spans.sortWithinPartitions("archive", "offset").mapInArrow(work, RECORD)
 
 
@@ -277,7 +297,7 @@ def warc_round_trip(
     Null html is an empty payload, a null url an empty address. Null ids and repeated rows stay. Other columns are not read. Empty
     in, empty out. folder: on storage that all executors share, the session's scratch folder by default.
     """
-    folder = folder or scratch_path(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, folder or scratch_path(pages.sparkSession, "warc"))
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.col(uri_col).cast("string").alias("uri"),
