@@ -7,8 +7,8 @@ Rules of equal weight keep this order.
 
 RULES = r"""
 apache-2.0 | 99 | spdx | spdx license identifier apache 2 0
-mit | 99 | spdx | spdx license identifier mit(?: 0)?(?= )
 mit-0 | 99 | spdx | spdx license identifier mit 0
+mit | 99 | spdx | spdx license identifier mit(?= )
 isc | 99 | spdx | spdx license identifier isc
 bsd-2-clause | 99 | spdx | spdx license identifier bsd 2 clause
 bsd-3-clause | 99 | spdx | spdx license identifier bsd 3 clause
