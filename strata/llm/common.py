@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,8 +49,12 @@ def doc_ids_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def row_key(docs: DataFrame) -> Column:
-    """A hash of all columns: rows that share it are taken for repeated rows."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    """128 bits of hash of all columns, as a struct of two longs: rows that share it are taken for repeated rows."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.struct(F.xxhash64(*columns).alias("x"), F.xxhash64(F.lit("second"), *columns).alias("y"))
+
+
+ROW_KEY = "struct<x:long,y:long>"
 
 
 def with_decisions(docs: DataFrame, key: Column, decisions: DataFrame, column: str) -> DataFrame:
@@ -62,6 +67,18 @@ def with_decisions(docs: DataFrame, key: Column, decisions: DataFrame, column: s
     return rows.join(decisions.select("key", F.col(column).alias("decision")).hint("merge"), "key")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of `rows` rows for what is run inside; then as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def crc_bucket(id_col: Column, buckets: int) -> Column:
     """crc32 of the id's decimal text modulo `buckets`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(buckets)
@@ -71,4 +88,4 @@ def crc32(data: bytes) -> int:
     return zlib.crc32(data)
 
 
-__all__ = ["BATCH_ROWS", "crc32", "crc_bucket", "doc_ids_and_text", "keep", "map_arrow", "row_key", "with_decisions", "prepare", "read_table", "scratch_path", "utf8"]
+__all__ = ["BATCH_ROWS", "ROW_KEY", "arrow_batches", "crc32", "crc_bucket", "doc_ids_and_text", "keep", "map_arrow", "row_key", "with_decisions", "prepare", "read_table", "scratch_path", "utf8"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import keep, row_key, with_decisions
+from strata.session import BROADCAST_ROWS
 
 #: ASCII white space ends a word; anything else is part of one.
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A document is taken at most so often.
 COPIES = 3
-#: Newton steps of one job, jobs at most, and the relative error of a source's words that ends them.
-STEPS, JOBS, ERROR = 3, 24, 1e-9
-#: Bins of one round of the search for the rounding threshold, and rounds; each round divides what is left by BINS. With one round a
-#: source of any size ends within 1/4096 of its words of the target, one of few documents within what no document fills.
-BINS, ROUNDS = 4096, 1
-#: Passes of the rounding: later ones fill what long documents left open.
-PASSES = 3
+#: Newton steps at most, each a job, and the relative error of a source's words that ends them.
+STEPS, ERROR = 72, 1e-10
+#: Bins of the search for the rounding threshold: a source of any size ends within 1/4096 of its words of the target, one of few documents
+#: within what no document fills.
+BINS = 4096
+#: Passes of the rounding at most: later ones fill what long documents left open, until none that fits is left.
+PASSES = 8
+#: Rows that one task makes out of one repeated row.
+REPEATS = 10_000
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES) -> DataFrame:
@@ -59,31 +62,35 @@ def solve_tilts(histogram: DataFrame, targets: DataFrame, copies: int = COPIES)
     histogram: k, size > 0 and n, the number of documents. The rates closest to one (in relative entropy, documents as the base
     measure, at most `copies`) under which the words of each source sum to its target are exp(tilt * size / mean). The dual is
     convex with a diagonal Hessian, one tilt a source; a Newton step is one aggregation over the histogram, its state a
-    row a source. Steps that leave the bracket known so far are halved. Each job makes several steps and its state is written.
+    written row a source. Steps that leave the bracket known so far are halved.
     """
     moments = histogram.groupBy("k").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
-    state = targets.join(moments, "k").select(
-        "k", "target", "mean", (F.col("target") >= F.col("cap") * (1 - 1e-12)).alias("full"),
-        F.lit(0.0).alias("tilt"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(1.0).alias("error"),
+    state = keep(
+        targets.join(moments, "k").select(
+            "k", "target", "mean", (F.col("target") >= F.col("cap") * (1 - 1e-12)).alias("full"),
+            F.lit(0.0).alias("tilt"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(1.0).alias("error"),
+        ),
+        "tilts",
     )
-    state = keep(state, "tilts")
-    for _ in range(JOBS):
-        for _ in range(STEPS):
-            state = _newton(histogram, state, copies)
-        state = keep(state, "tilts")
+    # the number of sources, counted here, never changes
+    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
+    for _ in range(STEPS):
+        state = keep(_newton(histogram, state, hint, copies), "tilts")
         if state.filter(~F.col("full") & (F.col("error") > ERROR)).isEmpty():
             break
     return state.select("k", F.round("tilt", 10).alias("tilt"), "mean", "full")
 
 
-def _newton(histogram: DataFrame, state: DataFrame, copies: int) -> DataFrame:
+def _newton(histogram: DataFrame, state: DataFrame, hint: Callable[[DataFrame], DataFrame], copies: int) -> DataFrame:
     rate = _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"), copies)
     words = F.col("n") * F.col("size") * rate
-    sums = histogram.join(state, "k").groupBy("k").agg(
+    now = state.select("k", "target", "mean", "full", "tilt", "low", "high")
+    sums = histogram.join(hint(now.select("k", "mean", "full", "tilt")), "k").groupBy("k").agg(
         F.sum(words).alias("words"),
-        F.sum(F.when(rate < copies, words * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"),
-        *(F.first(c).alias(c) for c in ("target", "mean", "full", "tilt", "low", "high")),
+        # asked of the exponent: exp(log(copies)) may come out below copies
+        F.sum(F.when(F.col("tilt") * F.col("size") / F.col("mean") < F.log(F.lit(float(copies))), words * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"),
     )
+    sums = sums.join(hint(now), "k")
     over = F.col("words") - F.col("target")
     bounded = sums.select(
         "*", (F.abs(over) / F.greatest("target", F.lit(1.0))).alias("error"),
@@ -97,60 +104,63 @@ def _newton(histogram: DataFrame, state: DataFrame, copies: int) -> DataFrame:
     return bounded.select("k", "target", "mean", "full", tilt.alias("tilt"), F.col("l").alias("low"), F.col("h").alias("high"), "error")
 
 
-def _thresholds(near: DataFrame, needs: DataFrame) -> DataFrame:
-    """k and threshold: documents of a source whose `place` (0 to 1) is below it add up to the words needed, or just under.
+def _thresholds(fits: DataFrame) -> DataFrame:
+    """k and threshold: units of a source whose `place` (0 to 1) is below it add up to the words needed, or just under.
 
-    near: k, size, place. needs: k, need. Each round sums words by bins of the interval left, and goes on in the bin in which
-    the need is met; all below is taken.
+    fits: k, size, place, need. Words are summed by bins of place; all bins before the one in which the need is met are taken, and that
+    one too if it is met exactly.
     """
-    state = needs.select("k", "need", F.lit(0.0).alias("low"))
-    for depth in range(ROUNDS):
-        width = float(BINS) ** -depth
-        here = near.join(state, "k").filter((F.col("place") >= F.col("low")) & (F.col("place") < F.col("low") + width))
-        number = F.least(F.floor((F.col("place") - F.col("low")) / width * BINS), F.lit(BINS - 1))
-        bins = here.groupBy("k", number.alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"), F.first("low").alias("low"))
-        bins = bins.select("*", (F.sum("words").over(Window.partitionBy("k").orderBy("bin")) - F.col("words")).alias("under"))
-        last = bins.filter(F.col("under") <= F.col("need")).groupBy("k").agg(F.max_by(F.struct("bin", "words", "under", "need", "low"), "bin").alias("b"))
-        left = F.col("b.need") - F.col("b.under")
-        whole, start = F.col("b.words") <= left, F.col("b.low") + F.col("b.bin") * width / BINS
-        met = last.select(
-            "k", F.when(whole, start + width / BINS).otherwise(start).alias("new_low"), F.when(whole, 0.0).otherwise(left).alias("new_need")
-        )
-        state = keep(
-            state.join(met, "k", "left").select("k", F.coalesce("new_low", "low").alias("low"), F.coalesce("new_need", F.lit(0.0)).alias("need")),
-            "thresholds",
-        )
-    return state.select("k", F.col("low").alias("threshold"))
-
-
-def _round_off(rated: DataFrame, copies: int) -> DataFrame:
-    """k, up (1 or -1) and, for each pass, need and threshold: which documents get a copy more or less, see `_moved`.
-
-    The first pass moves documents in order of place until the next one, however long, would exceed the words still needed. The
-    passes after it do the same with what they left, among documents that fit, so long documents next to the border do no harm.
+    number = F.least(F.floor(F.col("place") * BINS), F.lit(BINS - 1))
+    bins = fits.groupBy("k", number.alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
+    # at most BINS rows a source
+    bins = bins.select("*", F.sum("words").over(Window.partitionBy("k").orderBy("bin")).alias("until"))
+    return bins.groupBy("k").agg((F.max(F.when(F.col("until") <= F.col("need"), F.col("bin") + 1).otherwise(0)) / F.lit(float(BINS))).alias("threshold"))
+
+
+def _round_off(rated: DataFrame, copies: int) -> tuple[DataFrame, int]:
+    """k, up (1 or -1) and, for each pass, need and threshold: which units get a copy more or less, see `_moved`; and the number of passes.
+
+    The first pass moves units in order of place until the next ones would exceed the words still needed. The passes after it
+    do the same with what they left, among units that fit, so long documents next to the border do no harm.
     """
-    sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("base") * F.col("size"))).alias("gap"))
+    sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"))
     state = keep(sums.select("k", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0")), "gaps")
-    room = F.when(F.col("up") > 0, F.col("base") < copies).otherwise(F.col("base") > 0) & (F.col("size") > 0)
-    near = rated.join(state.select("k", "up"), "k").filter(room).select("k", "size", _place().alias("place"))
+    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
+    near = rated.join(hint(state.select("k", "up")), "k").filter(_room(copies) & (F.col("size") > 0)).select("k", "size", _place().alias("place"))
+    near = keep(near, "near")
     for turn in range(PASSES):
-        still = near if turn == 0 else near.join(state, "k").filter(~_moved(turn)).select("k", "size", "place")
-        fits = still.join(state.select("k", F.col(f"need{turn}").alias("need")), "k").filter("size <= need").select("k", "size", "place")
-        found = state.join(_thresholds(fits, state.select("k", F.col(f"need{turn}").alias("need"))).withColumnRenamed("threshold", f"threshold{turn}"), "k")
-        taken = fits.join(found.select("k", f"threshold{turn}"), "k").filter(F.col("place") < F.col(f"threshold{turn}")).groupBy("k").agg(F.sum("size").alias("got"))
+        still = near.join(hint(state), "k").filter((F.col("size") <= F.col(f"need{turn}")) & ~_moved(turn))
+        fits = still.select("k", "size", "place", F.col(f"need{turn}").alias("need"))
+        found = keep(state.join(_thresholds(fits).withColumnRenamed("threshold", f"threshold{turn}"), "k", "left").na.fill(0.0, [f"threshold{turn}"]), "thresholds")
+        taken = fits.join(hint(found.select("k", f"threshold{turn}")), "k").filter(F.col("place") < F.col(f"threshold{turn}")).groupBy("k").agg(F.sum("size").alias("got"))
         left = (F.col(f"need{turn}") - F.coalesce("got", F.lit(0))).alias(f"need{turn + 1}")
         state = keep(found.join(taken, "k", "left").select(*found.columns, left), "gaps")
-    return state
+        if state.filter(F.col(f"need{turn + 1}") < F.col(f"need{turn}")).isEmpty():
+            break
+    return state, turn + 1
+
+
+def _room(copies: int) -> Column:
+    return F.when(F.col("up") > 0, F.col("total") < F.col("n") * copies).otherwise(F.col("total") > 0)
 
 
 def _place() -> Column:
-    """Where a document lies between the border that it would cross (0) and the other one (1)."""
+    """Where a unit lies between the border that it would cross (0) and the other one (1)."""
     return F.least(F.when(F.col("up") > 0, 1 - F.col("part")).otherwise(F.col("part")), F.lit(1 - 2.0**-53))
 
 
 def _moved(passes: int) -> Column:
     hit = [(F.col("size") <= F.col(f"need{t}")) & (F.col("place") < F.col(f"threshold{t}")) for t in range(passes)]
-    return F.coalesce(reduce(lambda x, y: x | y, hit), F.lit(False))
+    return F.coalesce(reduce(lambda x, y: x | y, hit), F.lit(False)) if hit else F.lit(False)
+
+
+def _repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as column `times` says, and place, its number from 0. A row of very many repeats is made by several tasks."""
+    few = rows.filter(F.col(times).between(1, REPEATS)).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1)).alias("place"))
+    many = rows.filter(F.col(times) > REPEATS).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(REPEATS).cast("long"))).alias("start"))
+    many = many.repartition("start")
+    many = many.select("*", F.explode(F.sequence("start", F.least(F.col("start") + REPEATS, F.col(times)) - 1)).alias("place")).drop("start")
+    return few.unionByName(many)
 
 
 def mix_sources(
@@ -167,21 +177,28 @@ def mix_sources(
     (real-valued, from the balancing), copies (0 to `copies`) and taken (copies times size). Rates become copies by adding a
     number from 0 to 1 drawn from the row's id and text, and rounding down; then documents next to a rounding border are moved
     up or down, those nearest first, until no document that is left fits into what the source's words lack to the target. Nothing is
-    random, so reruns agree. Null text: no words, never taken. A null source is one source, the last. Null ids and repeated rows
-    stay; rows equal in id and text are taken equally often. Empty in, empty out. Other columns are not read.
+    random, so reruns agree. Rows equal in id, text and source are rounded together, their number times their rate, and dealt
+    out: their copies differ by one at most. Null text: no words, never taken. A null source is one source, the last.
+    Null ids and repeated rows stay. Empty in, empty out. Other columns are not read.
     """
     final = _mixed(docs.select(*dict.fromkeys((id_col, text_col, source_col))), weights, copies, id_col, text_col, source_col)
-    return final.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    each = _repeated(final, "n").withColumn("copies", (F.expr("total div n") + F.when(F.col("place") < F.col("total") % F.col("n"), 1).otherwise(0)).cast("int"))
+    return each.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES) -> DataFrame:
-    """The rows of `docs`, all columns kept, each as often as mix_sources takes it. Documents without words are never taken."""
-    times = _mixed(docs, weights, copies, "doc_id", "text", "source").groupBy("key").agg(F.max("copies").alias("copies"))
-    taken = with_decisions(docs, row_key(docs), keep(times.filter("copies > 0"), "copies"), "copies")
-    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("decision")))).select("row.*")
+    """The rows of `docs`, all columns kept, each as often as mix_sources takes it; repeated rows as often as all of them together.
+    Documents without words are never taken."""
+    units = _mixed(docs, weights, copies, "doc_id", "text", "source").filter("total > 0")
+    decided = keep(units.select("key", F.struct("n", F.col("total").alias("times")).alias("unit")), "copies")
+    taken = with_decisions(docs, row_key(docs), decided, "unit").select("key", "row", "decision.n", "decision.times")
+    once = taken.filter("n = 1").select("row", "times")
+    again = taken.filter("n > 1").dropDuplicates(["key"]).select("row", "times")
+    return _repeated(once.union(again), "times").select("row.*")
 
 
 def _mixed(docs: DataFrame, weights: Sequence[float], copies: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """A row for each distinct row of `docs` (a unit): key, doc_id, source, size, source_size, target, rate, n (its rows) and total (copies of all)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sized = docs.select(
         row_key(docs).alias("key"),
@@ -190,17 +207,18 @@ def _mixed(docs: DataFrame, weights: Sequence[float], copies: int, id_col: str,
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         ((F.xxhash64(F.col(id_col), text).bitwiseAND((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("draw"),
     )
-    sized = keep(sized, "sized")
-    targets = keep(source_targets(sized, weights, copies), "targets")
-    counts = keep(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
+    sized = keep(sized.groupBy("key", "doc_id", "source", "size", "draw").agg(F.count("*").alias("n")), "sized")
+    counts = keep(sized.groupBy("source", "size").agg(F.sum("n").alias("n")), "sizes")
+    targets = keep(source_targets(counts.select("source", (F.col("size") * F.col("n")).alias("size")), weights, copies), "targets")
     histogram = counts.filter("size > 0").join(targets.select("source", "k"), counts["source"].eqNullSafe(targets["source"])).select("k", "size", "n")
     tilts = solve_tilts(keep(histogram, "histogram"), targets, copies)
-    placed = targets.join(tilts, "k", "left").withColumnRenamed("source", "own")
+    placed = keep(targets.join(tilts, "k", "left").withColumnRenamed("source", "own"), "placed")
     rate = F.when(F.col("size") > 0, _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"), copies)).otherwise(0.0)
-    rated = sized.join(placed, sized["source"].eqNullSafe(placed["own"])).select("key", "doc_id", "source", "size", "source_size", "target", "k", rate.alias("rate"), "draw")
-    drawn = F.col("rate") + F.col("draw")
-    rated = keep(rated.select("*", F.floor(F.least(drawn, F.lit(float(copies)))).cast("int").alias("base"), (drawn - F.floor(drawn)).alias("part")), "rated")
-    final = rated.join(_round_off(rated, copies), "k").withColumn("place", _place())
-    room = F.when(F.col("up") > 0, F.col("base") < copies).otherwise(F.col("base") > 0)
-    times = F.when(F.col("size") > 0, F.col("base") + F.when(room & _moved(PASSES), F.col("up")).otherwise(0)).otherwise(0)
-    return final.withColumn("copies", times)
+    rated = sized.join(placed, sized["source"].eqNullSafe(placed["own"])).select("key", "doc_id", "source", "size", "n", "source_size", "target", "k", rate.alias("rate"), "draw")
+    drawn = F.col("rate") * F.col("n") + F.col("draw")
+    rated = keep(rated.select("*", F.floor(F.least(drawn, (F.col("n") * copies).cast("double"))).cast("long").alias("total"), (drawn - F.floor(drawn)).alias("part")), "rated")
+    state, passes = _round_off(rated, copies)
+    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
+    final = rated.join(hint(state), "k").withColumn("place", _place())
+    times = F.when(F.col("size") > 0, F.col("total") + F.when(_room(copies) & _moved(passes), F.col("up")).otherwise(0)).otherwise(0)
+    return final.select("key", "doc_id", "source", "size", "n", "source_size", "target", "rate", times.cast("long").alias("total"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import keep, map_arrow, row_key, utf8, with_decisions
+from strata.llm.common import ROW_KEY, keep, map_arrow, row_key, utf8, with_decisions
 from strata.llm.components import components
 
 SEED = 42
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(bits.view(np.int64))], ["doc_id", "key", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(docs).alias("key"))
-    return map_arrow(rows, work, "doc_id long, key long, fp long")
+    return map_arrow(rows, work, f"doc_id long, key {ROW_KEY}, fp long")
 
 
 def _signatures(df: DataFrame, level: int) -> DataFrame:
