@@ -33,6 +33,14 @@ def for_batch(df: DataFrame, batch_id: int) -> DataFrame:
     return df.filter(F.col("batch_id") == F.lit(batch_id).cast("bigint"))
 
 
+def beyond(df: DataFrame, column: str, after: datetime | None, until: datetime) -> DataFrame:
+    """Rows whose time lies after one mark and not after another, and rows without a time, which no mark can tell to be known. The bounds
+    are literals, so a scan of a database or of Parquet files gets them. after: None for all up to `until`."""
+    at = F.col(column)
+    inside = at <= fixed_time(until)
+    return df.filter(at.isNull() | (inside if after is None else (at > fixed_time(after)) & inside))
+
+
 def since(df: DataFrame, day_col: str, as_of: date, months: int) -> DataFrame:
     """Rows dated `months` months before `as_of`, or later."""
     return df.filter(F.col(day_col) >= F.add_months(F.lit(as_of), -months))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,11 +77,12 @@ def merged(
     on_duplicate: str = "error",
     first_by: Sequence[str] = (),
     updates_rows: int | None = None,
+    changed: str | None = None,
 ) -> DataFrame:
     """The merged table plus `_action` (insert, update, keep) per row. Columns only the target has are NULL in inserts.
 
     A key repeated in `updates` fails ("error"), or only its first row by `first_by` (all columns if not given) counts ("first").
-    A NULL in a key conflicts with nothing."""
+    A NULL in a key conflicts with nothing. changed: name of a further column that tells updates which change something."""
     keys, update_cols = list(keys), list(update_cols)
     rest = [c for c in target.columns if c not in keys]
     unknown = [c for c in keys + update_cols if c not in target.columns or c not in updates.columns]
@@ -89,11 +91,12 @@ def merged(
     updates = updates.select(*[c for c in target.columns if c in updates.columns])
     fresh = _unique(updates, keys, on_duplicate, first_by)
 
-    few = updates_rows is not None and updates_rows <= session.BROADCAST_ROWS
+    few = updates_rows is not None and updates_rows <= session.BROADCAST_ROWS and changed is None
+    unchanged = [F.lit(False).alias(changed)] if changed else []
 
     if not update_cols:
         inserts = _absent(fresh, _held_keys(target, fresh, keys) if few else target, keys).withColumn("_action", F.lit(INSERT))
-        return target.withColumn("_action", F.lit(KEEP)).unionByName(inserts, allowMissingColumns=True)
+        return target.withColumn("_action", F.lit(KEEP)).unionByName(inserts, allowMissingColumns=True).select("*", *unchanged)
 
     if few:
         return _merged_small(target, fresh.drop("_salt"), keys, update_cols)
@@ -111,7 +114,8 @@ def merged(
 
     action = F.when(old & new, UPDATE).when(new, INSERT).otherwise(KEEP)
     columns = [F.col(c) if c in keys else value(c).alias(c) for c in target.columns]
-    return joined.select(*columns, action.alias("_action"))
+    differs = reduce(Column.__or__, [~F.col(f"_t_{c}").eqNullSafe(F.col(f"_u_{c}")) for c in update_cols if c not in keys], F.lit(False))
+    return joined.select(*columns, action.alias("_action"), *([(old & new & differs).alias(changed)] if changed else []))
 
 
 def _merged_small(target: DataFrame, fresh: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
@@ -147,6 +151,34 @@ def merge_counts(actions: DataFrame) -> DataFrame:
     return actions.groupBy(F.col("_action").alias("action")).agg(F.count("*").alias("row_count"))
 
 
+class Keyed(NamedTuple):
+    """A merged table with surrogate keys and `_action`, its rows by action, and how many known rows the updates change."""
+
+    rows: DataFrame
+    counts: dict[str, int]
+    changed: int
+
+
+def action_counts() -> dict[str, Column]:
+    """What a write of merged rows can count on the way."""
+    return {action: F.count_if(F.col("_action") == action) for action in (INSERT, UPDATE, KEEP)}
+
+
+def keyed_merge(target: DataFrame, updates: DataFrame, natural_key: str, key_col: str, update_cols: Sequence[str]) -> Keyed:
+    """Merge by a natural key and give new rows the next numbers in its order; known rows keep theirs.
+
+    One join yields the old number, the action and the new content of every row, written once with its counts and the last number;
+    only new rows are put in order afterwards. Neither side is read or shuffled a second time.
+    """
+    joined = merged(target, updates, [natural_key], update_cols, changed="_changed")
+    counts = {**action_counts(), "changed": F.count_if("_changed"), "last": F.max(key_col)}
+    held, seen = session.materialize_counted(joined, "merged", counts)
+    held = held.drop("_changed")
+    fresh = number_rows(held.filter(F.col("_action") == INSERT).drop(key_col), [F.col(natural_key)], key_col, after=seen["last"] or 0)
+    rows = held.filter(F.col("_action") != INSERT).unionByName(fresh)
+    return Keyed(rows, {a: seen[a] for a in (INSERT, UPDATE, KEEP) if seen[a]}, seen["changed"])
+
+
 def assign_keys(target: DataFrame, updates: DataFrame, natural_key: str, key_col: str) -> DataFrame:
     """`updates` with `key_col`: known natural keys keep their number, new ones get the next numbers in natural-key order."""
     last = target.agg(F.max(key_col)).first()[0] or 0

@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata import fixed
 
@@ -59,6 +60,23 @@ def quarantine(df: DataFrame, source: str, reason: str, batch_id: int, job_name:
     )
 
 
+def rejected_fields(records: DataFrame, fields: StructType, source: str | None = None) -> DataFrame:
+    """The columns of `records` (read with `record`, a variant) and, beside them, fields of the rejected rows in the types given.
+
+    A field that a row lacks, that is NULL or does not convert is NULL, as is every field of text that is no JSON. Numbers and times in
+    a variant keep their type, so a filter on them compares values and not text.
+    """
+    rows = records if source is None else records.filter(F.col("source_name") == source)
+    found = [F.try_variant_get("record", f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in fields]
+    return rows.select(*[c for c in rows.columns if c != "record"], *found)
+
+
+def reject_reasons(records: DataFrame, field: str) -> DataFrame:
+    """Rejected rows of each source and value of one field, whatever type it has there; NULL for rows without it."""
+    value = F.try_variant_get("record", f"$['{field}']", "string").alias(field)
+    return records.groupBy("source_name", value).agg(F.count("*").alias("rejected"))
+
+
 def union_rejects(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         first = first.unionByName(other)

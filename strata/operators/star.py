@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import date_key, fixed_time
 from strata.operators.conform import for_batch
-from strata.operators.merge import assign_keys, merged
-from strata.session import materialize
+from strata.operators.merge import Keyed, keyed_merge, merged
 
 SALES_UPDATES = ("quantity", "total_amount", "etl_batch_id", "updated_at")
 # Of log rows with one id the earliest counts; the further columns only make the choice definite.
@@ -22,26 +21,21 @@ WEB_FIRST = ("request_time", "geo_key", "device_key", "customer_key", "etl_batch
 LEAD_UPDATES = ("date_key", "company_name", "lead_score", "etl_batch_id")
 
 
-def _dimension(target: DataFrame, rows: DataFrame, natural_key: str, key_col: str, update_cols: list[str]) -> DataFrame:
-    keyed = assign_keys(target, rows, natural_key, key_col)
-    return merged(target, keyed, [natural_key], update_cols)
-
-
-def company_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
+def company_merge(target: DataFrame, silver: DataFrame) -> Keyed:
     rows = silver.select("source_company_id", "cuit", "company_name", "is_supplier")
-    return _dimension(target, rows, "source_company_id", "company_key", ["cuit", "company_name", "is_supplier"])
+    return keyed_merge(target, rows, "source_company_id", "company_key", ["cuit", "company_name", "is_supplier"])
 
 
-def customer_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
+def customer_merge(target: DataFrame, silver: DataFrame) -> Keyed:
     """A known customer keeps the birth date it came with."""
     rows = silver.select("source_customer_id", "document_number", "full_name", "date_of_birth", "age")
-    return _dimension(target, rows, "source_customer_id", "customer_key", ["document_number", "full_name", "age"])
+    return keyed_merge(target, rows, "source_customer_id", "customer_key", ["document_number", "full_name", "age"])
 
 
-def product_actions(target: DataFrame, silver: DataFrame) -> DataFrame:
+def product_merge(target: DataFrame, silver: DataFrame) -> Keyed:
     """A known product keeps its supplier."""
     rows = silver.select("source_product_id", "source_supplier_id", "product_name", "default_price")
-    return _dimension(target, rows, "source_product_id", "product_key", ["product_name", "default_price"])
+    return keyed_merge(target, rows, "source_product_id", "product_key", ["product_name", "default_price"])
 
 
 def distinct_devices(web: DataFrame) -> DataFrame:
@@ -52,14 +46,13 @@ def distinct_geo(web: DataFrame) -> DataFrame:
     return web.filter(F.col("client_ip").isNotNull()).select("client_ip", "country", "city").distinct()
 
 
-def device_actions(target: DataFrame, silver_web: DataFrame) -> DataFrame:
-    return _dimension(target, materialize(distinct_devices(silver_web), "devices"), "device_type", "device_key", [])
+def device_merge(target: DataFrame, silver_web: DataFrame) -> Keyed:
+    return keyed_merge(target, distinct_devices(silver_web), "device_type", "device_key", [])
 
 
-def geo_actions(target: DataFrame, silver_web: DataFrame) -> DataFrame:
-    # Held once: key assignment and merge both read the addresses, and the web rows behind them are many times more.
-    rows = materialize(distinct_geo(silver_web).withColumnRenamed("client_ip", "ip_address"), "geo")
-    return _dimension(target, rows, "ip_address", "geo_key", ["country", "city"])
+def geo_merge(target: DataFrame, silver_web: DataFrame) -> Keyed:
+    rows = distinct_geo(silver_web).withColumnRenamed("client_ip", "ip_address")
+    return keyed_merge(target, rows, "ip_address", "geo_key", ["country", "city"])
 
 
 def calendar(spark, as_of: date) -> DataFrame:
@@ -168,23 +161,23 @@ def lead_actions(target: DataFrame, silver: DataFrame, batch_id: int, updates_ro
 
 
 def dim_company(target: DataFrame, silver: DataFrame) -> DataFrame:
-    return company_actions(target, silver).drop("_action")
+    return company_merge(target, silver).rows.drop("_action")
 
 
 def dim_customer(target: DataFrame, silver: DataFrame) -> DataFrame:
-    return customer_actions(target, silver).drop("_action")
+    return customer_merge(target, silver).rows.drop("_action")
 
 
 def dim_product(target: DataFrame, silver: DataFrame) -> DataFrame:
-    return product_actions(target, silver).drop("_action")
+    return product_merge(target, silver).rows.drop("_action")
 
 
 def dim_device(target: DataFrame, silver_web: DataFrame) -> DataFrame:
-    return device_actions(target, silver_web).drop("_action")
+    return device_merge(target, silver_web).rows.drop("_action")
 
 
 def dim_geo(target: DataFrame, silver_web: DataFrame) -> DataFrame:
-    return geo_actions(target, silver_web).drop("_action")
+    return geo_merge(target, silver_web).rows.drop("_action")
 
 
 def dim_date(target: DataFrame, as_of: date) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from datetime import datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,11 +13,11 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from strata import fixed, schemas
 from strata.functions import city, country, date_key, device_type, mapped_customer
 from strata.operators import conform, merge, numbering, quality, star
-from strata.plans import audit, oracle, reports
+from strata.plans import audit, load, oracle, reports
 from strata.plans.fixtures import AS_OF, NOW
 from strata.plans.inputs import LINES_PER_FILE, Inputs, inputs
 from strata.session import scratch_path
-from strata.sources import files, tables
+from strata.sources import files, jdbc, tables
 from strata.streaming import weblogs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +122,15 @@ def _(i: Inputs):
     return conform.align_schema(unordered, files.table_schema(i.spark, path))
 
 
+@_query("S2_quantile_ranges", "SELECT order_id, order_item_id, product_id, quantity, unit_price FROM src_order_items")
+def _(i: Inputs):
+    """Order items read by ranges of a key of two columns, as a database would be; every row comes once."""
+    items = i.raw("order_items")
+    ranges = jdbc.key_ranges(items, ["order_id", "order_item_id"], 16)
+    parts = [items.filter(F.expr(r)) for r in ranges]
+    return reduce(DataFrame.unionByName, parts).select("order_id", "order_item_id", "product_id", "quantity", "unit_price")
+
+
 @_query(
     "S11_report_read",
     """SELECT * FROM (SELECT 'devices' AS report, rank_no AS position, device_type AS label, total_logins AS amount FROM best_devices)
@@ -285,6 +295,32 @@ def _(i: Inputs):
     return conform.for_batch(i.spark.read.schema(schemas.BRONZE["orders"]).parquet(path), 2)
 
 
+MARKED = [datetime(1996, 1, 1), datetime(1999, 6, 30, 12)]
+
+
+@_query(
+    "P13_beyond_mark",
+    """SELECT 'orders' AS "table", order_id AS id, CAST(2 AS BIGINT) AS batch_id, TIMESTAMP '1999-06-30 12:00:00' AS mark FROM src_orders
+WHERE order_timestamp > TIMESTAMP '1996-01-01' AND order_timestamp <= TIMESTAMP '1999-06-30 12:00:00'
+UNION ALL SELECT 'order_items', order_item_id, 2, TIMESTAMP '1999-06-30 12:00:00' FROM src_order_items JOIN src_orders USING (order_id)
+WHERE order_timestamp > TIMESTAMP '1996-01-01' AND order_timestamp <= TIMESTAMP '1999-06-30 12:00:00'""",
+)
+def _(i: Inputs):
+    """The second of two loads with marks: orders after the mark that the first has committed, and their items."""
+    w = load.Warehouse(i.spark, scratch_path(i.spark, "marked"))
+    sources = {t: partial(i.raw, t) for t in ("orders", "order_items")}
+    for batch_id, until in enumerate(MARKED, 1):
+        after = w.committed_mark("marked")
+        copy = partial(load.load_bronze, w, sources, batch_id, until, "exact", load.BY_TIME, after, tuple(sources))
+        load.run_layer(w, "marked", batch_id, fixed.BRONZE, copy, until)
+    mark = F.lit(str(w.committed_mark("marked"))).cast("timestamp_ntz").alias("mark")
+    taken = [("orders", "order_id"), ("order_items", "order_item_id")]
+    return reduce(
+        DataFrame.unionByName,
+        [w.bronze(t, 2).select(F.lit(t).alias("table"), F.col(key).alias("id"), "batch_id", mark) for t, key in taken],
+    )
+
+
 @_query("P14_date_key", "SELECT order_id, CAST(strftime(order_timestamp, '%Y%m%d') AS INTEGER) AS date_key FROM src_orders")
 def _(i: Inputs):
     return i.raw("orders").select("order_id", date_key(F.col("order_timestamp")).alias("date_key"))
@@ -328,6 +364,39 @@ def _(i: Inputs):
     return quality.quarantine(bad, fixed.SALES_SOURCE, fixed.SALES_REASON, 1)
 
 
+@_query(
+    "Q4_quarantine_fields",
+    """SELECT source_name, CAST(json_extract_string(raw_record, '$.source_order_item_id') AS BIGINT) AS source_order_item_id,
+  CAST(json_extract_string(raw_record, '$.quantity') AS INTEGER) AS quantity, CAST(json_extract_string(raw_record, '$.unit_price') AS DECIMAL(12,2)) AS unit_price,
+  CAST(json_extract_string(raw_record, '$.source_log_id') AS BIGINT) AS source_log_id, json_extract_string(raw_record, '$.client_ip') AS client_ip,
+  json_extract_string(raw_record, '$.lead_id') AS lead_id, CAST(json_extract_string(raw_record, '$.lead_score') AS INTEGER) AS lead_score,
+  json_extract_string(raw_record, '$.email') AS email FROM rejects
+UNION ALL SELECT 'torn', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+)
+def _(i: Inputs):
+    """Fields of the rejected rows of all three sources, out of written records, and of a record whose text is cut off."""
+    path = scratch_path(i.spark, "quarantine")
+    torn = i.spark.range(1).select(
+        F.lit(1).cast("bigint").alias("batch_id"), F.lit("daily_load").alias("job_name"), F.lit("torn").alias("source_name"),
+        F.lit("").alias("error_reason"), F.lit('{"source_order_item_id":1,"quan').alias("raw_record"),
+    )
+    files.append_quarantine(i.rejects().unionByName(torn), path, 1)
+    fields = StructType.fromDDL(
+        "source_order_item_id long, quantity int, unit_price decimal(12,2), source_log_id long, client_ip string, lead_id string, lead_score int, email string"
+    )
+    found = quality.rejected_fields(files.read_quarantine(i.spark, path, parsed=True), fields)
+    return found.select("source_name", *fields.names)
+
+
+@_query(
+    "Q6_reject_values",
+    """SELECT source_name, json_extract_string(raw_record, '$.quantity') AS quantity, count(*) AS rejected FROM rejects GROUP BY ALL""",
+)
+def _(i: Inputs):
+    """Rejected rows by the value of a field that only one source has."""
+    return quality.reject_reasons(i.rejects().withColumn("record", F.try_parse_json("raw_record")), "quantity")
+
+
 UNION_SQL = "SELECT CAST(1 AS BIGINT) AS batch_id, 'daily_load' AS job_name, source_name, error_reason, raw_record FROM rejects"
 
 

@@ -8,21 +8,21 @@ quarantine per batch, and merges of rows already merged change nothing.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial, reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import fixed, schemas
 from strata.operators import conform, merge, quality, star
 from strata.plans import audit, reports
-from strata.session import materialize, one_row
+from strata.session import materialize_counted, one_row
 from strata.sources import files, jdbc, tables
 
 Sources = Mapping[str, Callable[[], DataFrame]]
@@ -34,6 +34,22 @@ REJECTS = {
 }
 
 
+#: Which judged table each fact is looked up from.
+FACT_SOURCES = {"fact_sales": "sales_order_lines", "fact_web_activity": "web_activity", "fact_marketing_lead": "marketing_leads"}
+
+
+class Mark(NamedTuple):
+    """How the new rows of a source table are told: by a time column, or by a key of another table (`of`) whose new rows are known."""
+
+    column: str
+    of: str | None = None
+
+
+Marks = Mapping[str, Mark]
+#: Tables of the source of which a load needs to read only what came since the last one. Lines come with their order.
+BY_TIME: Marks = {"orders": Mark("order_timestamp"), "order_items": Mark("order_id", of="orders"), "weblogs": Mark("request_time")}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the tables of a warehouse are."""
@@ -65,6 +81,23 @@ class Warehouse:
     def load_counts(self) -> DataFrame:
         return self.spark.read.parquet(self.path("audit", "load_counts"))
 
+    def count(self, layer: str, batch_id: int, counts: Mapping[tuple[str, str], int]) -> None:
+        """Keep what the writes of a layer have counted: a few rows a table. Repeating a batch replaces them."""
+        rows = [(table, outcome, n) for (table, outcome), n in counts.items()]
+        frame = self.spark.createDataFrame(rows, "table string, outcome string, rows long")
+        files.write_full(frame.coalesce(1), f"{self.path('audit', 'layer_counts')}/batch_id={batch_id}/layer={layer}")
+
+    def counted(self, batch_id: int) -> dict[tuple[str, str], int]:
+        """What the layers of a batch have counted so far."""
+        seen = self.spark.read.schema("table string, outcome string, rows long, batch_id long, layer string").parquet(self.path("audit", "layer_counts"))
+        return {(r.table, r.outcome): r.rows for r in conform.for_batch(seen, batch_id).collect()}
+
+    def committed_mark(self, load_name: str) -> datetime | None:
+        """Up to when a load has taken in its sources: the last mark of a bronze layer that succeeded."""
+        state = audit.layer_state(self.events("layer_events"))
+        row = state.filter((F.col("pipeline_name") == load_name) & (F.col("layer_name") == fixed.BRONZE)).first()
+        return None if row is None else row.last_watermark
+
     def quarantine(self) -> DataFrame:
         return files.read_quarantine(self.spark, self.path("audit", "quarantine_records"))
 
@@ -105,15 +138,30 @@ def together(*steps: Callable[[], object]) -> list:
         return [started.result() for started in [pool.submit(step) for step in steps]]
 
 
-def load_bronze(w: Warehouse, sources: Sources, batch_id: int, now: datetime, alignment: str = "exact") -> None:
-    def copy(table: str) -> None:
-        rows = sources[table]()
+def load_bronze(
+    w: Warehouse, sources: Sources, batch_id: int, now: datetime, alignment: str = "exact", marks: Marks | None = None,
+    after: datetime | None = None, only: Collection[str] = tuple(schemas.BRONZE),
+) -> None:
+    """Copy the source tables (or `only` some), stamped with batch and lineage. Of tables in `marks` only what lies after `after` and not
+    after `now` is read; the bound reaches the scan."""
+
+    def taken(table: str) -> DataFrame:
+        mark = (marks or {}).get(table)
+        if mark is None:
+            return sources[table]()
+        if mark.of is None:
+            return conform.beyond(sources[table](), mark.column, after, now)
+        return sources[table]().join(taken(mark.of).select(mark.column), mark.column, "left_semi")
+
+    def copy(table: str) -> int:
+        rows = taken(table)
         if table == "marketing_leads":
             rows = conform.add_lineage(rows, now)
         aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schemas.BRONZE[table], alignment)
-        files.write_full(aligned, w.path("bronze", table))
+        return files.write_full(aligned, w.path("bronze", table), counts=rows_counted())["rows"]
 
-    together(*[partial(copy, table) for table in schemas.BRONZE])
+    copied = together(*[partial(copy, table) for table in only])
+    w.count("bronze", batch_id, {(table, "raw"): n for table, n in zip(only, copied)})
 
 
 def load_silver(w: Warehouse, batch_id: int, as_of: date, load_name: str = fixed.LOAD_NAME) -> None:
@@ -127,13 +175,16 @@ def load_silver(w: Warehouse, batch_id: int, as_of: date, load_name: str = fixed
         "marketing_leads": conform.lead_types(w.bronze("marketing_leads", batch_id)),
     }
 
-    def write(table: str, rows: DataFrame) -> None:
-        if table in REJECTS:
-            files.write_full(quality.with_verdict(rows, REJECTS[table][0]()), w.path("silver", table), "verdict")
-        else:
+    def write(table: str, rows: DataFrame) -> dict[tuple[str, str], int]:
+        if table not in REJECTS:
             files.write_full(rows, w.path("silver", table))
+            return {}
+        verdicts = {v: F.count_if(F.col("verdict") == v) for v in (quality.GOOD, quality.BAD, quality.UNDECIDED)}
+        seen = files.write_full(quality.with_verdict(rows, REJECTS[table][0]()), w.path("silver", table), "verdict", verdicts)
+        return {(table, v): n for v, n in seen.items() if n}
 
-    together(*[partial(write, table, rows) for table, rows in conformed.items()])
+    counts = together(*[partial(write, table, rows) for table, rows in conformed.items()])
+    w.count("silver", batch_id, reduce(lambda x, y: x | y, counts))
 
     rejects = quality.union_rejects(
         *[quality.quarantine(w.judged(t, quality.BAD), source, reason, batch_id, load_name) for t, (_, source, reason) in REJECTS.items()]
@@ -151,74 +202,76 @@ def verdict_counts(w: Warehouse) -> DataFrame:
 
 
 class Merge(NamedTuple):
-    """One table's merged rows with their actions, and which old parts they replace (None: all)."""
+    """One table's merged rows with their actions (None: nothing to write), which old parts they replace (None: all), and the rows by
+    action where an earlier write has counted them."""
 
     table: str
-    actions: DataFrame
+    actions: DataFrame | None
     part: Column | None = None
     replaces: list[int] | None = None
+    counts: dict[str, int] | None = None
 
 
-def _content(rows: DataFrame) -> Row:
-    """Row count and the sum of the rows' hashes: equal for equal content in any order, one pass, nothing shuffled but a row a task."""
-    return rows.agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()
+def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
+    """Make a merge the current version of its table. Returns rows inserted, updated and kept, as counted by the write."""
+    if m.actions is None:
+        return m.counts or {}
+    tally = tables.Tally({} if m.counts is not None else merge.action_counts())
+    tables.publish(w.spark, w.path("gold", m.table), m.actions, now, m.part, m.replaces, tally)
+    return m.counts if m.counts is not None else {a: n for a, n in tally.seen.items() if n}
 
 
-def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
-    """Make a merge the current version of its table. Returns rows inserted, updated and kept, as read back from the written actions,
-    so that repeated tasks count once. A dimension whose content stays the same gets no new version."""
-    path = w.path("gold", m.table)
-    if m.part is None:
-        m = m._replace(actions=materialize(m.actions, m.table))
-        names = schemas.GOLD[m.table].names
-        if _content(m.actions.select(*names)) == _content(w.gold(m.table).select(*names)):
-            return {r.action: r.row_count for r in merge.merge_counts(m.actions).collect()}
-        if not m.actions.filter(F.col("_action") == merge.UPDATE).limit(1).count():
-            kept = m.actions.filter(F.col("_action") != merge.INSERT).count()
-            m = m._replace(actions=m.actions.filter(F.col("_action") == merge.INSERT), replaces=[])  # rows are only added
-            tables.publish(w.spark, path, m.actions, now, m.part, m.replaces)
-            return {merge.INSERT: m.actions.count()} | ({merge.KEEP: kept} if kept else {})
-    version = tables.publish(w.spark, path, m.actions, now, m.part, m.replaces)
-    written = tables.read_data(w.spark, path, version, "_action STRING")
-    return {r.action: r.row_count for r in merge.merge_counts(written).collect()}
-
-
-def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_cols: tuple[str, ...], count: int) -> Merge:
-    """A merge into a fact split by month: only the months that updates touch are rewritten, however many updates there are."""
+def _dimension(table: str, keyed: merge.Keyed) -> Merge:
+    """A dimension whose content stays the same gets no new version; one that only grows gets its new rows."""
+    if keyed.changed:
+        return Merge(table, keyed.rows, counts=keyed.counts)
+    grown = keyed.rows.filter(F.col("_action") == merge.INSERT) if keyed.counts.get(merge.INSERT) else None
+    return Merge(table, grown, replaces=[], counts=keyed.counts)
+
+
+def _calendar(w: Warehouse, as_of: date) -> Merge:
+    held, seen = materialize_counted(star.date_actions(w.gold("dim_date"), as_of), "days", merge.action_counts())
+    return _dimension("dim_date", merge.Keyed(held, {a: n for a, n in seen.items() if n}, 0))
+
+
+def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_cols: tuple[str, ...]) -> tuple[Merge, int]:
+    """A merge into a fact split by month, and the number of its updates: only the months that updates touch are rewritten, however many
+    updates there are."""
     part = tables.month_part()
-    rows = materialize(rows, "updates")  # looked up once, used several times
-    touched = tables.touched_parts(w.gold(table), rows, [key], part, count)
-    actions = merge.merged(w.gold(table, touched), rows, [key], update_cols, updates_rows=count)
-    return Merge(table, actions, part, touched)
+    rows, seen = materialize_counted(rows, "updates", rows_counted())  # looked up once, used several times
+    touched = tables.touched_parts(w.gold(table), rows, [key], part, seen["rows"])
+    actions = merge.merged(w.gold(table, touched), rows, [key], update_cols, updates_rows=seen["rows"])
+    return Merge(table, actions, part, touched), seen["rows"]
 
 
-def load_counts(w: Warehouse, batch_id: int) -> DataFrame:
-    """Where the rows of a batch went, as table, outcome and rows: the verdicts of each judged table; order items without an order
-    ("orphan"); and accepted rows that found a dimension ("fact") or not ("unmatched"). Verdicts and orphans add up to the raw rows, facts
-    and unmatched rows to the accepted ones."""
-    items, orders = w.bronze("order_items", batch_id), w.bronze("orders", batch_id)
-    lines, web = (w.judged(t, quality.GOOD) for t in ("sales_order_lines", "web_activity"))
-    dims = [w.gold(f"dim_{d}") for d in ("company", "customer", "product")]
-    unmatched_web = web.join(w.gold("dim_geo"), web["client_ip"] == F.col("ip_address"), "left_anti")
+def rows_counted() -> dict[str, Column]:
+    """What a write counts where only the number of rows matters."""
+    return {"rows": F.count(F.lit(1))}
 
-    def count(table: str, outcome: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count("*").alias("rows")).select(F.lit(table).alias("table"), F.lit(outcome).alias("outcome"), "rows")
 
-    parts = [
-        verdict_counts(w).withColumnRenamed("verdict", "outcome").select("table", "outcome", "rows"),
-        count("sales_order_lines", "orphan", items.join(orders.select("order_id"), "order_id", "left_anti")),
-        count("fact_sales", "unmatched", star.unmatched_lines(lines, *dims)),
-        count("fact_sales", "fact", star.fact_sales_lookup(lines, *dims)),
-        count("fact_web_activity", "unmatched", unmatched_web),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def load_counts(w: Warehouse, batch_id: int) -> list[tuple[str, str, int]]:
+    """Where the rows of a batch went, as table, outcome and rows: the verdicts of each judged table; order items without an order
+    ("orphan"); and accepted rows that found a dimension ("fact") or not ("unmatched"). Verdicts and orphans add up to the raw rows, facts
+    and unmatched rows to the accepted ones.
+
+    All of it follows from what the layers' writes have counted: every order has one row in its table and every key one in its dimension, so
+    what a join leaves out is what it was given less what it gave. Nothing is joined or read here but these counts.
+    """
+    seen = w.counted(batch_id)
+    out = [(table, verdict, n) for (table, verdict), n in seen.items() if table in REJECTS]
+    judged = sum(n for table, _, n in out if table == "sales_order_lines")
+    if ("order_items", "raw") in seen:
+        out.append(("sales_order_lines", "orphan", seen["order_items", "raw"] - judged))
+    for fact, source in FACT_SOURCES.items():
+        if (fact, "fact") in seen:
+            out += [(fact, "fact", seen[fact, "fact"]), (fact, "unmatched", seen.get((source, quality.GOOD), 0) - seen[fact, "fact"])]
+    return out
 
 
 def record_counts(w: Warehouse, batch_id: int, merges: dict[str, dict[str, int]]) -> None:
     """Write the batch's counts, and those of its merges by action, to the audit tables. Repeating a batch replaces them."""
-    rows = [(table, action, n) for table, actions in merges.items() for action, n in actions.items()]
-    merged = w.spark.createDataFrame(rows, "table string, outcome string, rows long")  # a few rows a table
-    counts = load_counts(w, batch_id).unionByName(merged)
+    rows = load_counts(w, batch_id) + [(table, action, n) for table, actions in merges.items() for action, n in actions.items()]
+    counts = w.spark.createDataFrame(rows, "table string, outcome string, rows long")  # a few rows a table
     files.write_full(counts.coalesce(1), f"{w.path('audit', 'load_counts')}/batch_id={batch_id}")
 
 
@@ -232,34 +285,39 @@ def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[s
 
     counts = publish_all(
         {
-            "dim_company": lambda: Merge("dim_company", star.company_actions(w.gold("dim_company"), w.silver("companies"))),
-            "dim_customer": lambda: Merge("dim_customer", star.customer_actions(w.gold("dim_customer"), w.silver("customers"))),
-            "dim_product": lambda: Merge("dim_product", star.product_actions(w.gold("dim_product"), w.silver("products"))),
-            "dim_device": lambda: Merge("dim_device", star.device_actions(w.gold("dim_device"), web)),
-            "dim_geo": lambda: Merge("dim_geo", star.geo_actions(w.gold("dim_geo"), web)),
-            "dim_date": lambda: Merge("dim_date", star.date_actions(w.gold("dim_date"), as_of)),
+            "dim_company": lambda: _dimension("dim_company", star.company_merge(w.gold("dim_company"), w.silver("companies"))),
+            "dim_customer": lambda: _dimension("dim_customer", star.customer_merge(w.gold("dim_customer"), w.silver("customers"))),
+            "dim_product": lambda: _dimension("dim_product", star.product_merge(w.gold("dim_product"), w.silver("products"))),
+            "dim_device": lambda: _dimension("dim_device", star.device_merge(w.gold("dim_device"), web)),
+            "dim_geo": lambda: _dimension("dim_geo", star.geo_merge(w.gold("dim_geo"), web)),
+            "dim_date": lambda: _calendar(w, as_of),
         }
     )
     company, customer, product = w.gold("dim_company"), w.gold("dim_customer"), w.gold("dim_product")
+    facts: dict[tuple[str, str], int] = {}
 
     def sales() -> Merge:
         rows = star.sales_rows(lines, company, customer, product, now)
-        return _fact_updates(w, "fact_sales", "source_order_item_id", rows, star.SALES_UPDATES, lines.count())
+        done, facts["fact_sales", "fact"] = _fact_updates(w, "fact_sales", "source_order_item_id", rows, star.SALES_UPDATES)
+        return done
 
     def activity() -> Merge:
         # Known log rows stay as they are, so only new ones are written; the months before are listed again.
-        rows, count = star.fact_web_lookup(web, w.gold("dim_geo"), w.gold("dim_device"), customer), web.count()
-        rows = materialize(rows, "updates")
+        found = star.fact_web_lookup(web, w.gold("dim_geo"), w.gold("dim_device"), customer)
+        rows, seen = materialize_counted(found, "updates", rows_counted())
+        facts["fact_web_activity", "fact"] = seen["rows"]
         actions = merge.merged(
-            w.gold("fact_web_activity"), rows, ["source_log_id"], [], on_duplicate="first", first_by=star.WEB_FIRST, updates_rows=count
+            w.gold("fact_web_activity"), rows, ["source_log_id"], [], on_duplicate="first", first_by=star.WEB_FIRST, updates_rows=seen["rows"]
         )
         return Merge("fact_web_activity", actions.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
 
     def scored_leads() -> Merge:
         rows = star.lead_rows(leads, batch_id)
-        return _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES, leads.count())
+        done, facts["fact_marketing_lead", "fact"] = _fact_updates(w, "fact_marketing_lead", "source_lead_id", rows, star.LEAD_UPDATES)
+        return done
 
     counts |= publish_all({"fact_sales": sales, "fact_web_activity": activity, "fact_marketing_lead": scored_leads})
+    w.count("gold", batch_id, facts)
     record_counts(w, batch_id, counts)
     return counts
 
@@ -290,23 +348,30 @@ def next_batch(w: Warehouse, load_name: str) -> tuple[int, str]:
 
 
 def run_load(
-    spark: SparkSession, root: str, sources: Sources, as_of: date, now: datetime, load_name: str = fixed.LOAD_NAME, alignment: str = "exact"
+    spark: SparkSession, root: str, sources: Sources, as_of: date, now: datetime, load_name: str = fixed.LOAD_NAME, alignment: str = "exact",
+    marks: Marks | None = None,
 ) -> tuple[int, list[str]]:
-    """Run the next batch. Returns its number and the layers that ran. alignment: how source columns are matched, see `align_schema`."""
+    """Run the next batch. Returns its number and the layers that ran. alignment: how source columns are matched, see `align_schema`.
+
+    marks (such as BY_TIME): of these tables read only what came after the last committed mark, up to `now`, which becomes the mark when
+    the bronze layer has succeeded. A batch that failed before that is read again from the same mark; without marks all is read, and the
+    mark stays where it was.
+    """
     w = Warehouse(spark, root)
     batch_id, first = next_batch(w, load_name)
+    after = w.committed_mark(load_name) if marks and first == "bronze" else None
     w.log("batch_events", batch_id=batch_id, pipeline_name=load_name, status=fixed.RUNNING)
 
     work = {
-        "bronze": (fixed.BRONZE, lambda: load_bronze(w, sources, batch_id, now, alignment)),
-        "silver": (fixed.SILVER, lambda: load_silver(w, batch_id, as_of, load_name)),
-        "gold": (fixed.GOLD, lambda: load_gold(w, batch_id, as_of, now)),
+        "bronze": (fixed.BRONZE, lambda: load_bronze(w, sources, batch_id, now, alignment, marks, after), now if marks else None),
+        "silver": (fixed.SILVER, lambda: load_silver(w, batch_id, as_of, load_name), None),
+        "gold": (fixed.GOLD, lambda: load_gold(w, batch_id, as_of, now), None),
     }
     names = list(work)
     todo = names[names.index(first) :]
     try:
         for name in todo:
-            _run_layer(w, load_name, batch_id, *work[name])
+            run_layer(w, load_name, batch_id, *work[name])
     except BaseException as problem:
         w.log("batch_events", batch_id=batch_id, pipeline_name=load_name, status=fixed.FAILED, error_message=str(problem))
         raise
@@ -314,17 +379,18 @@ def run_load(
     return batch_id, todo
 
 
-def _run_layer(w: Warehouse, load_name: str, batch_id: int, layer: str, work: Callable[[], object]) -> None:
+def run_layer(w: Warehouse, load_name: str, batch_id: int, layer: str, work: Callable[[], object], mark: datetime | None = None) -> None:
+    """Run one layer between its events. mark: up to when the sources are taken in once it has succeeded."""
     job = time.time_ns()
 
-    def mark(status: str, error: str | None = None) -> None:
+    def log(status: str, error: str | None = None, until: datetime | None = None) -> None:
         w.log("job_events", job_run_id=job, batch_id=batch_id, job_name=layer, status=status, error_message=error)
-        w.log("layer_events", pipeline_name=load_name, layer_name=layer, batch_id=batch_id, status=status)
+        w.log("layer_events", pipeline_name=load_name, layer_name=layer, batch_id=batch_id, status=status, last_watermark=until)
 
-    mark(fixed.RUNNING)
+    log(fixed.RUNNING)
     try:
         work()
     except Exception as problem:
-        mark(fixed.FAILED, str(problem))
+        log(fixed.FAILED, str(problem))
         raise
-    mark(fixed.SUCCESS)
+    log(fixed.SUCCESS, until=mark)

@@ -115,4 +115,6 @@ AUDIT = {
 # Which state of a log file has been loaded: a file of another length or time is looked at again.
 LOG_FILES = _schema(file=_text, length=_long, modified=_time)
 
-VERSIONS = _schema(version=_long, published_at=_time, entries=ArrayType(_schema(data_version=_long, part=_long)))
+VERSIONS = _schema(
+    version=_long, published_at=_time, entries=ArrayType(_schema(data_version=_long, part=_long)), stream=_text, stream_batch=_long
+)

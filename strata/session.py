@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,6 +72,27 @@ def materialize(df: DataFrame, label: str = "held") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, counts: Mapping[str, Column], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write `df` and return the aggregates `counts` of the rows written, taken on the way: nothing is read again for them.
+
+    They are taken in the tasks that write, after the last shuffle. Spark adds up one successful attempt of each of these, so a task that
+    is repeated, or runs twice by speculation, counts once.
+    """
+    if not counts:
+        write(df)
+        return {}
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    return seen.get
+
+
+def materialize_counted(df: DataFrame, label: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """`materialize`, and aggregates of the rows from the write itself."""
+    path = scratch_path(df.sparkSession, label)
+    seen = counted(df, counts, lambda rows: rows.write.parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when counting shows at most `rows` rows; otherwise the join shuffles. Counts, so pass something cheap."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

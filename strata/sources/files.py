@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from strata import fixed
 from strata.operators.numbering import file_position
 from strata.schemas import LEADS_CSV, LOG_LINES, QUARANTINE
-from strata.session import empty_frame
+from strata.session import counted, empty_frame
 
 
 def read_leads(spark: SparkSession, path: str, located: bool = False) -> DataFrame:
@@ -89,10 +90,14 @@ def parse_weblogs(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_full(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace whatever is at `path`."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+def write_full(df: DataFrame, path: str, partition_by: str | None = None, counts: Mapping[str, Column] | None = None) -> dict[str, int]:
+    """Replace whatever is at `path`. Returns the aggregates `counts` of the rows, from the write itself."""
+
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+    return counted(df, counts or {}, write)
 
 
 def append_quarantine(df: DataFrame, path: str, batch_id: int) -> None:
@@ -101,8 +106,10 @@ def append_quarantine(df: DataFrame, path: str, batch_id: int) -> None:
     write_full(df.filter(F.col("batch_id") == batch_id).drop("batch_id"), f"{path}/batch_id={batch_id}")
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names)
+def read_quarantine(spark: SparkSession, path: str, parsed: bool = False) -> DataFrame:
+    """Quarantine records. parsed: with `record`, the rejected row as a variant, NULL where the text is no JSON; the text stays either way."""
+    records = spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names)
+    return records.withColumn("record", F.try_parse_json("raw_record")) if parsed else records
 
 
 def table_schema(spark: SparkSession, path: str) -> StructType:

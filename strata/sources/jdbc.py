@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WRITE_BATCH = 25_000  # rows per insert
 FETCH_ROWS = 10_000  # rows per round trip; many drivers otherwise hold the whole result in memory
@@ -40,6 +44,61 @@ def read_jdbc_ranged(spark: SparkSession, url: str, table: str, key: str, n: int
     )
 
 
+def key_ranges(keys: DataFrame, columns: Sequence[str], n: int) -> list[str]:
+    """Conditions on one or several key columns, at most `n`, that split a table into ranges of about as many rows each.
+
+    keys: rows with these columns, such as the table's last copy in files. The ranges are those of Spark's range partitioning, cut at sampled
+    quantiles, so gaps and clusters of keys don't matter; one key is never split. What comes to the driver is the lowest key of each range.
+    Together the conditions hold for every row once: the first also takes keys below the lowest one known and keys with a NULL in
+    them, the last all above. Texts, numbers, dates and times are written as SQL literals.
+    """
+    by = [F.col(c) for c in columns]
+    ranged = keys.select(*columns).na.drop().repartitionByRange(n, *by)
+    lows = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*columns)).alias("low")).select("low.*")
+    starts = sorted({tuple(r) for r in lows.collect()})[1:]
+    if not starts:
+        return ["1 = 1"]
+    nulls = " OR ".join(f"{c} IS NULL" for c in columns)
+    bounds = [(_at_least(columns, low), _below(columns, low)) for low in starts]
+    first = f"({bounds[0][1]}) OR {nulls}"
+    middle = [f"({low}) AND ({high})" for (low, _), (_, high) in zip(bounds, bounds[1:])]
+    # a comparison with a NULL in a later column may still hold, so keys with one are the first range's alone
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return [first, *(f"({m}) AND {whole}" for m in [*middle, bounds[-1][0]])]
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    return str(value)
+
+
+def _below(columns: Sequence[str], key: tuple) -> str:
+    """Keys before `key` in the order of the columns, spelled out, as not every database compares tuples."""
+    steps = []
+    for k, c in enumerate(columns):
+        equal = [f"{d} = {_literal(v)}" for d, v in zip(columns[:k], key)]
+        steps.append(" AND ".join([*equal, f"{c} < {_literal(key[k])}"]))
+    return " OR ".join(f"({s})" for s in steps)
+
+
+def _at_least(columns: Sequence[str], key: tuple) -> str:
+    steps = []
+    for k, c in enumerate(columns):
+        equal = [f"{d} = {_literal(v)}" for d, v in zip(columns[:k], key)]
+        steps.append(" AND ".join([*equal, f"{c} {'>=' if k == len(columns) - 1 else '>'} {_literal(key[k])}"]))
+    return " OR ".join(f"({s})" for s in steps)
+
+
+def read_jdbc_by(spark: SparkSession, url: str, table: str, ranges: Sequence[str], props: dict[str, str]) -> DataFrame:
+    """A table read by one query for each condition of `key_ranges`."""
+    return spark.read.jdbc(url, table, predicates=list(ranges), properties=_fetching(props))
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, props: dict[str, str], mode: str = "append") -> None:
     """Bulk insert, one connection per partition."""
     df.write.option("batchsize", WRITE_BATCH).jdbc(url, table, mode=mode, properties=props)

@@ -7,7 +7,9 @@ a dimension) that a merge did not touch are listed again, not rewritten, so a ve
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,21 @@ from pyspark.sql.types import StructType
 
 from strata import session
 from strata.schemas import VERSIONS
-from strata.session import empty_frame, one_row
+from strata.session import counted, empty_frame, one_row
+
+class Origin(NamedTuple):
+    """A batch of a stream: the stream's own id, which its checkpoint keeps, and the number of the batch."""
+
+    stream: str
+    batch: int
+
+
+class Tally:
+    """Aggregates to take of the rows of a write, and what they came to."""
+
+    def __init__(self, wanted: Mapping[str, Column]):
+        self.wanted, self.seen = wanted, dict[str, int]()
+
 
 PART = "_part"
 WHOLE = 0  # the part of a table that is not split
@@ -58,10 +74,12 @@ def read_data(spark: SparkSession, path: str, version: int, schema: str) -> Data
 
 
 def publish(
-    spark: SparkSession, path: str, df: DataFrame, now: datetime, part: Column | None = None, replaces: list[int] | None = None
+    spark: SparkSession, path: str, df: DataFrame, now: datetime, part: Column | None = None, replaces: list[int] | None = None,
+    tally: Tally | None = None, origin: Origin | None = None,
 ) -> int:
     """Write `df` as data of a new version and make that current. `replaces` are the old parts it stands for: all of them when None,
-    none of them ([]) when `df` only adds rows. Returns the version."""
+    none of them ([]) when `df` only adds rows. tally: what to count of the rows while they are written. origin: the batch of a stream that
+    they come from. Returns the version."""
     current, entries = _current(spark, path)
     version = current + 1
     data = _data_path(path, version)
@@ -70,18 +88,37 @@ def publish(
     else:
         # Rows of a part come together, so parts are few files each; adaptive execution splits a part that is too large for one task.
         parted = df.withColumn(PART, part).hint("rebalance", PART)
-    parted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(data)
+    seen = counted(
+        parted, tally.wanted if tally else {}, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(data)
+    )
     # Reads no data columns, only which part directories there are.
     written = read_data(spark, path, version, f"{PART} LONG").distinct().collect()
     kept = [] if replaces is None else [(v, p) for v, p in entries if p not in replaces]
     listed = [F.struct(F.lit(v), F.lit(p)) for v, p in kept + [(version, r[0]) for r in written]]
-    pointer = one_row(spark, VERSIONS, version=version, published_at=now).withColumn(
-        "entries", F.array(*listed).cast(VERSIONS["entries"].dataType)
-    )
-    pointer.write.mode("append").parquet(f"{path}/_versions")
+    _point(spark, path, version, now, listed, origin)
+    if tally:
+        tally.seen = seen
     return version
 
 
+def _point(spark: SparkSession, path: str, version: int, now: datetime, listed: list[Column], origin: Origin | None) -> None:
+    values = {"version": version, "published_at": now} | ({"stream": origin.stream, "stream_batch": origin.batch} if origin else {})
+    pointer = one_row(spark, VERSIONS, **values).withColumn("entries", F.array(*listed).cast(VERSIONS["entries"].dataType))
+    pointer.write.mode("append").parquet(f"{path}/_versions")
+
+
+def mark_done(spark: SparkSession, path: str, now: datetime, origin: Origin) -> None:
+    """A version of the same content that says that a stream's batch, which added nothing, has been taken in."""
+    current, entries = _current(spark, path)
+    _point(spark, path, current + 1, now, [F.struct(F.lit(v), F.lit(p)) for v, p in entries], origin)
+
+
+def taken_in(spark: SparkSession, path: str, origin: Origin) -> bool:
+    """Whether a version of the table holds a stream's batch already. Reads the list of versions, no data."""
+    log = read_or_create(spark, f"{path}/_versions", VERSIONS)
+    return not log.filter((F.col("stream") == origin.stream) & (F.col("stream_batch") == origin.batch)).isEmpty()
+
+
 def compact(spark: SparkSession, path: str, schema: StructType, now: datetime, part: Column | None = None) -> int:
     """Write the current rows again as one version. For tables that many small additions have left in many directories."""
     return publish(spark, path, read_table(spark, path, schema), now, part)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from strata.operators.numbering import file_position, number_rows, with_line_num
 from strata.schemas import LOG_FILES, LOG_LINES, WEBLOG_ROWS
 from strata.session import broadcast_if_small, materialize
 from strata.sources.files import parse_weblogs
-from strata.sources.tables import publish, read_or_create, read_table
+from strata.sources.tables import Origin, mark_done, publish, read_or_create, read_table, taken_in
 
 LINE_KEY = ["source_file", "source_line_number"]
 
@@ -31,11 +32,14 @@ def insert_counts(target: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def load_lines(spark: SparkSession, lines: DataFrame, target: str, now: datetime) -> dict[str, int]:
+def load_lines(spark: SparkSession, lines: DataFrame, target: str, now: datetime, origin: Origin | None = None) -> dict[str, int]:
     """Number, parse and add `lines` (read from whole text files) to the table at `target`. Only new rows are written.
 
-    New lines get the next `log_id`s in order of file and line, so the table serves as the weblogs source of a load.
+    New lines get the next `log_id`s in order of file and line, so the table serves as the weblogs source of a load. origin: the batch of
+    a stream, which is committed with the rows; one that the table holds already is left alone, without reading lines or history.
     """
+    if origin and taken_in(spark, target, origin):
+        return {"inserted": 0, "skipped": 0}
     rows = parse_weblogs(with_line_numbers(lines))
     # Only lines of the same files can be known already; the history is cut to them before it is joined.
     files = broadcast_if_small(rows.select("source_file").distinct())
@@ -46,7 +50,9 @@ def load_lines(spark: SparkSession, lines: DataFrame, target: str, now: datetime
     added = number_rows(absent, [F.col(c) for c in LINE_KEY], "log_id", after=last)  # writes them once, and only them
     inserted = added.count()
     if inserted:
-        publish(spark, target, added.select(*WEBLOG_ROWS.names), now, replaces=[])
+        publish(spark, target, added.select(*WEBLOG_ROWS.names), now, replaces=[], origin=origin)
+    elif origin:
+        mark_done(spark, target, now, origin)
     return {"inserted": inserted, "skipped": rows.count() - inserted}
 
 
@@ -63,6 +69,11 @@ def _remember(states: DataFrame, target: str) -> None:
     states.select(*LOG_FILES.names).distinct().write.mode("append").parquet(f"{target}/_log_files")
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint belongs to."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def changed_files(spark: SparkSession, source_dir: str, target: str) -> list[str]:
     """Files of `source_dir` that are not in the state in which they were loaded. Lists them, reads none."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source_dir).select(*_file_states())
@@ -78,15 +89,18 @@ def stream_weblogs(
     New files come as a stream, a long backlog in batches of about `batch_bytes`, however old a file's modification time is: the
     stream forgets no file, and none is too old for it. Files that were loaded and have grown since are read again after it; their
     known lines are skipped, as in any repeated batch. A file that is still being written is therefore completed by a later run.
+
+    A batch that comes again after a crash is known by its number and the id that the checkpoint gives the stream, so that another
+    checkpoint, or one made anew, never passes for it.
     """
     reader = spark.readStream.schema(LOG_LINES).option("recursiveFileLookup", True).option("maxBytesPerTrigger", batch_bytes)
     reader = reader.option("maxFileAge", f"{100 * 365}d")
     files = reader.text(source_dir).select("raw_line", *file_position(), *_file_states())
 
-    def add(batch: DataFrame, _: int) -> None:
+    def add(batch: DataFrame, number: int) -> None:
         # A batch keeps the listing it was planned with, so states and lines belong together however often it is read.
         states = materialize(batch.select(*LOG_FILES.names).distinct(), "states")
-        load_lines(batch.sparkSession, batch.drop(*LOG_FILES.names), target, now)
+        load_lines(batch.sparkSession, batch.drop(*LOG_FILES.names), target, now, Origin(stream_id(batch.sparkSession, checkpoint), number))
         _remember(states, target)
 
     query = files.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -51,3 +51,41 @@ def test_database_sources_read_large_tables_in_ranges(tmp_path):
         assert spark.read.jdbc.call_args.kwargs["column"] == key
     sources["companies"]()
     assert spark.read.jdbc.call_args.args == ("jdbc:x", "source.companies")
+
+
+def test_ranges_by_quantiles_hold_every_row_once(spark):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    # clustered and gappy: nine in ten keys lie within one thousandth of the span
+    keys = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") * 50_000).otherwise(F.col("id")).alias("k"), (F.col("id") % 7).alias("j"), F.concat(F.lit("o'"), F.col("id") % 5).alias("t")
+    )
+    lost = spark.createDataFrame([(None, 1, "a"), (3, None, "b"), (4, 2, None), (None, None, None)], "k long, j long, t string")
+    table = keys.unionByName(lost)
+    for columns, n in ((["k"], 8), (["j", "k"], 8), (["t", "j", "k"], 5), (["j"], 3)):
+        ranges = jdbc.key_ranges(table, columns, n)
+        sizes = [table.filter(F.expr(r)).count() for r in ranges]
+        assert 1 < len(ranges) <= n and sum(sizes) == table.count(), (columns, sizes)
+        if columns != ["j"]:
+            assert max(sizes) < 2 * sum(sizes) / len(sizes), (columns, sizes)
+        once = reduce(lambda x, y: x.unionByName(y), [table.filter(F.expr(r)) for r in ranges])
+        assert once.exceptAll(table).count() == 0
+    strides = [keys.filter(f"k >= {a} and k < {a + 125_000_000}").count() for a in range(0, 1_000_000_000, 125_000_000)]
+    assert max(strides) > 7 * sum(strides) / len(strides)  # what equal strides would have given
+    assert jdbc.key_ranges(table.filter("false"), ["k"], 8) == ["1 = 1"]
+
+
+def test_ranges_are_read_by_a_query_each(monkeypatch):
+    asked = {}
+
+    class Reader:
+        def jdbc(self, url, table, **options):
+            asked.update(options, table=table)
+
+    class Session:
+        read = Reader()
+
+    jdbc.read_jdbc_by(Session(), "jdbc:x", "source.orders", ["a < 5", "a >= 5"], {"user": "u"})
+    assert asked["predicates"] == ["a < 5", "a >= 5"] and asked["properties"]["fetchsize"] and asked["table"] == "source.orders"

@@ -200,7 +200,7 @@ def test_months_written_do_not_depend_on_the_size_of_a_batch(spark, tmp_path, mo
         one = i.gold("fact_sales").limit(1)
         with monkeypatch.context() as m:
             m.setattr(session, "BROADCAST_ROWS", limit)
-            load.publish_merge(w, load._fact_updates(w, "fact_sales", "source_order_item_id", one, star.SALES_UPDATES, 1), fixtures.NOW)
+            load.publish_merge(w, load._fact_updates(w, "fact_sales", "source_order_item_id", one, star.SALES_UPDATES)[0], fixtures.NOW)
         written.append(sorted(p.name for p in (tmp_path / str(limit) / "gold" / "fact_sales" / "data_version=2").iterdir() if p.is_dir()))
     assert written[0] == written[1] and len(written[0]) == 1
 

@@ -138,3 +138,29 @@ def test_hot_null_key_is_spread(spark, conf):
     sizes = [r["count"] for r in result.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == 50_000  # 20,000 without a key, 30,000 different keys
     assert len(sizes) == 8 and max(sizes) < 1.3 * sum(sizes) / 8
+
+
+def test_keyed_merge_reads_and_shuffles_the_target_once(spark, tmp_path, conf, monkeypatch):
+    from strata import session
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.createDataFrame([(10, "a", 1), (11, "b", 2), (15, "c", None)], "id long, name string, v int").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    updates = spark.createDataFrame([("c", None), ("b", 7), ("z", 1), ("d", 2)], "name string, v int")
+    written = []
+    real = session.materialize_counted
+    monkeypatch.setattr(session, "materialize_counted", lambda df, *rest: written.append(df) or real(df, *rest))
+    got = merge.keyed_merge(target, updates, "name", "id", ["v"])
+    assert sorted(tuple(r) for r in got.rows.select("id", "name", "v", "_action").collect()) == [
+        (10, "a", 1, "keep"), (11, "b", 7, "update"), (15, "c", None, "update"), (16, "d", 2, "insert"), (17, "z", 1, "insert"),
+    ]
+    assert got.counts == {"insert": 2, "update": 2, "keep": 1} and got.changed == 1  # NULL for NULL changes nothing
+    [joined] = written
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 2
+    # what remains to be done reads the written join, not the target
+    assert str(tmp_path) not in got.rows._jdf.queryExecution().toString()
+    # the same rows by the general operators
+    keyed = merge.assign_keys(target, updates, "name", "id")
+    other = merge.upsert(target, keyed, ["name"], ["v"])
+    assert sorted(map(repr, other.collect())) == sorted(map(repr, got.rows.drop("_action").select(*other.columns).collect()))

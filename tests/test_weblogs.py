@@ -145,3 +145,31 @@ def test_parsed_fields_need_one_pass_of_the_pattern(spark):
     parsed = files.parse_weblogs(spark.createDataFrame([("x",)], "raw_line string").filter(F.col("raw_line") != ""))
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract" not in plan
+
+
+def test_a_batch_that_comes_again_is_known_by_its_number(spark, tmp_path, monkeypatch):
+    """A crash after the rows were committed and before the stream was."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.log").write_text("one\ntwo\n")
+    with monkeypatch.context() as m:
+        m.setattr(weblogs, "_remember", lambda *_: (_ for _ in ()).throw(OSError("crashed")))
+        with pytest.raises(Exception, match="crashed"):
+            weblogs.stream_weblogs(spark, source, target, checkpoint, NOW)
+    assert [x[2] for x in lines_of(spark, target)] == ["one", "two"]
+    version = tables._current(spark, target)[0]
+    with monkeypatch.context() as m:
+        m.setattr(weblogs, "insert_absent_actions", lambda *_: (_ for _ in ()).throw(AssertionError("the history was read")))
+        weblogs.stream_weblogs(spark, source, target, checkpoint, NOW)
+    assert tables._current(spark, target)[0] == version and weblogs.changed_files(spark, source, target) == []
+    # batches of another checkpoint have the same numbers and are not taken for it
+    (tmp_path / "in" / "b.log").write_text("three\n")
+    weblogs.stream_weblogs(spark, source, target, str(tmp_path / "check2"), NOW)
+    assert [x[2] for x in lines_of(spark, target)] == ["one", "two", "three"]
+    # a batch without anything new is committed too
+    origin = tables.Origin("s", 5)
+    lines = files.read_lines(spark, source)
+    assert weblogs.load_lines(spark, lines, target, NOW, origin) == {"inserted": 0, "skipped": 3}
+    assert tables.taken_in(spark, target, origin) and not tables.taken_in(spark, target, tables.Origin("s", 6))
+    assert weblogs.load_lines(spark, lines, target, NOW, origin) == {"inserted": 0, "skipped": 0}
+    assert len(lines_of(spark, target)) == 3
