@@ -19,9 +19,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 COPIES = 3
 #: Newton steps at most, each a job, and the relative error of a source's words that ends them.
 STEPS, ERROR = 72, 1e-10
-#: Bins of the search for the rounding threshold: a source of any size ends within 1/4096 of its words of the target, one of few documents
-#: within what no document fills.
-BINS = 4096
+#: Bins a doubling of the distance, and doublings, in the search for how far the rounding reaches: BINS * DOUBLINGS sums a source at most.
+BINS, DOUBLINGS = 100, 40
 #: Passes of the rounding at most: later ones fill what long documents left open, until none that fits is left.
 PASSES = 8
 #: Rows that one task makes out of one repeated row.
@@ -104,24 +103,27 @@ def _newton(histogram: DataFrame, state: DataFrame, hint: Callable[[DataFrame],
     return bounded.select("k", "target", "mean", "full", tilt.alias("tilt"), F.col("l").alias("low"), F.col("h").alias("high"), "error")
 
 
-def _thresholds(fits: DataFrame) -> DataFrame:
-    """k and threshold: units of a source whose `place` (0 to 1) is below it add up to the words needed, or just under.
+def _bin(place: Column, low: Column) -> Column:
+    """Bins of places from the lowest one on, each a little wider than the one before: the first units are told apart, however close."""
+    return F.floor(F.log2((place - low) * float(1 << DOUBLINGS) + 1) * BINS).cast("int")
 
-    fits: k, size, place, need. Words are summed by bins of place; all bins before the one in which the need is met are taken, and that
-    one too if it is met exactly.
+
+def _reach(fits: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """k, low and cut: a source's units from the lowest place up to bin `cut` add up to the words needed, or to less.
+
+    fits: k, size, place, need; each unit fits by itself, so the lowest one is always taken.
     """
-    number = F.least(F.floor(F.col("place") * BINS), F.lit(BINS - 1))
-    bins = fits.groupBy("k", number.alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
-    # at most BINS rows a source
+    lowest = fits.groupBy("k").agg(F.min("place").alias("low"))
+    bins = fits.join(hint(lowest), "k").groupBy("k", "low", _bin(F.col("place"), F.col("low")).alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
     bins = bins.select("*", F.sum("words").over(Window.partitionBy("k").orderBy("bin")).alias("until"))
-    return bins.groupBy("k").agg((F.max(F.when(F.col("until") <= F.col("need"), F.col("bin") + 1).otherwise(0)) / F.lit(float(BINS))).alias("threshold"))
+    return bins.groupBy("k", "low").agg(F.max(F.when(F.col("until") <= F.col("need"), F.col("bin")).otherwise(-1)).alias("cut"))
 
 
 def _round_off(rated: DataFrame, copies: int) -> tuple[DataFrame, int]:
-    """k, up (1 or -1) and, for each pass, need and threshold: which units get a copy more or less, see `_moved`; and the number of passes.
+    """k, up (1 or -1) and, for each pass, need, low and cut: which units get a copy more or less, see `_moved`; and the number of passes.
 
     The first pass moves units in order of place until the next ones would exceed the words still needed. The passes after it
-    do the same with what they left, among units that fit, so long documents next to the border do no harm.
+    do the same with what they left, among units that fit, so long documents next to the border do no harm. They end when no unit fits.
     """
     sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"))
     state = keep(sums.select("k", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0")), "gaps")
@@ -131,8 +133,9 @@ def _round_off(rated: DataFrame, copies: int) -> tuple[DataFrame, int]:
     for turn in range(PASSES):
         still = near.join(hint(state), "k").filter((F.col("size") <= F.col(f"need{turn}")) & ~_moved(turn))
         fits = still.select("k", "size", "place", F.col(f"need{turn}").alias("need"))
-        found = keep(state.join(_thresholds(fits).withColumnRenamed("threshold", f"threshold{turn}"), "k", "left").na.fill(0.0, [f"threshold{turn}"]), "thresholds")
-        taken = fits.join(hint(found.select("k", f"threshold{turn}")), "k").filter(F.col("place") < F.col(f"threshold{turn}")).groupBy("k").agg(F.sum("size").alias("got"))
+        reach = _reach(fits, hint).withColumnsRenamed({"low": f"low{turn}", "cut": f"cut{turn}"})
+        found = keep(state.join(reach, "k", "left").na.fill({f"low{turn}": 0.0, f"cut{turn}": -1}), "reach")
+        taken = fits.join(hint(found.select("k", f"low{turn}", f"cut{turn}")), "k").filter(_within(turn)).groupBy("k").agg(F.sum("size").alias("got"))
         left = (F.col(f"need{turn}") - F.coalesce("got", F.lit(0))).alias(f"need{turn + 1}")
         state = keep(found.join(taken, "k", "left").select(*found.columns, left), "gaps")
         if state.filter(F.col(f"need{turn + 1}") < F.col(f"need{turn}")).isEmpty():
@@ -149,8 +152,13 @@ def _place() -> Column:
     return F.least(F.when(F.col("up") > 0, 1 - F.col("part")).otherwise(F.col("part")), F.lit(1 - 2.0**-53))
 
 
+def _within(turn: int) -> Column:
+    low = F.col(f"low{turn}")
+    return (F.col("place") >= low) & (_bin(F.greatest(F.col("place"), low), low) <= F.col(f"cut{turn}"))
+
+
 def _moved(passes: int) -> Column:
-    hit = [(F.col("size") <= F.col(f"need{t}")) & (F.col("place") < F.col(f"threshold{t}")) for t in range(passes)]
+    hit = [(F.col("size") <= F.col(f"need{t}")) & _within(t) for t in range(passes)]
     return F.coalesce(reduce(lambda x, y: x | y, hit), F.lit(False)) if hit else F.lit(False)
 
 
