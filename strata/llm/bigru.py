@@ -26,6 +26,8 @@ MEMORY, WORDS, WINDOWS = 200_000, 200_000, 4096
 PER_CLASS = 1500
 #: Training steps (in whole passes over the windows), windows of a step, step size, and the seed of the starting values.
 STEPS, BATCH, RATE, SEED = 360, 128, 0.01, 7
+#: Slope of the scores of a network that has seen one class only.
+BLIND = 1e-6
 #: A word or n-gram that so many texts hold has half of its log ratio as starting value.
 FEW = 5
 _APART = bytes(b if b >= 0x80 or chr(b).isdigit() or "a" <= chr(b) <= "z" else 0x20 for b in range(256))
@@ -308,7 +310,7 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float | None = None) -> N
     used = np.flatnonzero([bool(w) for w in cut])
     if len(set(labels[used].tolist())) < 2:
         blank = Trainer([b"x"], (np.float32(0), np.float32(0))).p
-        return Network(blank, 1e-6, float(np.log(share / (1 - share))))
+        return Network(blank, BLIND, float(np.log(share / (1 - share))))
     rest = used[np.arange(len(used)) % 5 == 4]
     own = used[np.arange(len(used)) % 5 != 4]
     if len(set(labels[rest].tolist())) < 2 or len(set(labels[own].tolist())) < 2:
@@ -368,8 +370,14 @@ def score_documents(docs: DataFrame, model: Network) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.3, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
-    """The rows of `docs`, all columns kept, that toxicity_scores predicts to be of label 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, per_class, longest))
+    """The rows of `docs`, all columns kept, that toxicity_scores predicts to be of label 0.
+
+    Without labelled texts of both classes nothing is known that could tell rows apart, so all of them stay.
+    """
+    network = train(docs, labels, label, per_class, longest)
+    if network.slope <= BLIND:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(network)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

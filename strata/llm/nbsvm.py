@@ -164,8 +164,13 @@ def score_column(model: Model, text_col: str = "text") -> Column:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.7, per_class: int = PER_CLASS, longest: int = LONGEST) -> DataFrame:
-    """The rows of `docs`, all columns kept, that quality_scores predicts to be of label 1."""
+    """The rows of `docs`, all columns kept, that quality_scores predicts to be of label 1.
+
+    Without labelled texts of both classes nothing is known that could tell rows apart, so all of them stay.
+    """
     model = fit_in_task(training_sample(docs, labels, label, per_class, longest), fit)
+    if not model.weights.any():
+        return docs
     prepare(docs.sparkSession)
     return docs.filter(score_column(model) >= threshold)
 
