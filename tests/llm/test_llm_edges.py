@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,12 +102,39 @@ def test_pages(spark):
 
 
 def test_vectors(spark):
-    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0]), (7, [1.0]), (None, [9.0, 9.0]), (8, []), (9, [1e30, 1.0])]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("s")).withColumn("v", F.lit(0))
-    got = by_id(threshold.top_k(vectors, vectors.filter("vec_id = 0"), k=5))
-    assert got == sorted([(0, 1, 1, 256 * 128), (0, 2, 2, 256 * 128)] * 2, key=repr)
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [2.0, 1.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0])]
+    rows += [(6, [float("inf"), 0.0]), (7, [1.0]), (None, [9.0, 9.0]), (8, []), (50, []), (51, []), (9, [1e10, 1.0]), (10, [600000.0, 1.0]), (11, [-600000.0, 1.0])]
+    rows += [(12, [0.0, -1.0]), (13, [1e30, 2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("s")).withColumn("v", F.lit(0))
+
+    def plain(wanted, among):
+        held = [(i, [math.floor(256 * x) for x in e]) for i, e in among if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+        out = []
+        for a, (q, x) in enumerate(held):
+            if q in wanted:
+                others = sorted((-sum(s * t for s, t in zip(x, y)), j) for b, (j, y) in enumerate(held) if b != a and len(x) == len(y))
+                out += [(q, k + 1, j, -s) for k, (s, j) in enumerate(others[:5])]
+        return sorted(out, key=repr)
+
+    finite = vectors.filter("vec_id <> 13 or vec_id is null")
+    for ids in ((0, 8, 50, 51), (7,), (1, 2), (12,)):
+        got = by_id(threshold.top_k(finite, finite.filter(F.col("vec_id").isin(*ids)), k=5))
+        assert got == plain(ids, rows[:-1]) and (ids == (7,)) == (got == [])
+    assert (0, 1, 9, 655360000000000) in by_id(threshold.top_k(finite, finite.filter("vec_id = 0"), k=5))
+    # a component of any size takes part; only a result that is beyond a long raises
+    assert by_id(threshold.top_k(vectors, vectors.filter("vec_id = 12"), k=5)) == plain((12,), rows)
+    with pytest.raises(Exception, match="beyond a long"):
+        threshold.top_k(vectors, vectors.filter("vec_id = 0"), k=5).collect()
+    few = vectors.filter("vec_id in (11, 13)")
+    with pytest.raises(Exception, match="beyond a long"):
+        threshold.top_k(few, few.filter("vec_id = 11"), k=5).collect()
     assert threshold.top_k(vectors.filter("false"), vectors.filter("false")).collect() == []
-    assert threshold.top_k(vectors, vectors.filter("vec_id = 7")).collect() == []
+
+
+def test_stages_keep_all_rows_where_labels_lack_a_class(docs, labels):
+    for marks in (labels.filter("false"), labels.filter("quality = 0 and toxic = 0")):
+        for stage in (nbsvm.good_documents, bigru.clean_documents):
+            assert stage(docs, marks).count() == docs.count()
 
 
 def test_components(spark):

@@ -59,9 +59,11 @@ def test_threshold_algorithm_equals_scoring_all(n, dims, seed, few):
     vectors = draw.integers(-3 if few else -9999, 4 if few else 9999, (n, dims))
     ids = draw.permutation(n).astype(np.int64)
     lists, query = threshold.Lists(ids, vectors), draw.integers(-5, 6, dims)
-    own = int(ids[0])
-    expected = sorted((-int(v @ query), int(i)) for v, i in zip(vectors, ids) if i != own)[:5]
-    assert lists.top(own, query, 5) == [(-s, i) for s, i in expected]
+    expected = sorted((-int(v @ query), int(i)) for v, i in zip(vectors, ids))[:5]
+    assert [(s, i) for s, i, _ in lists.top(query, 5)] == [(-s, i) for s, i in expected]
+    # the same with products beyond a long
+    far = threshold.Lists(ids, vectors.astype(float) * 2.0**70)
+    assert [(s, i) for s, i, _ in far.top(query, 5)] == [(-s << 70, i) for s, i in expected]
 
 
 def test_threshold_algorithm_stops_early():
@@ -77,8 +79,9 @@ def test_threshold_algorithm_stops_early():
                 met.append(len(item))
             return super().__getitem__(item)
 
-    lists.vectors = lists.vectors.view(Counted)
-    assert [i for _, i in lists.top(0, np.ones(4, np.int64), 5)] == [1, 2, 3, 4, 5]
+    _, held, values = lists._exact(np.ones(4))
+    lists.held = {"f8": (held.view(Counted), values)}
+    assert [i for _, i, _ in lists.top(np.ones(4), 5)] == [0, 1, 2, 3, 4]
     assert sum(met) < 100
 
 

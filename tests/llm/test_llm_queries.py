@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10 and "pipeline" in QUERIES
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13 and "pipeline" in QUERIES
 
 
 def test_mix(spark, texts):
@@ -64,6 +64,7 @@ def test_mix(spark, texts):
     rates = (got.rate * got["size"]).groupby(got.source).sum()
     assert all(rates[s] == pytest.approx(target[s], rel=1e-6) for s in names)
     assert all(abs(mixed.taken[s] - target[s]) <= mixed.most[s] for s in names)
+    assert (abs(mixed.taken - mixed.target) <= 0.01 * mixed.target).mean() > 0.9
     assert (got.taken == got.copies * got["size"]).all() and got.copies.between(0, 3).all()
     again = run(spark, 1)
     assert (again.sort_values("doc_id").taken.values == got.sort_values("doc_id").taken.values).all()
@@ -132,6 +133,9 @@ def test_held_out_accuracy(spark, number, label, least, sf_dir):
     assert got.score.between(0, 1).all() and (got.predicted == (got.score >= (0.7 if number == 7 else 0.3))).all()
     judged = got[got.held_out].merge(pd.read_parquet(f"{sf_dir}/labels.parquet"), on="doc_id")
     assert (judged.predicted == judged[label]).mean() > least
+    if label == "toxic":  # one in nine: always saying no would be right as often
+        hits = ((judged.predicted == 1) & (judged.toxic == 1)).sum()
+        assert hits / (judged.toxic == 1).sum() > 0.6 and hits / (judged.predicted == 1).sum() > 0.8
     ranks = judged.score.rank()
     ones = judged[label] == 1
     area = (ranks[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
