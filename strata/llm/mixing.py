@@ -21,8 +21,9 @@ COPIES = 3
 STEPS, ERROR = 72, 1e-10
 #: Bins a doubling of the distance, and doublings, in the search for how far the rounding reaches: BINS * DOUBLINGS sums a source at most.
 BINS, DOUBLINGS = 100, 40
-#: Passes of the rounding at most: later ones fill what long documents left open, until none that fits is left.
-PASSES = 8
+#: Passes of the rounding at most: later ones fill what long documents left open, until none that fits is left or a source's words are within
+#: this part of its target.
+PASSES, SLACK = 8, 2.0**-14
 #: Rows that one task makes out of one repeated row.
 REPEATS = 10_000
 
@@ -125,20 +126,22 @@ def _round_off(rated: DataFrame, copies: int) -> tuple[DataFrame, int]:
     The first pass moves units in order of place until the next ones would exceed the words still needed. The passes after it
     do the same with what they left, among units that fit, so long documents next to the border do no harm. They end when no unit fits.
     """
-    sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"))
-    state = keep(sums.select("k", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0")), "gaps")
+    sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"), (F.first("target") * SLACK).alias("slack"))
+    state = keep(sums.select("k", "slack", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0")), "gaps")
+    if state.filter("need0 > slack").isEmpty():
+        return state, 0
     hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
     near = rated.join(hint(state.select("k", "up")), "k").filter(_room(copies) & (F.col("size") > 0)).select("k", "size", _place().alias("place"))
     near = keep(near, "near")
     for turn in range(PASSES):
-        still = near.join(hint(state), "k").filter((F.col("size") <= F.col(f"need{turn}")) & ~_moved(turn))
+        still = near.join(hint(state), "k").filter((F.col("size") <= F.col(f"need{turn}")) & (F.col(f"need{turn}") > F.col("slack")) & ~_moved(turn))
         fits = still.select("k", "size", "place", F.col(f"need{turn}").alias("need"))
         reach = _reach(fits, hint).withColumnsRenamed({"low": f"low{turn}", "cut": f"cut{turn}"})
         found = keep(state.join(reach, "k", "left").na.fill({f"low{turn}": 0.0, f"cut{turn}": -1}), "reach")
         taken = fits.join(hint(found.select("k", f"low{turn}", f"cut{turn}")), "k").filter(_within(turn)).groupBy("k").agg(F.sum("size").alias("got"))
         left = (F.col(f"need{turn}") - F.coalesce("got", F.lit(0))).alias(f"need{turn + 1}")
         state = keep(found.join(taken, "k", "left").select(*found.columns, left), "gaps")
-        if state.filter(F.col(f"need{turn + 1}") < F.col(f"need{turn}")).isEmpty():
+        if state.filter((F.col(f"need{turn + 1}") < F.col(f"need{turn}")) & (F.col(f"need{turn + 1}") > F.col("slack"))).isEmpty():
             break
     return state, turn + 1
 
