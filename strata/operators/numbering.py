@@ -46,12 +46,15 @@ def file_position() -> list[Column]:
 
 def with_line_numbers(df: DataFrame, file_col: str = "source_file", line_col: str = "source_line_number") -> DataFrame:
     """Adds the file of each row and its 1-based number inside that file. `df` reads text or CSV files (for CSV: record number, header
-    not counted), or already has the columns of `file_position`. Big files are many splits; a split's rows stay contiguous, so counts
-    per split give each split's first number."""
+    not counted), or already has the columns of `file_position`, without a shuffle in between. Big files are many splits; a split's rows stay
+    contiguous, so counts per split give each split's first number.
+
+    Only a row a split is written, not the rows: a scan deals the files it has listed to its partitions in the same way each time, so a row's
+    position is the same when the files are read again, on whatever executor."""
     located = df if "_block" in df.columns else df.select(*df.columns, *file_position())
     columns = [c for c in located.columns if c not in ("_file", "_block")]
-    landed = materialize(located.withColumn("_position", F.monotonically_increasing_id()), "lines")
-    splits = landed.groupBy("_file", "_block").agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
+    landed = located.withColumn("_position", F.monotonically_increasing_id())
+    splits = materialize(landed.groupBy("_file", "_block").agg(F.min("_position").alias("_first"), F.count("*").alias("_rows")), "splits")
     # A window over the splits of one file, not over its lines.
     shift = _rows_before("_rows", "_block", within="_file") - F.col("_first") + 1
     starts = broadcast_if_small(splits.select("_file", "_block", shift.alias("_shift")))

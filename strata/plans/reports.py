@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strata.functions import date_key, month_start
 from strata.operators.conform import since
 from strata.operators.numbering import number_rows
-from strata.schemas import REPORT_MONEY
+from strata.schemas import DAY_MONEY, REPORT_MONEY
 from strata.session import materialize
 
 
@@ -142,6 +142,33 @@ def monthly_sales(fact_sales: DataFrame, dim_date: DataFrame, as_of: date) -> Da
     return month_order(by_month(sales_date(recent, days)))
 
 
+def sales_days(fact_sales: DataFrame) -> DataFrame:
+    """Orders, units and revenue of each day of the fact: what the monthly report is summed up from. An order lies on one day, so its
+    counts add up; `orders_checked` tells where that does not hold."""
+    by_order = fact_sales.filter(F.col("date_key").isNotNull()).groupBy("date_key", "source_order_id").agg(
+        F.sum("quantity").alias("units"), F.sum("total_amount").alias("amount")
+    )
+    return by_order.groupBy("date_key").agg(
+        F.count("source_order_id").alias("orders"), F.sum("units").alias("units"), F.sum("amount").cast(DAY_MONEY).alias("amount")
+    )
+
+
+def orders_checked(fact_sales: DataFrame) -> DataFrame:
+    """Orders that lie on several days of one month: they would count on each. Reduced before the shuffle; normally no rows."""
+    days = fact_sales.filter(F.col("date_key").isNotNull()).groupBy(F.expr("date_key div 100").alias("month"), "source_order_id")
+    return days.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last")).filter("first < last")
+
+
+def monthly_from_days(days: DataFrame, dim_date: DataFrame, as_of: date) -> DataFrame:
+    """`monthly_sales` from a row a day instead of the fact."""
+    calendar = since(dim_date, "full_date", as_of, 12).select("date_key", "full_date", "year", "month", "month_name")
+    dated = days.filter(F.col("date_key") >= date_key(F.add_months(F.lit(as_of), -12))).join(F.broadcast(calendar), "date_key")
+    months = dated.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
+        F.sum("orders").alias("total_orders"), F.sum("units").cast("bigint").alias("total_items_sold"), F.sum("amount").cast(REPORT_MONEY).alias("monthly_revenue")
+    )
+    return month_order(months)
+
+
 def month_order(months: DataFrame) -> DataFrame:
     return months.orderBy(F.desc("month_start"))
 

@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 MONEY = DecimalType(12, 2)
 LINE_AMOUNT = DecimalType(18, 2)
 REPORT_MONEY = DecimalType(14, 2)
+DAY_MONEY = DecimalType(28, 2)
 
 _long, _int, _text, _flag, _day, _time = LongType(), IntegerType(), StringType(), BooleanType(), DateType(), TimestampNTZType()
 
@@ -118,3 +119,5 @@ LOG_FILES = _schema(file=_text, length=_long, modified=_time)
 VERSIONS = _schema(
     version=_long, published_at=_time, entries=ArrayType(_schema(data_version=_long, part=_long)), stream=_text, stream_batch=_long
 )
+# What the monthly report is summed up from: a row a day, with the version of the fact's month that it was taken from.
+SALES_DAYS = _schema(date_key=IntegerType(), orders=_long, units=_long, amount=DAY_MONEY, fact_version=_long)

@@ -55,6 +55,14 @@ def _current(spark: SparkSession, path: str) -> tuple[int, list[tuple[int, int]]
     return (0, []) if row.version is None else (row.version, [tuple(e) for e in row.entries])
 
 
+def part_versions(spark: SparkSession, path: str) -> dict[int, int]:
+    """Each part of the current version with the version that last changed it. Reads the list of versions, no data."""
+    latest: dict[int, int] = {}
+    for version, part in _current(spark, path)[1]:
+        latest[part] = max(version, latest.get(part, 0))
+    return latest
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType, parts: list[int] | None = None) -> DataFrame:
     """The current version (or only some of its parts); no rows before the first."""
     listed = [(v, p) for v, p in _current(spark, path)[1] if parts is None or p in parts]
