@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from strata import fixed, schemas
 from strata.functions import city, country, date_key, device_type, mapped_customer
-from strata.operators import conform, merge, numbering, quality, star
+from strata.operators import conform, merge, numbering, quality, spans, star
 from strata.plans import audit, load, oracle, reports
 from strata.plans.fixtures import AS_OF, NOW
 from strata.plans.inputs import LINES_PER_FILE, Inputs, inputs
@@ -486,6 +486,24 @@ def _(i: Inputs):
     return merge.not_yet_present(i.raw("orders").select("order_id", "customer_id"), i.earlier("orders"), ["order_id"])
 
 
+def _by_month(i: Inputs, fact: DataFrame, key: str) -> DataFrame:
+    """A fact as the load keeps it: split by month, its files in order of the key."""
+    path = scratch_path(i.spark, "by_month")
+    tables.publish(i.spark, path, fact, NOW, tables.month_part(), key=[key])
+    return tables.read_table(i.spark, path, fact.schema)
+
+
+@_query(
+    "J9_not_yet_present_in_spans",
+    "SELECT source_order_item_id, date_key FROM sales_rows WHERE source_order_item_id NOT IN (SELECT source_order_item_id FROM old_sales_rows)",
+)
+def _(i: Inputs):
+    """Sales that an earlier fact lacks, looked up among those of its rows that can have a key of theirs."""
+    held = _by_month(i, i.earlier_gold("fact_sales"), "source_order_item_id")
+    sales = i.gold("fact_sales").select("source_order_item_id", "date_key")
+    return merge.not_yet_present(sales, spans.narrowed(held, sales, "source_order_item_id"), ["source_order_item_id"])
+
+
 # --- Aggregates, ranks, order ------------------------------------------------------------------------------------------------------
 
 
@@ -762,6 +780,18 @@ def _(i: Inputs):
     return weblogs.insert_absent_actions(held, rows).drop("_action")
 
 
+@_query(
+    "M9_touched_months",
+    """SELECT CAST(date_key // 100 AS BIGINT) AS "month", count(*) AS row_count FROM sales_rows
+WHERE source_order_item_id IN (SELECT source_order_item_id FROM old_sales_rows) GROUP BY ALL""",
+)
+def _(i: Inputs):
+    """Where a fact holds the keys of a batch: the months that a merge has to rewrite."""
+    held = _by_month(i, i.gold("fact_sales"), "source_order_item_id")
+    found = tables.held_parts(held, i.earlier_gold("fact_sales"), ["source_order_item_id"], tables.month_part())
+    return found.groupBy(F.col(tables.PART).alias("month")).agg(F.count("*").alias("row_count"))
+
+
 @_query(
     "M13_merge_counts",
     """SELECT action, count(*) AS row_count FROM (SELECT CASE WHEN o.source_order_item_id IS NULL THEN 'insert' ELSE 'update' END AS action
@@ -817,6 +847,33 @@ def _(i: Inputs):
     return reports.monthly_from_days(days, i.gold("dim_date"), AS_OF)
 
 
+@_query(
+    "S11_reports_as_loaded",
+    """SELECT 'devices' AS report, CAST(rank_no AS VARCHAR) AS place, device_type AS label, total_logins AS amount FROM best_devices
+UNION ALL SELECT 'products', CAST(rank_no AS VARCHAR), product_name, total_units_sold FROM best_products
+UNION ALL SELECT 'months', CAST(month_start AS VARCHAR), month_name, total_items_sold FROM months""",
+)
+def _(i: Inputs):
+    """All three report tables read back whole, as a refresh over a warehouse leaves them."""
+    w = load.Warehouse(i.spark, scratch_path(i.spark, "reported"))
+    for table in ("dim_device", "dim_geo", "dim_product", "dim_date", "fact_web_activity", "fact_sales"):
+        part = tables.month_part() if table.startswith("fact") else None
+        tables.publish(i.spark, w.path("gold", table), i.gold(table).select(*schemas.GOLD[table].names), NOW, part)
+    load.refresh_reports(w, AS_OF)
+
+    def rows(table: str, report: str, place: str, label: str, amount: str) -> DataFrame:
+        return w.report(table).select(F.lit(report).alias("report"), F.col(place).cast("string").alias("place"), F.col(label).alias("label"), F.col(amount).alias("amount"))
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows("report_top_devices", "devices", "rank_no", "device_type", "total_logins"),
+            rows("report_top_products_in_top_country", "products", "rank_no", "product_name", "total_units_sold"),
+            rows("report_monthly_sales_last_year", "months", "month_start", "month_name", "total_items_sold"),
+        ],
+    )
+
+
 # --- Load history ------------------------------------------------------------------------------------------------------------------
 
 

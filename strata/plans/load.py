@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata import fixed, schemas
-from strata.operators import conform, merge, quality, star
+from strata.operators import conform, merge, quality, spans, star
 from strata.plans import audit, reports
 from strata.session import materialize_counted, one_row
 from strata.sources import files, jdbc, tables
@@ -202,14 +202,15 @@ def verdict_counts(w: Warehouse) -> DataFrame:
 
 
 class Merge(NamedTuple):
-    """One table's merged rows with their actions (None: nothing to write), which old parts they replace (None: all), and the rows by
-    action where an earlier write has counted them."""
+    """One table's merged rows with their actions (None: nothing to write), which old parts they replace (None: all), the rows by
+    action where an earlier write has counted them, and the key by which later batches look rows up (see `tables.publish`)."""
 
     table: str
     actions: DataFrame | None
     part: Column | None = None
     replaces: list[int] | None = None
     counts: dict[str, int] | None = None
+    key: tuple[str, ...] = ()
 
 
 def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
@@ -217,7 +218,7 @@ def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
     if m.actions is None:
         return m.counts or {}
     tally = tables.Tally({} if m.counts is not None else merge.action_counts())
-    tables.publish(w.spark, w.path("gold", m.table), m.actions, now, m.part, m.replaces, tally)
+    tables.publish(w.spark, w.path("gold", m.table), m.actions, now, m.part, m.replaces, tally, key=m.key)
     return m.counts if m.counts is not None else {a: n for a, n in tally.seen.items() if n}
 
 
@@ -241,7 +242,7 @@ def _fact_updates(w: Warehouse, table: str, key: str, rows: DataFrame, update_co
     rows, seen = materialize_counted(rows, "updates", rows_counted())  # looked up once, used several times
     touched = tables.touched_parts(w.gold(table), rows, [key], part, seen["rows"])
     actions = merge.merged(w.gold(table, touched), rows, [key], update_cols, updates_rows=seen["rows"])
-    return Merge(table, actions, part, touched), seen["rows"]
+    return Merge(table, actions, part, touched, key=(key,)), seen["rows"]
 
 
 def rows_counted() -> dict[str, Column]:
@@ -302,14 +303,14 @@ def load_gold(w: Warehouse, batch_id: int, as_of: date, now: datetime) -> dict[s
         return done
 
     def activity() -> Merge:
-        # Known log rows stay as they are, so only new ones are written; the months before are listed again.
+        # Known log rows stay as they are, so only new ones are written; the months before are listed again. Of those only the ids
+        # that the batch can have are read.
         found = star.fact_web_lookup(web, w.gold("dim_geo"), w.gold("dim_device"), customer)
         rows, seen = materialize_counted(found, "updates", rows_counted())
         facts["fact_web_activity", "fact"] = seen["rows"]
-        actions = merge.merged(
-            w.gold("fact_web_activity"), rows, ["source_log_id"], [], on_duplicate="first", first_by=star.WEB_FIRST, updates_rows=seen["rows"]
-        )
-        return Merge("fact_web_activity", actions.filter(F.col("_action") == merge.INSERT), tables.month_part(), [])
+        held = spans.narrowed(w.gold("fact_web_activity"), rows, "source_log_id", seen["rows"])
+        actions = merge.merged(held, rows, ["source_log_id"], [], on_duplicate="first", first_by=star.WEB_FIRST, updates_rows=seen["rows"])
+        return Merge("fact_web_activity", actions.filter(F.col("_action") == merge.INSERT), tables.month_part(), [], key=("source_log_id",))
 
     def scored_leads() -> Merge:
         rows = star.lead_rows(leads, batch_id)

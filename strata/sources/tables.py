@@ -7,7 +7,7 @@ a dimension) that a merge did not touch are listed again, not rewritten, so a ve
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata import session
+from strata.operators.spans import narrowed
 from strata.schemas import VERSIONS
 from strata.session import counted, empty_frame, one_row
 
@@ -76,18 +77,19 @@ def _data_path(path: str, version: int) -> str:
     return f"{path}/data_version={version}"
 
 
-def read_data(spark: SparkSession, path: str, version: int, schema: str) -> DataFrame:
+def read_data(spark: SparkSession, path: str, version: int, schema: str | StructType) -> DataFrame:
     """What was written for one version, without the parts it took over. Data may hold more columns than the table's schema."""
     return spark.read.schema(schema).parquet(_data_path(path, version))
 
 
 def publish(
     spark: SparkSession, path: str, df: DataFrame, now: datetime, part: Column | None = None, replaces: list[int] | None = None,
-    tally: Tally | None = None, origin: Origin | None = None,
+    tally: Tally | None = None, origin: Origin | None = None, key: Sequence[str] = (),
 ) -> int:
     """Write `df` as data of a new version and make that current. `replaces` are the old parts it stands for: all of them when None,
     none of them ([]) when `df` only adds rows. tally: what to count of the rows while they are written. origin: the batch of a stream that
-    they come from. Returns the version."""
+    they come from. key: columns by which later batches look rows up; the rows of a file lie in their order, and its row groups carry
+    a bloom filter of the first, so that a lookup reads few of them. Returns the version."""
     current, entries = _current(spark, path)
     version = current + 1
     data = _data_path(path, version)
@@ -96,9 +98,14 @@ def publish(
     else:
         # Rows of a part come together, so parts are few files each; adaptive execution splits a part that is too large for one task.
         parted = df.withColumn(PART, part).hint("rebalance", PART)
-    seen = counted(
-        parted, tally.wanted if tally else {}, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(data)
-    )
+
+    def write(rows: DataFrame) -> None:
+        # After the counting, which would hide from the writer that the rows are in order already.
+        ordered = rows.sortWithinPartitions(PART, *key) if key else rows
+        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**(_looked_up_by(key[0]) if key else {}))
+        writer.partitionBy(PART).parquet(data)
+
+    seen = counted(parted, tally.wanted if tally else {}, write)
     # Reads no data columns, only which part directories there are.
     written = read_data(spark, path, version, f"{PART} LONG").distinct().collect()
     kept = [] if replaces is None else [(v, p) for v, p in entries if p not in replaces]
@@ -109,6 +116,11 @@ def publish(
     return version
 
 
+def _looked_up_by(key: str) -> dict[str, str]:
+    """What the Parquet writer is told of a key column: a bloom filter as large as the keys of a row group need."""
+    return {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def _point(spark: SparkSession, path: str, version: int, now: datetime, listed: list[Column], origin: Origin | None) -> None:
     values = {"version": version, "published_at": now} | ({"stream": origin.stream, "stream_batch": origin.batch} if origin else {})
     pointer = one_row(spark, VERSIONS, **values).withColumn("entries", F.array(*listed).cast(VERSIONS["entries"].dataType))
@@ -127,17 +139,29 @@ def taken_in(spark: SparkSession, path: str, origin: Origin) -> bool:
     return not log.filter((F.col("stream") == origin.stream) & (F.col("stream_batch") == origin.batch)).isEmpty()
 
 
-def compact(spark: SparkSession, path: str, schema: StructType, now: datetime, part: Column | None = None) -> int:
+def compact(spark: SparkSession, path: str, schema: StructType, now: datetime, part: Column | None = None, key: Sequence[str] = ()) -> int:
     """Write the current rows again as one version. For tables that many small additions have left in many directories."""
-    return publish(spark, path, read_table(spark, path, schema), now, part)
+    return publish(spark, path, read_table(spark, path, schema), now, part, key=key)
 
 
-def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column, updates_rows: int | None = None) -> list[int]:
-    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. A key does not tell its part, so the table's keys
-    are joined with the updates': broadcast where they were counted to be few, otherwise both sides are shuffled. Only the distinct
-    parts, at most one per month, come to the driver."""
+def newest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that the last version with data has written, without what it took over; no rows before the first."""
+    entries = _current(spark, path)[1]
+    return read_data(spark, path, max(v for v, _ in entries), schema) if entries else empty_frame(spark, schema)
+
+
+def held_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column, updates_rows: int | None = None) -> DataFrame:
+    """The part of each row of `table` whose key is one of `updates`. The table's keys are first cut to the spans of the updates',
+    in the scan; what is left is joined with them: broadcast where they were counted to be few, otherwise both sides are shuffled."""
     wanted = updates.select(*keys)
+    near = narrowed(table, wanted, keys[0], updates_rows)
     if updates_rows is not None and updates_rows <= session.BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    held = table.join(wanted, keys, "left_semi").select(part.alias(PART))
+    return near.join(wanted, keys, "left_semi").select(part.alias(PART))
+
+
+def touched_parts(table: DataFrame, updates: DataFrame, keys: list[str], part: Column, updates_rows: int | None = None) -> list[int]:
+    """Parts of `table` that hold a key of `updates`, and parts the updates fall into. A key does not tell its part, so the table's keys
+    are looked up. Only the distinct parts, at most one per month, come to the driver."""
+    held = held_parts(table, updates, keys, part, updates_rows)
     return [r[0] for r in held.union(updates.select(part.alias(PART))).distinct().collect()]

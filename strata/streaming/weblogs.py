@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from strata.operators.merge import merged
 from strata.operators.numbering import file_position, number_rows, with_line_numbers
+from strata.operators.spans import narrowed
 from strata.schemas import LOG_FILES, LOG_LINES, WEBLOG_ROWS
 from strata.session import broadcast_if_small, materialize
 from strata.sources.files import parse_weblogs
-from strata.sources.tables import Origin, mark_done, publish, read_or_create, read_table, taken_in
+from strata.sources.tables import Origin, mark_done, newest, publish, read_or_create, read_table, taken_in
 
 LINE_KEY = ["source_file", "source_line_number"]
 
@@ -41,16 +42,17 @@ def load_lines(spark: SparkSession, lines: DataFrame, target: str, now: datetime
     if origin and taken_in(spark, target, origin):
         return {"inserted": 0, "skipped": 0}
     rows = parse_weblogs(with_line_numbers(lines))
-    # Only lines of the same files can be known already; the history is cut to them before it is joined.
-    files = broadcast_if_small(rows.select("source_file").distinct())
-    table = read_table(spark, target, WEBLOG_ROWS)
-    held = table.join(files, "source_file", "left_semi").select(*[c for c in WEBLOG_ROWS.names if c != "log_id"])
-    last = table.agg(F.max("log_id")).first()[0] or 0
+    # Only lines of the same files can be known already; the history is cut to them, in its scan as far as their names tell, before it is joined.
+    files = materialize(rows.select("source_file").distinct(), "files")
+    near = narrowed(read_table(spark, target, WEBLOG_ROWS), files, "source_file")
+    held = near.join(broadcast_if_small(files), "source_file", "left_semi").select(*[c for c in WEBLOG_ROWS.names if c != "log_id"])
+    # Ids go on from version to version, so the last one is among the rows added last.
+    last = newest(spark, target, WEBLOG_ROWS).agg(F.max("log_id")).first()[0] or 0
     absent = insert_absent_actions(held, rows).filter(F.col("_action") == "insert").drop("_action")
     added = number_rows(absent, [F.col(c) for c in LINE_KEY], "log_id", after=last)  # writes them once, and only them
     inserted = added.count()
     if inserted:
-        publish(spark, target, added.select(*WEBLOG_ROWS.names), now, replaces=[], origin=origin)
+        publish(spark, target, added.select(*WEBLOG_ROWS.names), now, replaces=[], origin=origin, key=LINE_KEY)
     elif origin:
         mark_done(spark, target, now, origin)
     return {"inserted": inserted, "skipped": rows.count() - inserted}
