@@ -41,7 +41,9 @@ def key_spans(updates: DataFrame, key: str, spans: int = SPANS, steps: int = STE
     step = F.floor((F.col(key).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
     found = updates.filter(F.col(key).isNotNull()).groupBy(step.alias("step")).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
     ends = sorted((r.low, r.high) for r in found)
-    gaps = sorted(range(1, len(ends)), key=lambda i: ends[i - 1][1] - ends[i][0])[: spans - 1]
+    # keys that follow each other leave no gap between two steps
+    apart = [i for i in range(1, len(ends)) if ends[i][0] - ends[i - 1][1] > 1]
+    gaps = sorted(apart, key=lambda i: ends[i - 1][1] - ends[i][0])[: spans - 1]
     starts = [0, *sorted(gaps), len(ends)]
     return [(ends[a][0], ends[b - 1][1]) for a, b in zip(starts, starts[1:])]
 

@@ -119,7 +119,7 @@ def database_sources(spark: SparkSession, url: str, props: dict[str, str], leads
         return lambda: jdbc.read_jdbc(spark, url, f"source.{table}", props)
 
     def ranged(table: str, key: str):
-        return lambda: jdbc.read_jdbc_ranged(spark, url, f"source.{table}", key, ranges, props)
+        return jdbc.LargeTable(spark, url, f"source.{table}", key, ranges, props)
 
     return {
         "companies": whole("companies"),
@@ -143,15 +143,29 @@ def load_bronze(
     after: datetime | None = None, only: Collection[str] = tuple(schemas.BRONZE),
 ) -> None:
     """Copy the source tables (or `only` some), stamped with batch and lineage. Of tables in `marks` only what lies after `after` and not
-    after `now` is read; the bound reaches the scan."""
+    after `now` is read; the bound reaches the scan.
+
+    A table whose rows come with those of another (`of`) is copied after it, by the keys that the other's copy holds: they are not
+    looked for in the source again, where more may have come since, and spans of them reach the scan. Where `only` leaves the other out,
+    its rows are taken from the source.
+    """
+    marks = marks or {}
+
+    def dated(table: str, column: str) -> DataFrame:
+        source = sources[table]
+        rows = source.between(column, after, now) if isinstance(source, jdbc.LargeTable) else source()
+        return conform.beyond(rows, column, after, now)
 
     def taken(table: str) -> DataFrame:
-        mark = (marks or {}).get(table)
+        mark = marks.get(table)
         if mark is None:
             return sources[table]()
         if mark.of is None:
-            return conform.beyond(sources[table](), mark.column, after, now)
-        return sources[table]().join(taken(mark.of).select(mark.column), mark.column, "left_semi")
+            return dated(table, mark.column)
+        known = w.bronze(mark.of, batch_id) if mark.of in only else taken(mark.of)
+        keys, source = known.select(mark.column), sources[table]
+        rows = source.matching(mark.column, keys) if isinstance(source, jdbc.LargeTable) else source()
+        return spans.narrowed(rows, keys, mark.column).join(keys, mark.column, "left_semi")
 
     def copy(table: str) -> int:
         rows = taken(table)
@@ -160,8 +174,17 @@ def load_bronze(
         aligned = conform.align_schema(conform.stamp_batch(rows, batch_id), schemas.BRONZE[table], alignment)
         return files.write_full(aligned, w.path("bronze", table), counts=rows_counted())["rows"]
 
-    copied = together(*[partial(copy, table) for table in only])
-    w.count("bronze", batch_id, {(table, "raw"): n for table, n in zip(only, copied)})
+    def copies(table: str) -> dict[str, int]:
+        """Rows of a table, and of those that are copied by its keys, once it is there."""
+        rows = copy(table)
+        later = [partial(copies, t) for t in only if t in marks and marks[t].of == table]
+        return reduce(lambda x, y: x | y, together(*later) if later else [], {table: rows})
+
+    first = [t for t in only if t not in marks or marks[t].of not in only]
+    copied = reduce(lambda x, y: x | y, together(*[partial(copies, table) for table in first]) if first else [], {})
+    if len(copied) < len(only):
+        raise ValueError(f"marks of {', '.join(t for t in only if t not in copied)} wait for each other")
+    w.count("bronze", batch_id, {(table, "raw"): n for table, n in copied.items()})
 
 
 def load_silver(w: Warehouse, batch_id: int, as_of: date, load_name: str = fixed.LOAD_NAME) -> None:

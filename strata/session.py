@@ -7,15 +7,17 @@ import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from strata.functions import fixed_time
 
-# A side of a join is broadcast only after counting that it has at most this many (narrow) rows.
+# A side of a join is broadcast only after counting that it has at most this many rows, and so many bytes in them.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -93,9 +95,29 @@ def materialize_counted(df: DataFrame, label: str, counts: Mapping[str, Column])
     return df.sparkSession.read.schema(df.schema).parquet(path), seen
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when counting shows at most `rows` rows; otherwise the join shuffles. Counts, so pass something cheap."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row holds: the bytes of its texts and binaries, and the default size of every other column, of an array for each entry."""
+
+    def size(value: Column, kind: DataType) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(value).cast("long"), F.lit(0)) + 8
+        if isinstance(kind, StructType):
+            return reduce(Column.__add__, [size(value.getField(f.name), f.dataType) for f in kind.fields], F.lit(8).cast("long"))
+        if isinstance(kind, ArrayType):
+            entries = F.coalesce(value, F.array().cast(kind))
+            return F.aggregate(entries, F.lit(16).cast("long"), lambda total, x: total + size(x, kind.elementType))
+        return F.lit(16).cast("long")
+
+    return reduce(Column.__add__, [size(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], F.lit(0).cast("long"))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when counting shows at most `rows` rows that hold at most `size` bytes; otherwise the join shuffles.
+
+    Counts and adds up, a row a task, so pass something cheap: a written table of few columns.
+    """
+    seen = df.agg(F.count("*").alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    return F.broadcast(df) if seen["rows"] <= rows and (seen["bytes"] or 0) <= size else df
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WRITE_BATCH = 25_000  # rows per insert
+WRITE_CONNECTIONS = 32  # a database takes some hundred connections at most, whatever the cluster's size
 FETCH_ROWS = 10_000  # rows per round trip; many drivers otherwise hold the whole result in memory
 
 # Connection properties for PostgreSQL. Text goes into columns of any type; inserts of a batch are sent as one.
@@ -24,17 +26,19 @@ def _fetching(props: dict[str, str]) -> dict[str, str]:
     return {"fetchsize": str(FETCH_ROWS), **props}
 
 
-def key_bounds(spark: SparkSession, url: str, table: str, key: str, props: dict[str, str]) -> tuple[int, int] | None:
-    """Smallest and largest key, found by the database; None for an empty table."""
-    query = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) bounds"
+def key_bounds(spark: SparkSession, url: str, table: str, key: str, props: dict[str, str], where: str = "") -> tuple[int, int] | None:
+    """Smallest and largest key, of the rows that meet the SQL condition `where` if one is given, found by the database; None without rows."""
+    only = f" WHERE {where}" if where else ""
+    query = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}{only}) bounds"
     row = spark.read.jdbc(url, query, properties=props).first()
     return None if row is None or row[0] is None else (int(row[0]), int(row[1]))
 
 
-def read_jdbc_ranged(spark: SparkSession, url: str, table: str, key: str, n: int, props: dict[str, str]) -> DataFrame:
+def read_jdbc_ranged(spark: SparkSession, url: str, table: str, key: str, n: int, props: dict[str, str], where: str = "") -> DataFrame:
     """A table read by `n` range queries over its key. The range comes from the data: fixed bounds would leave the last query everything
-    beyond them."""
-    bounds = key_bounds(spark, url, table, key, props)
+    beyond them. where: the range is that of the rows that meet this SQL condition, so that these are spread over all queries. It is not a
+    filter: the first and last query hold all rows outside the range; filter the frame by the same condition, which Spark passes on."""
+    bounds = key_bounds(spark, url, table, key, props, where)
     if bounds is None:
         return read_jdbc(spark, url, table, props)
     low, high = bounds
@@ -44,6 +48,34 @@ def read_jdbc_ranged(spark: SparkSession, url: str, table: str, key: str, n: int
     )
 
 
+@dataclass(frozen=True)
+class LargeTable:
+    """A large table of a database as the source of a load: called, it is read whole; a load with marks asks it for less.
+
+    The frames it returns may hold more rows than were asked for; what they are cut into is what suits the rows asked for.
+    """
+
+    spark: SparkSession
+    url: str
+    table: str
+    key: str
+    ranges: int
+    props: dict[str, str]
+
+    def __call__(self) -> DataFrame:
+        return read_jdbc_ranged(self.spark, self.url, self.table, self.key, self.ranges, self.props)
+
+    def between(self, column: str, after: datetime | None, until: datetime) -> DataFrame:
+        """For rows after one time and not after another, or without one: cut at equal strides of the keys of these rows. Over the keys of
+        the whole table nearly all strides would be empty, and the last would hold what is new."""
+        inside = f"{column} <= {_literal(until)}" + ("" if after is None else f" AND {column} > {_literal(after)}")
+        return read_jdbc_ranged(self.spark, self.url, self.table, self.key, self.ranges, self.props, f"({inside}) OR {column} IS NULL")
+
+    def matching(self, column: str, keys: DataFrame) -> DataFrame:
+        """For rows whose `column` is one of `keys`: cut at quantiles of the keys, so each query finds the rows of as many of them."""
+        return read_jdbc_by(self.spark, self.url, self.table, key_ranges(keys, [column], self.ranges), self.props)
+
+
 def key_ranges(keys: DataFrame, columns: Sequence[str], n: int) -> list[str]:
     """Conditions on one or several key columns, at most `n`, that split a table into ranges of about as many rows each.
 
@@ -99,6 +131,9 @@ def read_jdbc_by(spark: SparkSession, url: str, table: str, ranges: Sequence[str
     return spark.read.jdbc(url, table, predicates=list(ranges), properties=_fetching(props))
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, props: dict[str, str], mode: str = "append") -> None:
-    """Bulk insert, one connection per partition."""
-    df.write.option("batchsize", WRITE_BATCH).jdbc(url, table, mode=mode, properties=props)
+def write_jdbc(df: DataFrame, url: str, table: str, props: dict[str, str], mode: str = "append", connections: int = WRITE_CONNECTIONS) -> None:
+    """Bulk insert, one connection per partition, at most `connections` at once and in all: more partitions than that are put together
+    without a shuffle. A task that is repeated inserts its rows again, as the rows of a partition go in by batches: write to a table
+    that is emptied first, or one whose key refuses the second row.
+    """
+    df.write.option("batchsize", WRITE_BATCH).option("numPartitions", connections).jdbc(url, table, mode=mode, properties=props)

@@ -39,7 +39,9 @@ def test_appends_in_large_batches():
     df = MagicMock()
     jdbc.write_jdbc(df, "jdbc:x", "bronze.t", PROPS)
     df.write.option.assert_called_once_with("batchsize", 25_000)
-    df.write.option.return_value.jdbc.assert_called_once_with("jdbc:x", "bronze.t", mode="append", properties=PROPS)
+    bounded = df.write.option.return_value.option
+    bounded.assert_called_once_with("numPartitions", 32)  # connections, however many partitions there are
+    bounded.return_value.jdbc.assert_called_once_with("jdbc:x", "bronze.t", mode="append", properties=PROPS)
 
 
 def test_database_sources_read_large_tables_in_ranges(tmp_path):
@@ -89,3 +91,66 @@ def test_ranges_are_read_by_a_query_each(monkeypatch):
 
     jdbc.read_jdbc_by(Session(), "jdbc:x", "source.orders", ["a < 5", "a >= 5"], {"user": "u"})
     assert asked["predicates"] == ["a < 5", "a >= 5"] and asked["properties"]["fetchsize"] and asked["table"] == "source.orders"
+
+
+class Files:
+    """Stands in for a database: a table of files, read by a condition each as Spark's reader would, with what was asked."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.asked = spark, path, []
+        self.read = self
+
+    def jdbc(self, url, table, **options):
+        from functools import reduce
+
+        rows = self.spark.read.parquet(self.path)
+        self.asked.append((table, options))
+        if table.startswith("("):
+            rows.createOrReplaceTempView("t_of_files")
+            return self.spark.sql(table.removeprefix("(").removesuffix(") bounds").replace("source.t", "t_of_files"))
+        if "predicates" in options:
+            parts = [rows.filter(p) for p in options["predicates"]]
+            return reduce(lambda x, y: x.unionByName(y), parts)
+        return rows
+
+
+def test_a_window_is_spread_over_all_queries(spark, tmp_path):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    # ten thousand orders, a day apart; 300 are new
+    rows = spark.range(10_000).select(F.col("id").alias("order_id"), F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz").alias("at"))
+    rows.write.parquet(str(tmp_path / "t"))
+    database = Files(spark, str(tmp_path / "t"))
+    table = jdbc.LargeTable(database, "jdbc:x", "source.t", "order_id", 8, PROPS)
+    day = lambda n: datetime.fromtimestamp(n * 86_400)
+    table.between("at", day(9_699), day(9_999))
+    (bounds, _), (_, options) = database.asked
+    assert "WHERE (at <= TIMESTAMP" in bounds and "OR at IS NULL" in bounds
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == (9_700, 10_000, 8)
+    database.asked.clear()
+    table.between("at", None, day(9))
+    assert database.asked[1][1]["upperBound"] == 10 and " > " not in database.asked[0][0]
+    database.asked.clear()
+    table.between("at", day(20_000), day(20_001))  # nothing is new: one query, which the filter empties
+    assert "numPartitions" not in database.asked[1][1]
+
+
+def test_rows_of_known_keys_are_cut_by_the_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    # three lines an order; the new orders are a thin slice far up, so strides over all lines would put it into one query
+    lines = spark.range(30_000).select(F.col("id").alias("line_id"), F.expr("id div 3").alias("order_id"))
+    lines.write.parquet(str(tmp_path / "t"))
+    database = Files(spark, str(tmp_path / "t"))
+    table = jdbc.LargeTable(database, "jdbc:x", "source.t", "line_id", 6, PROPS)
+    keys = spark.range(9_000, 9_300).select(F.col("id").alias("order_id"))
+    read = table.matching("order_id", keys)
+    assert read.count() == 30_000  # every row is in one of the queries
+    asked = database.asked[0][1]["predicates"]
+    wanted = lines.join(keys, "order_id", "left_semi")
+    sizes = [wanted.filter(p).count() for p in asked]
+    assert 1 < len(sizes) <= 6 and sum(sizes) == 900 and max(sizes) < 2 * 900 / len(sizes)
+    strides = [wanted.filter(f"line_id >= {a} and line_id < {a + 5_000}").count() for a in range(0, 30_000, 5_000)]
+    assert max(strides) == 900

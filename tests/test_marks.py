@@ -83,6 +83,49 @@ def test_a_batch_that_failed_later_keeps_its_mark(spark, tmp_path, monkeypatch):
     assert w.committed_mark(fixed.LOAD_NAME) == FIRST
 
 
+def test_lines_are_copied_by_the_orders_that_were_copied(spark, tmp_path):
+    """An order that arrives while the load runs is left to the next one with all of its lines; the source's orders are read once."""
+    i = inputs(spark, SF_DIR)
+    reads = []
+
+    def orders():
+        reads.append("orders")
+        return i.raw("orders") if len(reads) > 1 else i.raw("orders").filter("order_id % 5 <> 0")
+
+    w = load.Warehouse(spark, str(tmp_path / "w"))
+    only = ("order_items", "orders")
+    load.load_bronze(w, {"orders": orders, "order_items": lambda: i.raw("order_items")}, 1, SECOND, "exact", load.BY_TIME, FIRST, only)
+    assert reads == ["orders"]
+    items, copied = w.bronze("order_items", 1), w.bronze("orders", 1)
+    assert copied.filter("order_id % 5 = 0").count() == 0
+    assert items.count() == i.raw("order_items").join(copied, "order_id", "left_semi").count() > 0
+    assert w.counted(1) == {("orders", "raw"): copied.count(), ("order_items", "raw"): items.count()}
+
+
+def test_spans_of_the_copied_keys_reach_the_scan_of_the_lines(spark, conf, tmp_path, monkeypatch):
+    conf("spark.sql.maxMetadataStringLength", "1000")
+    seen = []
+    write = files.write_full
+    monkeypatch.setattr(files, "write_full", lambda df, path, *a, **k: (seen.append((path, df._jdf.queryExecution().executedPlan().toString())), write(df, path, *a, **k))[1])
+    spark.range(5_000).select(F.col("id").cast("int").alias("order_id"), F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz").alias("order_timestamp")).write.parquet(str(tmp_path / "orders"))
+    spark.range(15_000).select(F.col("id").cast("int").alias("line"), F.expr("cast(id div 3 as int)").alias("order_id")).write.parquet(str(tmp_path / "items"))
+    sources = {"orders": lambda: spark.read.parquet(str(tmp_path / "orders")), "order_items": lambda: spark.read.parquet(str(tmp_path / "items"))}
+    filled = lambda df, schema, _: df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    monkeypatch.setattr(conform, "align_schema", filled)
+    w = load.Warehouse(spark, str(tmp_path / "w"))
+    load.load_bronze(w, sources, 1, datetime(1979, 1, 1), "exact", load.BY_TIME, datetime(1978, 1, 1), ("orders", "order_items"))
+    plan = next(p for path, p in seen if path.endswith("order_items"))
+    assert "GreaterThanOrEqual(order_id,2923)" in plan and "LessThanOrEqual(order_id,3287)" in plan
+    assert w.bronze("order_items", 1).count() == 3 * w.bronze("orders", 1).count() == 3 * 365
+
+
+def test_marks_that_wait_for_each_other_are_refused(spark, tmp_path):
+    w = load.Warehouse(spark, str(tmp_path / "w"))
+    marks = {"orders": load.Mark("order_id", of="order_items"), "order_items": load.Mark("order_id", of="orders")}
+    with pytest.raises(ValueError, match="wait for each other"):
+        load.load_bronze(w, {}, 1, SECOND, "exact", marks, None, ("orders", "order_items"))
+
+
 def test_the_bound_reaches_the_scan(spark, tmp_path):
     rows = spark.range(1000).select("id", F.timestamp_seconds(F.col("id") * 86_400).cast("timestamp_ntz").alias("at"))
     rows.write.parquet(str(tmp_path / "t"))

@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.operators import conform, merge, quality, star
 from strata.plans import fixtures, reports
 from strata.plans.inputs import inputs
@@ -151,3 +152,16 @@ def test_hot_groups_are_counted_before_the_shuffle(spark):
     ):
         below = plan(df).split("Exchange hashpartitioning", 1)[1]
         assert "HashAggregate" in below
+
+
+def test_a_side_is_broadcast_by_rows_and_by_bytes(spark):
+    narrow = spark.range(1000)
+    wide = narrow.select("id", F.repeat(F.lit("x"), 2000).alias("name"))
+    nested = narrow.select("id", F.array_repeat(F.struct(F.lit("y" * 500).alias("v"), F.lit(1).alias("n")), 4).alias("all"))
+    hinted = lambda df, **bounds: "hint" in session.broadcast_if_small(df, **bounds)._jdf.queryExecution().logical().toString().lower()
+    assert hinted(narrow) and hinted(wide) and hinted(nested) and hinted(narrow.limit(0))
+    assert not hinted(narrow, rows=999) and hinted(narrow, rows=1000)
+    for df in (wide, nested):
+        assert not hinted(df, size=2_000_000) and hinted(df, size=2_200_000)
+    holes = spark.sql("select cast(null as string) as s, cast(null as array<string>) as a, cast(null as struct<x:string>) as t, cast(null as binary) as b")
+    assert hinted(holes) and not hinted(holes, size=10)
