@@ -241,7 +241,7 @@ def publish_merge(w: Warehouse, m: Merge, now: datetime) -> dict[str, int]:
     if m.actions is None:
         return m.counts or {}
     tally = tables.Tally({} if m.counts is not None else merge.action_counts())
-    tables.publish(w.spark, w.path("gold", m.table), m.actions, now, m.part, m.replaces, tally, key=m.key)
+    tables.publish(w.spark, w.path("gold", m.table), m.actions, now, m.part, m.replaces, tally, None, m.key)
     return m.counts if m.counts is not None else {a: n for a, n in tally.seen.items() if n}
 
 
