@@ -108,3 +108,6 @@ SELECT i.order_item_id AS seq, concat('load_', CAST(o.customer_id AS STRING)) AS
   o.order_timestamp AS event_time
 FROM {src_order_items} i JOIN {src_orders} o ON i.order_id = o.order_id""",
 }
+
+# The same events where twice a line's key exceeds a long, as it does from 4.6 million orders on.
+WIDE_HISTORY = {"job_events": HISTORY["job_events"].replace("order_item_id * 2", "CAST(order_item_id AS DECIMAL(20,0)) * 2")}

@@ -44,7 +44,7 @@ class Inputs:
         return self._derived(f"earlier {table}", fixtures.EARLIER[table])
 
     def history(self, table: str) -> DataFrame:
-        return self._derived(f"history {table}", fixtures.HISTORY[table])
+        return self._derived(f"history {table}", fixtures.WIDE_HISTORY.get(table, fixtures.HISTORY[table]))
 
     def bronze(self, table: str, batch_id: int = 1) -> DataFrame:
         return conform.stamp_batch(self.raw(table), batch_id)
