@@ -118,6 +118,16 @@ def merged(
     return joined.select(*columns, action.alias("_action"), *([(old & new & differs).alias(changed)] if changed else []))
 
 
+def all_new(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`merged` into a table known to have no rows: all updates are inserts, and a repeated key fails. The rows are written, as they came,
+    and read back: no join follows that would need them by key, so only the keys are shuffled to look for repeated ones."""
+    rows = session.materialize(updates.select(*[c for c in target.columns if c in updates.columns]), "inserts")
+    often = rows.select(*keys).na.drop().groupBy(*keys).agg(F.count("*").alias("_often"))
+    message = F.lit(f"repeated key in updates: {', '.join(keys)}")
+    often.filter(F.when(F.col("_often") > 1, F.raise_error(message)).otherwise(F.lit(False))).count()
+    return target.limit(0).unionByName(rows, allowMissingColumns=True).withColumn("_action", F.lit(INSERT))
+
+
 def _merged_small(target: DataFrame, fresh: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
     """Few updates against a large target: the target is never shuffled. Its keys are narrowed to those updated before the anti join."""
     small = F.broadcast(fresh.select(*keys, F.struct(*update_cols).alias("_u"), F.lit(True).alias("_new")))

@@ -1,7 +1,8 @@
 """Dimensions and facts of the star schema. Every function takes the current table and the conformed rows and returns the merged table.
 
-Joins carry no broadcast hints: dimensions are read from written tables, whose size Spark knows and checks against its broadcast limit;
-beyond it the join shuffles, and adaptive execution splits hot keys.
+Sales carry more rows and columns than all else, so the key pairs of their dimensions are counted and broadcast up to a fixed size, whatever
+the session's limit. Other joins carry no broadcast hints: dimensions are read from written tables, whose size Spark knows and checks
+against its broadcast limit. Beyond these sizes a join shuffles, and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from pyspark.sql import functions as F
 
 from strata.functions import date_key, fixed_time
 from strata.operators.conform import for_batch
-from strata.operators.merge import Keyed, keyed_merge, merged
+from strata.operators.merge import Keyed, all_new, keyed_merge, merged
+from strata.session import broadcast_if_small
+
+#: Pairs of natural and surrogate key that are broadcast to sales: as many as 64 MB hold.
+KEY_PAIRS = 2_000_000
 
 SALES_UPDATES = ("quantity", "total_amount", "etl_batch_id", "updated_at")
 # Of log rows with one id the earliest counts; the further columns only make the choice definite.
@@ -75,10 +80,13 @@ def date_actions(target: DataFrame, as_of: date) -> DataFrame:
 
 
 def _sales_keys(lines: DataFrame, company: DataFrame, customer: DataFrame, product: DataFrame, how: str) -> DataFrame:
+    def pairs(dimension: DataFrame, name: str) -> DataFrame:
+        return broadcast_if_small(dimension.select(f"source_{name}_id", f"{name}_key"), KEY_PAIRS)
+
     return (
-        lines.join(company.select("source_company_id", "company_key"), "source_company_id", how)
-        .join(customer.select("source_customer_id", "customer_key"), "source_customer_id", how)
-        .join(product.select("source_product_id", "product_key"), "source_product_id", how)
+        lines.join(pairs(company, "company"), "source_company_id", how)
+        .join(pairs(customer, "customer"), "source_customer_id", how)
+        .join(pairs(product, "product"), "source_product_id", how)
     )
 
 
@@ -146,8 +154,10 @@ def sales_actions(
     target: DataFrame, silver: DataFrame, company: DataFrame, customer: DataFrame, product: DataFrame, now: datetime,
     update_cols: tuple[str, ...] = SALES_UPDATES, updates_rows: int | None = None,
 ) -> DataFrame:
-    """Without `unit_price` in `update_cols` (the default) a changed price shows in the amount only."""
+    """Without `unit_price` in `update_cols` (the default) a changed price shows in the amount only. The first sales of all are written."""
     rows = sales_rows(silver, company, customer, product, now)
+    if target.isEmpty():
+        return all_new(target, rows, ["source_order_item_id"])
     return merged(target, rows, ["source_order_item_id"], update_cols, updates_rows=updates_rows)
 
 

@@ -33,7 +33,8 @@ class Inputs:
 
     def _derived(self, label: str, sql: str) -> DataFrame:
         names = [t for t in fixtures.TABLES if f"{{{t}}}" in sql]
-        frames = {t: self.given(t) for t in names}
+        # Lines are numbered within their order and then meet it: dealt by order once, they need no other shuffle for either.
+        frames = {t: self.given(t).repartition("l_orderkey") if t == "lineitem" else self.given(t) for t in names}
         frames |= {f"src_{t}": self.raw(t) for t in fixtures.RAW if f"{{src_{t}}}" in sql}
         return self._once(label, lambda: self.spark.sql(sql, **frames))
 
@@ -105,7 +106,7 @@ class Inputs:
             ),
             "fact_marketing_lead": lambda t: star.fact_marketing_lead(t, self.good_leads(), 1),
         }
-        return self._once(table, lambda: materialize(builders[table](self.empty(table)), table))
+        return self._once(table, lambda: self._written(builders[table](self.empty(table)), table))
 
     # The star schema as the earlier load left it.
 
@@ -126,7 +127,12 @@ class Inputs:
             ),
             "fact_marketing_lead": lambda t: star.fact_marketing_lead(t, self.earlier_leads(), 1),
         }
-        return self._once(f"earlier {table}", lambda: materialize(builders[table](self.empty(table)), f"earlier_{table}"))
+        return self._once(f"earlier {table}", lambda: self._written(builders[table](self.empty(table)), table, "earlier_"))
+
+    @staticmethod
+    def _written(rows: DataFrame, table: str, label: str = "") -> DataFrame:
+        """The first sales of all have been written by their merge."""
+        return rows if table == "fact_sales" else materialize(rows, label + table)
 
     def earlier_lines(self) -> DataFrame:
         lines = conform.sales_lines(self.bronze_earlier("order_items"), self.bronze_earlier("orders"))

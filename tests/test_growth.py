@@ -38,3 +38,61 @@ def test_job_events_of_the_last_order_are_numbered_beyond_a_long(few_lines):
 def test_wide_history_differs_in_the_width_alone():
     for table, sql in fixtures.WIDE_HISTORY.items():
         assert sql.replace("CAST(order_item_id AS DECIMAL(20,0))", "order_item_id") == fixtures.HISTORY[table] != sql
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_are_dealt_by_order_once_for_numbering_and_join(few_lines, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert exchanges(few_lines.lines()) == 2  # lines, orders
+    got = sorted((r.source_order_item_id % 10, r.source_product_id, r.quantity) for r in few_lines.lines().collect())
+    assert got == [(0, 7, -3), (0, 1_199_998, 6), (0, 1_199_999, 5), (1, 1_199_998, 6)]
+
+
+@pytest.fixture()
+def sales(spark, tmp_path):
+    """Four lines, the last two with one key, of which one has no product and so no fact; and written dimensions."""
+    rows = [(1, 10, 1, 2, 3, 5), (2, 10, 1, 2, 3, 6), (3, 11, 1, 2, 4, 7), (3, 11, 1, 2, 99, 8), (4, 11, 1, None, 4, 9)]
+    lines = spark.createDataFrame(rows, "source_order_item_id long, source_order_id long, source_company_id long, source_customer_id long, source_product_id long, quantity int")
+    lines = lines.select(
+        "*", F.lit(date(2001, 1, 1)).cast("timestamp_ntz").alias("order_timestamp"), F.lit(1).cast("decimal(12,2)").alias("unit_price"),
+        F.lit(2).cast("decimal(18,2)").alias("total_amount"), F.lit(1).cast("bigint").alias("batch_id"),
+    )
+    dimensions = []
+    for name, ids in (("company", [1]), ("customer", [2, None]), ("product", [3, 4])):
+        rows = [(n, None if n is None else n * 100) for n in ids]
+        spark.createDataFrame(rows, f"source_{name}_id long, {name}_key long").write.parquet(str(tmp_path / name))
+        dimensions.append(spark.read.parquet(str(tmp_path / name)))
+    return lines, dimensions
+
+
+def test_key_pairs_are_broadcast_to_sales_whatever_the_limit(sales, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines, dimensions = sales
+    facts = star.fact_sales_lookup(lines, *dimensions)
+    assert exchanges(facts) == 0
+    got = sorted((r.source_order_item_id, r.company_key, r.customer_key, r.product_key) for r in facts.collect())
+    assert got == [(1, 100, 200, 300), (2, 100, 200, 300), (3, 100, 200, 400)]
+    assert sorted(r.quantity for r in star.unmatched_lines(lines, *dimensions).collect()) == [8, 9]
+
+
+def test_first_sales_are_written_without_a_shuffle_of_their_rows(spark, tmp_path, sales):
+    lines, dimensions = sales
+    empty = Inputs(spark, str(tmp_path)).empty("fact_sales")
+    now = datetime(2001, 12, 1)
+    actions = star.sales_actions(empty, lines, *dimensions, now)
+    assert exchanges(actions) == 0
+    assert actions.columns == [*empty.columns, "_action"]
+    assert sorted((r.source_order_item_id, r.quantity, r._action) for r in actions.collect()) == [(1, 5, "insert"), (2, 6, "insert"), (3, 7, "insert")]
+    with pytest.raises(Exception, match="repeated key in updates: source_order_item_id"):
+        star.sales_actions(empty, lines.union(lines), *dimensions, now)
+
+
+def test_first_rows_as_in_any_merge(spark):
+    target = spark.createDataFrame([], "k long, v string, more long")
+    updates = spark.createDataFrame([("a", None), ("b", None), ("c", 7)], "v string, k long")  # without a key, nothing conflicts
+    key = lambda r: str(tuple(r))
+    new, any_ = merge.all_new(target, updates, ["k"]), merge.merged(target, updates, ["k"], ["v"])
+    assert new.dtypes == any_.dtypes and sorted(new.collect(), key=key) == sorted(any_.collect(), key=key)
