@@ -27,6 +27,8 @@ COUNTED, TOGETHER, BUCKET = 1 << 22, 1 << 20, 1 << 22
 SALTS = 4
 #: Bytes whose words are hashed at once.
 SPAN = 1 << 18
+#: Bytes of hubs, or of pairs, that are broadcast: so few are met sooner by the tasks that hold the other side than by a shuffle of both.
+NEAR = 8 << 20
 #: Least bits of a shingle's hash by which shingles are counted; more for larger inputs, so that hardly two share them.
 BITS = 40
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -457,7 +459,8 @@ def _meet(left: DataFrame, right: DataFrame, percent: int, star: int | None = No
                 pairs.update(_survivors(lefts, rights, percent, star is not None and len(lefts) >= star))
             yield _rows(sorted(pairs), "a binary, b binary")
 
-    met = left.select("list", F.col("held").alias("lefts")).join(right.select("list", F.col("held").alias("rights")), "list")
+    near = broadcast_if_small(left.select("list", F.col("held").alias("lefts")), size=NEAR)
+    met = right.select("list", F.col("held").alias("rights")).join(near, "list")
     return keep(map_arrow(met.select("lefts", "rights"), work, "a binary, b binary").distinct(), "pairs")
 
 
@@ -476,7 +479,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     rows.append((r["a"], r["b"]))
             yield _rows(rows, "a binary, b binary")
 
-    return keep(map_arrow(pairs.join(x, "a").join(y, "b"), work, "a binary, b binary"), "links")
+    near = broadcast_if_small(pairs, size=NEAR)
+    return keep(map_arrow(x.join(near, "a").join(y, "b").select("a", "b", "x", "y"), work, "a binary, b binary"), "links")
 
 
 def _blocks(rows: DataFrame, spread: Column) -> DataFrame:

@@ -99,3 +99,14 @@ def test_sample_takes_each_id_once_and_only_those_at_hand(spark):
             own = [r for r in got if r[1] == y]
             assert len(own) == len({r[0] for r in own}) == min(most, len(free)) and {r[0] for r in own} <= set(free)
         assert all(text == f"a text {n}".encode() for n, _, text in got)
+
+
+def test_rounds_over_few_edges_take_few_tasks(spark, conf):
+    from strata.llm.components import components
+
+    conf("spark.sql.shuffle.partitions", "50")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40) if k != 20], "a long, b long")
+    roots = components(edges)
+    assert roots.rdd.getNumPartitions() == 1
+    assert {r.node: r.root for r in roots.collect()} == {k: 1 if k <= 20 else 21 for k in range(1, 41)}
