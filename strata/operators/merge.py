@@ -120,11 +120,12 @@ def merged(
 
 def all_new(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`merged` into a table known to have no rows: all updates are inserts, and a repeated key fails. The rows are written, as they came,
-    and read back: no join follows that would need them by key, so only the keys are shuffled to look for repeated ones."""
-    rows = session.materialize(updates.select(*[c for c in target.columns if c in updates.columns]), "inserts")
-    often = rows.select(*keys).na.drop().groupBy(*keys).agg(F.count("*").alias("_often"))
-    message = F.lit(f"repeated key in updates: {', '.join(keys)}")
-    often.filter(F.when(F.col("_often") > 1, F.raise_error(message)).otherwise(F.lit(False))).count()
+    and read back: no join follows that would need them by key, so nothing but the keys is shuffled, to see that there are as many different
+    ones as the write has counted."""
+    given = updates.select(*[c for c in target.columns if c in updates.columns])
+    rows, seen = session.materialize_counted(given, "inserts", {"keyed": F.count_if(~_has_null(keys))}, session.DENSE)
+    if rows.select(*keys).na.drop().distinct().count() < seen["keyed"]:
+        raise ValueError(f"repeated key in updates: {', '.join(keys)}")
     return target.limit(0).unionByName(rows, allowMissingColumns=True).withColumn("_action", F.lit(INSERT))
 
 

@@ -19,6 +19,9 @@ from strata.functions import fixed_time
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
+#: How tables of many rows are written, whatever the session's codec: whole numbers as differences from the row before, pages by zstd.
+DENSE = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -88,10 +91,12 @@ def counted(df: DataFrame, counts: Mapping[str, Column], write: Callable[[DataFr
     return seen.get
 
 
-def materialize_counted(df: DataFrame, label: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
-    """`materialize`, and aggregates of the rows from the write itself."""
+def materialize_counted(
+    df: DataFrame, label: str, counts: Mapping[str, Column], options: Mapping[str, str] | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """`materialize`, and aggregates of the rows from the write itself. options: of the writer, such as `DENSE`."""
     path = scratch_path(df.sparkSession, label)
-    seen = counted(df, counts, lambda rows: rows.write.parquet(path))
+    seen = counted(df, counts, lambda rows: rows.write.options(**(options or {})).parquet(path))
     return df.sparkSession.read.schema(df.schema).parquet(path), seen
 
 

@@ -102,7 +102,7 @@ def publish(
     def write(rows: DataFrame) -> None:
         # After the counting, which would hide from the writer that the rows are in order already.
         ordered = rows.sortWithinPartitions(PART, *key) if key else rows
-        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**(_looked_up_by(key[0]) if key else {}))
+        writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**session.DENSE, **(_looked_up_by(key[0]) if key else {}))
         writer.partitionBy(PART).parquet(data)
 
     seen = counted(parted, tally.wanted if tally else {}, write)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import merge, star
 from strata.plans import audit, fixtures
 from strata.plans.inputs import Inputs
+from strata.sources import tables
 
 LAST = 8_999_999  # of 60 times the 150,000 orders of the largest given table
 
@@ -96,3 +98,29 @@ def test_first_rows_as_in_any_merge(spark):
     key = lambda r: str(tuple(r))
     new, any_ = merge.all_new(target, updates, ["k"]), merge.merged(target, updates, ["k"], ["v"])
     assert new.dtypes == any_.dtypes and sorted(new.collect(), key=key) == sorted(any_.collect(), key=key)
+
+
+def test_first_rows_are_told_from_repeated_ones_by_counting_keys(spark):
+    target = spark.createDataFrame([], "k long, l long, v string")
+    nulls = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c"), (None, 1, "d"), (1, None, "e"), (1, None, "f")], "k long, l long, v string")
+    assert merge.all_new(target, nulls, ["k", "l"]).count() == 6  # a key with a NULL repeats nothing
+    with pytest.raises(ValueError, match="repeated key in updates: k, l"):
+        merge.all_new(target, nulls.union(nulls.limit(1)), ["k", "l"])
+
+
+def pages(files):
+    """Codec and encodings of a column in each of some Parquet files."""
+    found = [pq.read_metadata(f.removeprefix("file:")).row_group(0).column(0) for f in files]
+    return {(c.compression, "DELTA_BINARY_PACKED" in c.encodings) for c in found}
+
+
+def test_facts_are_written_as_differences_whatever_the_codec(spark, tmp_path, conf):
+    conf("spark.sql.parquet.compression.codec", "snappy")
+    rows = spark.range(300_000).select((F.col("id") * 1_000_000_000_007).alias("k"), F.lit(20010101).alias("date_key"), (F.xxhash64("id") % 10**12).cast("decimal(28,2)").alias("amount"))
+    new = merge.all_new(spark.createDataFrame([], rows.schema), rows, ["k"])
+    assert pages(new.inputFiles()) == {("ZSTD", True)}
+    path = str(tmp_path / "fact")
+    tables.publish(spark, path, rows, datetime(2001, 12, 1), tables.month_part(), key=["k"])
+    held = tables.read_table(spark, path, rows.schema)
+    assert pages(held.inputFiles()) == {("ZSTD", True)}
+    assert held.exceptAll(rows).isEmpty() and new.drop("_action").exceptAll(rows).isEmpty() and held.count() == new.count() == rows.count()
