@@ -57,7 +57,10 @@ def within(updates: DataFrame, key: str, rows: int | None = None, few: int = FEW
     kind = updates.schema[key].dataType
     if not isinstance(kind, (IntegralType, StringType)):
         return F.lit(True)
-    listed = [r[0] for r in updates.select(key).filter(F.col(key).isNotNull()).distinct().limit(few + 1).collect()] if rows is None or rows <= few else None
+    maybe_few = rows is None and updates.agg(F.approx_count_distinct(key)).first()[0] <= 2 * few  # else all keys would be shuffled
+    listed = None
+    if maybe_few or (rows is not None and rows <= few):
+        listed = [r[0] for r in updates.select(key).filter(F.col(key).isNotNull()).distinct().limit(few + 1).collect()]
     if listed is not None and len(listed) <= few:
         return _any([F.col(key) == F.lit(v) for v in sorted(listed)]) if listed else F.lit(False)
     if isinstance(kind, IntegralType):

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import merge, star
+from strata.operators import merge, spans, star
 from strata.plans import audit, fixtures
 from strata.plans.inputs import Inputs
 from strata.sources import tables
@@ -124,3 +124,15 @@ def test_facts_are_written_as_differences_whatever_the_codec(spark, tmp_path, co
     held = tables.read_table(spark, path, rows.schema)
     assert pages(held.inputFiles()) == {("ZSTD", True)}
     assert held.exceptAll(rows).isEmpty() and new.drop("_action").exceptAll(rows).isEmpty() and held.count() == new.count() == rows.count()
+
+
+def test_many_keys_are_not_listed_to_find_their_spans(spark, monkeypatch):
+    many, few = spark.range(1000, 2000).toDF("k"), spark.range(3).crossJoin(spark.range(500).select()).toDF("k")
+    table = spark.range(5000).toDF("k")
+    assert sorted(r.k for r in spans.narrowed(table, few, "k").collect()) == [0, 1, 2]
+
+    def shuffled(_):
+        raise AssertionError("all keys are shuffled")
+
+    monkeypatch.setattr(type(many), "distinct", shuffled)
+    assert spans.narrowed(table, many, "k").agg(F.min("k"), F.max("k"), F.count("*")).first() == (1000, 1999, 1000)
