@@ -359,10 +359,11 @@ def refresh_sales_days(w: Warehouse, now: datetime) -> list[int]:
     if not stale and not gone:
         return []
     sales = w.gold("fact_sales", stale)
-    if not reports.orders_checked(sales).isEmpty():
+    held, seen = materialize_counted(reports.sales_days(sales), "days", {"split": F.sum("split_orders")})  # a row a day
+    if seen["split"]:
         raise ValueError("an order lies on several days of a month")
     versions = F.create_map(*[F.lit(x) for m in stale for x in (m, current[m])]) if stale else F.create_map(F.lit(0), F.lit(0))
-    fresh = reports.sales_days(sales).withColumn("fact_version", F.get(F.map_values(F.map_filter(versions, lambda m, _: m == F.expr("date_key div 100"))), F.lit(0)).cast("bigint"))
+    fresh = held.withColumn("fact_version", F.get(F.map_values(F.map_filter(versions, lambda m, _: m == F.expr("date_key div 100"))), F.lit(0)).cast("bigint"))
     tables.publish(w.spark, path, fresh.select(*schemas.SALES_DAYS.names), now, tables.month_part(), [*stale, *gone])
     return stale
 

@@ -144,21 +144,17 @@ def monthly_sales(fact_sales: DataFrame, dim_date: DataFrame, as_of: date) -> Da
 
 def sales_days(fact_sales: DataFrame) -> DataFrame:
     """Orders, units and revenue of each day of the fact: what the monthly report is summed up from. An order lies on one day, so its
-    counts add up; `orders_checked` tells where that does not hold."""
-    by_order = fact_sales.filter(F.col("date_key").isNotNull()).groupBy("date_key", "source_order_id").agg(
-        F.sum("quantity").alias("units"), F.sum("total_amount").alias("amount")
+    counts add up; `split_orders` tells how many do not: those on several days of the day's month, of which it is the first. Rows are shuffled
+    once, as one for each order and month."""
+    by_order = fact_sales.filter(F.col("date_key").isNotNull()).groupBy(F.expr("date_key div 100").alias("month"), "source_order_id").agg(
+        F.min("date_key").alias("date_key"), F.max("date_key").alias("last"), F.sum("quantity").alias("units"), F.sum("total_amount").alias("amount")
     )
     return by_order.groupBy("date_key").agg(
-        F.count("source_order_id").alias("orders"), F.sum("units").alias("units"), F.sum("amount").cast(DAY_MONEY).alias("amount")
+        F.count("source_order_id").alias("orders"), F.sum("units").alias("units"), F.sum("amount").cast(DAY_MONEY).alias("amount"),
+        F.count_if(F.col("date_key") < F.col("last")).alias("split_orders"),
     )
 
 
-def orders_checked(fact_sales: DataFrame) -> DataFrame:
-    """Orders that lie on several days of one month: they would count on each. Reduced before the shuffle; normally no rows."""
-    days = fact_sales.filter(F.col("date_key").isNotNull()).groupBy(F.expr("date_key div 100").alias("month"), "source_order_id")
-    return days.agg(F.min("date_key").alias("first"), F.max("date_key").alias("last")).filter("first < last")
-
-
 def monthly_from_days(days: DataFrame, dim_date: DataFrame, as_of: date) -> DataFrame:
     """`monthly_sales` from a row a day instead of the fact."""
     calendar = since(dim_date, "full_date", as_of, 12).select("date_key", "full_date", "year", "month", "month_name")

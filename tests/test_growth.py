@@ -136,3 +136,7 @@ def test_many_keys_are_not_listed_to_find_their_spans(spark, monkeypatch):
 
     monkeypatch.setattr(type(many), "distinct", shuffled)
     assert spans.narrowed(table, many, "k").agg(F.min("k"), F.max("k"), F.count("*")).first() == (1000, 1999, 1000)
+
+
+def test_shuffles_of_a_session_are_written_by_zstd(spark):
+    assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"

@@ -82,3 +82,20 @@ def test_an_order_on_several_days_is_refused(spark, tmp_path):
     assert load.refresh_sales_days(w, datetime(2001, 1, 1)) == [200101, 200102]
     days = tables.read_table(spark, w.path("gold", "sales_days"), schemas.SALES_DAYS)
     assert sorted((r.date_key, r.orders) for r in days.collect()) == [(20010105, 2), (20010205, 1)]
+
+
+def test_days_and_their_check_share_one_shuffle_of_the_orders(spark, tmp_path):
+    rows = [(7, 20010105, 2, 1), (7, 20010105, 3, 1), (8, 20010105, 1, 1), (8, 20010205, 1, 1), (9, 20010106, 1, 1), (9, 20010108, 4, 1), (None, 20010107, None, None), (7, None, 9, 9)]
+    path = str(tmp_path / "sales")
+    spark.createDataFrame(rows, "source_order_id long, date_key int, quantity int, amount int").withColumn("total_amount", F.col("amount").cast("decimal(18,2)")).write.parquet(path)
+    days = reports.sales_days(spark.read.parquet(path))
+    assert days._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # orders, days
+    found = sorted((r.date_key, r.orders, r.units, r.split_orders) for r in days.collect())
+    assert found == [(20010105, 2, 6, 0), (20010106, 1, 5, 1), (20010107, 0, None, 0), (20010205, 1, 1, 0)]
+
+
+def test_days_of_a_fact_that_lost_all_rows_are_gone(spark, warehouse):
+    w = warehouse
+    assert load.refresh_sales_days(w, fixtures.NOW) != []
+    tables.publish(spark, w.path("gold", "fact_sales"), w.gold("fact_sales").limit(0), fixtures.NOW, tables.month_part())
+    assert load.refresh_sales_days(w, fixtures.NOW) == [] and report(w) == []
