@@ -11,14 +11,15 @@ from strata.llm.common import keep
 EDGES, TOGETHER = 200_000, 10_000
 
 
-def _gathered(rows: DataFrame, tasks: int | None) -> DataFrame:
+def gathered(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """`rows`, counted to be few, in so many tasks; None leaves them as they are. After a shuffle, whose partitions a task then reads together."""
     return rows.coalesce(tasks) if tasks else rows
 
 
 def _split(least: DataFrame, few: int | None) -> DataFrame:
     """The smallest neighbour of each node, in the form in which a hub's edges don't all meet in one task to get it: broadcast where the
     edges, of which there are at least as many, were counted to be few; else a written table, so that adaptive execution can split the hub."""
-    return F.broadcast(_gathered(least, few)) if few else keep(least, "least").hint("merge")
+    return F.broadcast(gathered(least, few)) if few else keep(least, "least").hint("merge")
 
 
 def _large_star(edges: DataFrame, few: int | None) -> DataFrame:
@@ -31,7 +32,7 @@ def _large_star(edges: DataFrame, few: int | None) -> DataFrame:
 def _small_star(edges: DataFrame, few: int | None) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = _gathered(down.groupBy("u").agg(F.min("v").alias("m")), few)
+    least = gathered(down.groupBy("u").agg(F.min("v").alias("m")), few)
     met = down.join(_split(least, few), "u")
     return met.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
 
@@ -46,13 +47,13 @@ def components(edges: DataFrame) -> DataFrame:
     now = keep(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     seen = now.count()
     few = 1 + seen // TOGETHER if seen <= EDGES else None  # tasks of a round; rounds never add edges
-    now = _gathered(now, few)
+    now = gathered(now, few)
     before = None
     while True:
-        now = keep(_gathered(_small_star(_large_star(now, few), few).filter("a <> b").distinct(), few), "edges")
+        now = keep(gathered(_small_star(_large_star(now, few), few).filter("a <> b").distinct(), few), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return _gathered(leaves.union(now.select("b", "b")).distinct(), few)
+    return gathered(leaves.union(now.select("b", "b")).distinct(), few)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.llm.common import keep, row_key, with_decisions
+from strata.llm.components import TOGETHER, gathered
 from strata.session import BROADCAST_ROWS
 
 #: ASCII white space ends a word; anything else is part of one.
@@ -28,6 +29,21 @@ PASSES, SLACK = 8, 2.0**-14
 REPEATS = 10_000
 
 
+def _kept(df: DataFrame, label: str, **wanted: Column) -> tuple[DataFrame, dict]:
+    """`keep`, and aggregates of the rows from the write itself: no job of their own."""
+    seen = Observation()
+    return keep(df.observe(seen, *[c.alias(name) for name, c in wanted.items()]), label), seen.get
+
+
+def _tasks(rows: int) -> int | None:
+    """Tasks for so many rows; None where they are too many to be gathered or broadcast."""
+    return 1 + rows // TOGETHER if rows <= BROADCAST_ROWS else None
+
+
+def _hinted(rows: DataFrame, few: int | None) -> DataFrame:
+    return F.broadcast(rows) if few else rows
+
+
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, copies: int = COPIES) -> DataFrame:
     """One row a source: source, k (its place by code point from 0, null last), weight, source_size, cap and target, in words.
 
@@ -56,41 +72,41 @@ def _rate(size: Column, tilt: Column, mean: Column, full: Column, copies: int) -
     return F.when(full, F.lit(float(copies))).otherwise(F.exp(F.least(tilt * size / mean, F.log(F.lit(float(copies))))))
 
 
-def solve_tilts(histogram: DataFrame, targets: DataFrame, copies: int = COPIES) -> DataFrame:
+def solve_tilts(histogram: DataFrame, targets: DataFrame, few: int | None, copies: int = COPIES) -> DataFrame:
     """k, tilt, mean and full for every source with words.
 
     histogram: k, size > 0 and n, the number of documents. The rates closest to one (in relative entropy, documents as the base
     measure, at most `copies`) under which the words of each source sum to its target are exp(tilt * size / mean). The dual is
     convex with a diagonal Hessian, one tilt a source; a Newton step is one aggregation over the histogram, its state a
-    written row a source. Steps that leave the bracket known so far are halved.
+    written row a source, and the write tells whether another step is needed. Steps that leave the bracket known so far are halved.
+    few: tasks for a row a source, None where these are too many to broadcast.
     """
-    moments = histogram.groupBy("k").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
+    moments = gathered(histogram.groupBy("k").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean")), few)
     state = keep(
-        targets.join(moments, "k").select(
+        targets.join(_hinted(moments, few), "k").select(
             "k", "target", "mean", (F.col("target") >= F.col("cap") * (1 - 1e-12)).alias("full"),
             F.lit(0.0).alias("tilt"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(1.0).alias("error"),
         ),
         "tilts",
     )
-    # the number of sources, counted here, never changes
-    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
     for _ in range(STEPS):
-        state = keep(_newton(histogram, state, hint, copies), "tilts")
-        if state.filter(~F.col("full") & (F.col("error") > ERROR)).isEmpty():
+        state, seen = _kept(_newton(histogram, state, few, copies), "tilts", open=F.max(~F.col("full") & (F.col("error") > ERROR)))
+        if not seen.get("open"):
             break
     return state.select("k", F.round("tilt", 10).alias("tilt"), "mean", "full")
 
 
-def _newton(histogram: DataFrame, state: DataFrame, hint: Callable[[DataFrame], DataFrame], copies: int) -> DataFrame:
+def _newton(histogram: DataFrame, state: DataFrame, few: int | None, copies: int) -> DataFrame:
     rate = _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"), copies)
     words = F.col("n") * F.col("size") * rate
     now = state.select("k", "target", "mean", "full", "tilt", "low", "high")
-    sums = histogram.join(hint(now.select("k", "mean", "full", "tilt")), "k").groupBy("k").agg(
+    # the state goes through as part of the key, so the sums need no second join with it
+    sums = histogram.join(_hinted(now, few), "k").groupBy(*now.columns).agg(
         F.sum(words).alias("words"),
         # asked of the exponent: exp(log(copies)) may come out below copies
         F.sum(F.when(F.col("tilt") * F.col("size") / F.col("mean") < F.log(F.lit(float(copies))), words * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"),
     )
-    sums = sums.join(hint(now), "k")
+    sums = gathered(sums, few)
     over = F.col("words") - F.col("target")
     bounded = sums.select(
         "*", (F.abs(over) / F.greatest("target", F.lit(1.0))).alias("error"),
@@ -109,39 +125,40 @@ def _bin(place: Column, low: Column) -> Column:
     return F.floor(F.log2((place - low) * float(1 << DOUBLINGS) + 1) * BINS).cast("int")
 
 
-def _reach(fits: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """k, low and cut: a source's units from the lowest place up to bin `cut` add up to the words needed, or to less.
+def _reach(fits: DataFrame, few: int | None, some: int | None) -> DataFrame:
+    """k, low, cut and got: a source's units from the lowest place up to bin `cut` add up to `got`, the words needed or less.
 
-    fits: k, size, place, need; each unit fits by itself, so the lowest one is always taken.
+    fits: k, size, place, need; each unit fits by itself, so the lowest one is always taken. some: tasks for a source's bins, as `few` for one row.
     """
-    lowest = fits.groupBy("k").agg(F.min("place").alias("low"))
-    bins = fits.join(hint(lowest), "k").groupBy("k", "low", _bin(F.col("place"), F.col("low")).alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
-    bins = bins.select("*", F.sum("words").over(Window.partitionBy("k").orderBy("bin")).alias("until"))
-    return bins.groupBy("k", "low").agg(F.max(F.when(F.col("until") <= F.col("need"), F.col("bin")).otherwise(-1)).alias("cut"))
+    lowest = gathered(fits.groupBy("k").agg(F.min("place").alias("low")), few)
+    bins = fits.join(_hinted(lowest, few), "k").groupBy("k", "low", _bin(F.col("place"), F.col("low")).alias("bin")).agg(F.sum("size").alias("words"), F.first("need").alias("need"))
+    bins = gathered(bins, some).select("*", F.sum("words").over(Window.partitionBy("k").orderBy("bin")).alias("until"))
+    within = F.col("until") <= F.col("need")
+    ends = F.max(F.when(within, F.col("bin")).otherwise(-1)).alias("cut"), F.max(F.when(within, F.col("until")).otherwise(0)).alias("got")
+    return gathered(bins.groupBy("k", "low").agg(*ends), few)
 
 
-def _round_off(rated: DataFrame, copies: int) -> tuple[DataFrame, int]:
+def _round_off(rated: DataFrame, few: int | None, some: int | None, copies: int) -> tuple[DataFrame, int]:
     """k, up (1 or -1) and, for each pass, need, low and cut: which units get a copy more or less, see `_moved`; and the number of passes.
 
     The first pass moves units in order of place until the next ones would exceed the words still needed. The passes after it
     do the same with what they left, among units that fit, so long documents next to the border do no harm. They end when no unit fits.
     """
     sums = rated.groupBy("k").agg((F.first("target") - F.sum(F.col("total") * F.col("size"))).alias("gap"), (F.first("target") * SLACK).alias("slack"))
-    state = keep(sums.select("k", "slack", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0")), "gaps")
-    if state.filter("need0 > slack").isEmpty():
+    sums = gathered(sums, few).select("k", "slack", F.signum("gap").cast("int").alias("up"), F.abs("gap").alias("need0"))
+    state, seen = _kept(sums, "gaps", open=F.max(F.col("need0") > F.col("slack")))
+    if not seen.get("open"):
         return state, 0
-    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
-    near = rated.join(hint(state.select("k", "up")), "k").filter(_room(copies) & (F.col("size") > 0)).select("k", "size", _place().alias("place"))
+    near = rated.join(_hinted(state.select("k", "up"), few), "k").filter(_room(copies) & (F.col("size") > 0)).select("k", "size", _place().alias("place"))
     near = keep(near, "near")
     for turn in range(PASSES):
-        still = near.join(hint(state), "k").filter((F.col("size") <= F.col(f"need{turn}")) & (F.col(f"need{turn}") > F.col("slack")) & ~_moved(turn))
-        fits = still.select("k", "size", "place", F.col(f"need{turn}").alias("need"))
-        reach = _reach(fits, hint).withColumnsRenamed({"low": f"low{turn}", "cut": f"cut{turn}"})
-        found = keep(state.join(reach, "k", "left").na.fill({f"low{turn}": 0.0, f"cut{turn}": -1}), "reach")
-        taken = fits.join(hint(found.select("k", f"low{turn}", f"cut{turn}")), "k").filter(_within(turn)).groupBy("k").agg(F.sum("size").alias("got"))
-        left = (F.col(f"need{turn}") - F.coalesce("got", F.lit(0))).alias(f"need{turn + 1}")
-        state = keep(found.join(taken, "k", "left").select(*found.columns, left), "gaps")
-        if state.filter((F.col(f"need{turn + 1}") < F.col(f"need{turn}")) & (F.col(f"need{turn + 1}") > F.col("slack"))).isEmpty():
+        need, left = F.col(f"need{turn}"), F.col(f"need{turn + 1}")
+        still = near.join(_hinted(state, few), "k").filter((F.col("size") <= need) & (need > F.col("slack")) & ~_moved(turn))
+        reach = _reach(still.select("k", "size", "place", need.alias("need")), few, some).withColumnsRenamed({"low": f"low{turn}", "cut": f"cut{turn}"})
+        found = state.join(_hinted(reach, few), "k", "left").na.fill({f"low{turn}": 0.0, f"cut{turn}": -1, "got": 0})
+        found = found.select(*state.columns, f"low{turn}", f"cut{turn}", (need - F.col("got")).alias(f"need{turn + 1}"))
+        state, seen = _kept(found, "gaps", open=F.max((left < need) & (left > F.col("slack"))))
+        if not seen.get("open"):
             break
     return state, turn + 1
 
@@ -219,17 +236,20 @@ def _mixed(docs: DataFrame, weights: Sequence[float], copies: int, id_col: str,
         ((F.xxhash64(F.col(id_col), text).bitwiseAND((1 << 52) - 1)) / F.lit(float(1 << 52))).alias("draw"),
     )
     sized = keep(sized.groupBy("key", "doc_id", "source", "size", "draw").agg(F.count("*").alias("n")), "sized")
-    counts = keep(sized.groupBy("source", "size").agg(F.sum("n").alias("n")), "sizes")
-    targets = keep(source_targets(counts.select("source", (F.col("size") * F.col("n")).alias("size")), weights, copies), "targets")
+    counts, seen = _kept(sized.groupBy("source", "size").agg(F.sum("n").alias("n")), "sizes", rows=F.count("*"))
+    sizes = _tasks(seen.get("rows", 0))
+    targets = source_targets(counts.select("source", (F.col("size") * F.col("n")).alias("size")), weights, copies)
+    targets, seen = _kept(targets, "targets", rows=F.count("*"))
+    # the number of sources never changes
+    few, some = _tasks(seen.get("rows", 0)), _tasks(seen.get("rows", 0) * BINS * DOUBLINGS)
     histogram = counts.filter("size > 0").join(targets.select("source", "k"), counts["source"].eqNullSafe(targets["source"])).select("k", "size", "n")
-    tilts = solve_tilts(keep(histogram, "histogram"), targets, copies)
+    tilts = solve_tilts(keep(gathered(histogram, sizes), "histogram"), targets, few, copies)
     placed = keep(targets.join(tilts, "k", "left").withColumnRenamed("source", "own"), "placed")
     rate = F.when(F.col("size") > 0, _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"), copies)).otherwise(0.0)
     rated = sized.join(placed, sized["source"].eqNullSafe(placed["own"])).select("key", "doc_id", "source", "size", "n", "source_size", "target", "k", rate.alias("rate"), "draw")
     drawn = F.col("rate") * F.col("n") + F.col("draw")
     rated = keep(rated.select("*", F.floor(F.least(drawn, (F.col("n") * copies).cast("double"))).cast("long").alias("total"), (drawn - F.floor(drawn)).alias("part")), "rated")
-    state, passes = _round_off(rated, copies)
-    hint = F.broadcast if state.count() <= BROADCAST_ROWS else (lambda df: df)
-    final = rated.join(hint(state), "k").withColumn("place", _place())
+    state, passes = _round_off(rated, few, some, copies)
+    final = rated.join(_hinted(state, few), "k").withColumn("place", _place())
     times = F.when(F.col("size") > 0, F.col("total") + F.when(_room(copies) & _moved(passes), F.col("up")).otherwise(0)).otherwise(0)
     return final.select("key", "doc_id", "source", "size", "n", "source_size", "target", "rate", times.cast("long").alias("total"))

@@ -374,6 +374,38 @@ def test_newton_steps_converge_quadratically(spark, monkeypatch):
     assert steps.count("tilts") <= 20
 
 
+def test_a_step_of_the_mix_is_one_write_and_few_tasks(spark, conf, monkeypatch):
+    conf("spark.sql.shuffle.partitions", "60")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tracker, kept, count = spark.sparkContext.statusTracker(), [], []
+
+    def tasks(group):
+        found = {s: tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+        return sum(s.numCompletedTasks for s in found.values() if s)
+
+    def counted(df, label, real=mixing.keep):
+        kept.append(label)
+        spark.sparkContext.setJobGroup(f"{label} {len(kept)} of the mix", "")
+        try:
+            return real(df, label)
+        finally:
+            count.append((label, tasks(f"{label} {len(kept)} of the mix")))
+            spark.sparkContext.setJobGroup("beside the mix", "")
+
+    monkeypatch.setattr(mixing, "keep", counted)
+    draw = random.Random(7)
+    rows = [(n, "v " * draw.randrange(1, 400), draw.choice("aabc")) for n in range(600)]
+    spark.sparkContext.setJobGroup("beside the mix", "")
+    try:
+        final = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2))
+        steps = [n for label, n in count if label == "tilts"]
+        assert len(steps) > 2 and max(steps) < 60
+        assert tasks("beside the mix") == 0
+        assert len(final.collect()) == 600
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.fixture(scope="module")
 def archives(spark, tmp_path_factory):
     rows = [(n, f"u{n}", bytearray(f"page {n} ".encode() * 50)) for n in range(8)]
