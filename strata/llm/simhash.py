@@ -83,6 +83,12 @@ def _first_sign(level: int) -> str:
     return f"({own} <> 0 or {sign} % {width} = 0) and ({sign} < {width} or bit_count({part(0)}) > 1)"
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """`rows` as the side of a join that is never broadcast, for tables that grow with the documents. Spark takes exploded rows for as large
+    as they were before, and written ones for as large as their compressed files, and would broadcast many times its limit."""
+    return rows.hint("merge")
+
+
 def near_pairs(prints: DataFrame, max_bits: int = 3, group: int = GROUP) -> DataFrame:
     """a < b, distinct fingerprints that differ in at most `max_bits` (3 or less) bits, each pair once. Column in: fp, distinct.
 
@@ -97,10 +103,10 @@ def near_pairs(prints: DataFrame, max_bits: int = 3, group: int = GROUP) -> Data
     for level in (1, 2, 3):
         members, signs = _signatures(members, level), [*signs, f"s{level}"]
         sizes = members.groupBy(*signs).agg(F.count("*").alias("size")).filter("size > 1")
-        shared = keep(members.join(sizes, signs), "signatures")
+        shared = keep(members.join(_shuffled(sizes), signs), "signatures")
         small = shared if level == 3 else shared.filter(F.col("size") <= group)
         left, right = (small.select(*signs, F.col("fp").alias(c)) for c in ("a", "b"))
-        met = left.join(right, [left[s] == right[s] for s in signs] + [left["a"] < right["b"], F.bit_count(left["a"].bitwiseXOR(right["b"])) <= max_bits])
+        met = left.join(_shuffled(right), [left[s] == right[s] for s in signs] + [left["a"] < right["b"], F.bit_count(left["a"].bitwiseXOR(right["b"])) <= max_bits])
         met = met.select(*(left[s] for s in signs), "a", "b", left["a"].bitwiseXOR(right["b"]).alias("x"))
         met = met.filter(" and ".join(_first_sign(k) for k in range(1, level + 1))).select("a", "b")
         pairs = met if pairs is None else pairs.union(met)
@@ -122,8 +128,8 @@ def simhash_groups(
     columns = dict.fromkeys((id_col, text_col))
     prints, rooted = _rooted(docs.select(*columns), shingle, max_bits, group, id_col, text_col)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = keep(rooted.join(smallest, "root").select("fp", "component_id"), "placed")
-    return prints.join(placed, "fp").select(
+    placed = keep(rooted.join(_shuffled(smallest), "root").select("fp", "component_id"), "placed")
+    return prints.join(_shuffled(placed), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -133,7 +139,7 @@ def _rooted(docs: DataFrame, shingle: int, max_bits: int, group: int, id_col: st
     prints = keep(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     nodes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(near_pairs(nodes, max_bits, group)).withColumnRenamed("node", "fp")
-    return prints, keep(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    return prints, keep(nodes.join(_shuffled(roots), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
 
 
 def one_of_each_group(
@@ -145,8 +151,8 @@ def one_of_each_group(
     """
     prints, rooted = _rooted(docs, shingle, max_bits, group, id_col, text_col)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    chosen = prints.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(order)["key"].alias("key"))
+    chosen = prints.join(_shuffled(rooted.select("fp", "root")), "fp").groupBy("root").agg(F.min(order)["key"].alias("key"))
     often = prints.groupBy("key").agg(F.count("*").alias("rows"))
-    chosen = keep(chosen.select("key").distinct().join(often, "key"), "chosen")
+    chosen = keep(chosen.select("key").distinct().join(_shuffled(often), "key"), "chosen")
     kept = with_decisions(docs, row_key(docs), chosen, "rows")
     return kept.filter("decision = 1").select("row.*").union(kept.filter("decision > 1").dropDuplicates(["key"]).select("row.*"))
