@@ -31,13 +31,13 @@ def training_sample(
 
     Only fitting uses the sample; statistics of a model that are said to be of the corpus do not. Ids are chosen among those with
     a text in `docs` of at most `longest` characters, in order of a hash of the id, so reruns take the same ones; they are
-    broadcast (2 * per_class numbers). A repeated id counts once, with the first of its texts by code point; of several labels of
+    broadcast (2 * per_class numbers), the ids of all documents never. A repeated id counts once, with the first of its texts by code point; of several labels of
     one id each counts. Rows without id, label or text are left out.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
     usable = marked.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.length("text") <= longest)
-    at_hand = usable.join(texts.filter(~held_out(F.col("id"))).select("id").distinct(), "id", "left_semi")
+    at_hand = usable.join(texts.filter(~held_out(F.col("id"))).select("id").distinct().hint("merge"), "id", "left_semi")
     order = [F.xxhash64("id"), F.col("id")]
     chosen = [at_hand.filter(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     found = texts.join(F.broadcast(chosen[0].union(chosen[1])), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
