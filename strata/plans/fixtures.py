@@ -109,5 +109,12 @@ SELECT i.order_item_id AS seq, concat('load_', CAST(o.customer_id AS STRING)) AS
 FROM {src_order_items} i JOIN {src_orders} o ON i.order_id = o.order_id""",
 }
 
+# The same rows where a line's key exceeds a long, as it does from 9.2 million orders on.
+WIDE_RAW = {
+    "order_items": RAW["order_items"].replace(
+        "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey)", "CAST((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS DECIMAL(20,0))"
+    )
+}
+
 # The same events where twice a line's key exceeds a long, as it does from 4.6 million orders on.
 WIDE_HISTORY = {"job_events": HISTORY["job_events"].replace("order_item_id * 2", "CAST(order_item_id AS DECIMAL(20,0)) * 2")}

@@ -39,7 +39,17 @@ class Inputs:
         return self._once(label, lambda: self.spark.sql(sql, **frames))
 
     def raw(self, table: str) -> DataFrame:
-        return self._derived(f"raw {table}", fixtures.RAW[table])
+        wide = table in fixtures.WIDE_RAW and self._wide_lines
+        return self._derived(f"raw {table}", (fixtures.WIDE_RAW if wide else fixtures.RAW)[table])
+
+    @cached_property
+    def _wide_lines(self) -> bool:
+        """Whether the keys that RAW makes of order lines may exceed a long; they are decimals then. Reads four columns' bounds."""
+        columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        bounds = [f(F.col(c).cast("long")) for c in columns for f in (F.min, F.max)]
+        rows, *ends = self.given("lineitem").agg(F.count("*"), *bounds).first()
+        order, line, part, supplier = (max(abs(low or 0), abs(high or 0)) for low, high in zip(ends[::2], ends[1::2]))
+        return (((order * 10 + line) * 1000000 + part) * 10000 + supplier) * 10 + rows >= 2**63
 
     def earlier(self, table: str) -> DataFrame:
         return self._derived(f"earlier {table}", fixtures.EARLIER[table])

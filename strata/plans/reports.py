@@ -15,7 +15,7 @@ from strata.functions import date_key, month_start
 from strata.operators.conform import since
 from strata.operators.numbering import number_rows
 from strata.schemas import DAY_MONEY, REPORT_MONEY
-from strata.session import materialize
+from strata.session import materialize, materialize_counted
 
 
 def web_device(fact_web: DataFrame, dim_device: DataFrame) -> DataFrame:
@@ -110,12 +110,21 @@ def rank_top(aggregate: DataFrame, amount: str, name: str, n: int) -> DataFrame:
     return top.select(F.row_number().over(Window.orderBy(*order)).alias("rank_no"), *aggregate.columns)
 
 
+def _in_money(months: DataFrame, amount: str) -> DataFrame:
+    """A row a month, written, with `amount` as REPORT_MONEY; where a month has more than that holds, as wide as it was summed up."""
+    held, seen = materialize_counted(months, "months", {"most": F.max(F.abs(amount))})
+    most = seen.get("most")
+    fits = most is None or most < 10 ** (REPORT_MONEY.precision - REPORT_MONEY.scale)
+    return held.withColumn(amount, F.col(amount).cast(REPORT_MONEY)) if fits else held
+
+
 def by_month(dated_sales: DataFrame) -> DataFrame:
-    return dated_sales.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
+    months = dated_sales.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
         F.count_distinct("source_order_id").alias("total_orders"),
         F.sum("quantity").cast("bigint").alias("total_items_sold"),
-        F.sum("total_amount").cast(REPORT_MONEY).alias("monthly_revenue"),
+        F.sum("total_amount").alias("monthly_revenue"),
     )
+    return _in_money(months, "monthly_revenue")
 
 
 def top_devices(fact_web: DataFrame, dim_device: DataFrame, n: int = 5) -> DataFrame:

@@ -8,10 +8,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from strata import schemas
 from strata.operators import merge, spans, star
-from strata.plans import audit, fixtures
+from strata.plans import audit, catalog, fixtures, load, reports
 from strata.plans.inputs import Inputs
-from strata.sources import tables
+from strata.sources import files, tables
 
 LAST = 8_999_999  # of 60 times the 150,000 orders of the largest given table
 
@@ -140,3 +141,63 @@ def test_many_keys_are_not_listed_to_find_their_spans(spark, monkeypatch):
 
 def test_shuffles_of_a_session_are_written_by_zstd(spark):
     assert spark.sparkContext.getConf().get("spark.io.compression.codec") == "zstd"
+
+
+FAR = 53_999_999  # the last order of 360 times the largest given table: its lines' keys exceed a long
+
+
+@pytest.fixture()
+def far_lines(spark, tmp_path):
+    """Folder of tables: an order of the last year with four lines, two of them equal, whose revenue exceeds fourteen digits, and one order before."""
+    day = "timestamp_ntz"
+    lines = [(FAR, 7_199_999, 359_999, 1, 50.0, 9e9, "N"), (FAR, 7_199_998, 359_998, 2, 40.0, 9e9, "N"), (FAR, 7_199_998, 359_998, 2, 40.0, 9e9, "N"), (FAR, 7, 7, 7, 3.0, 1.0, "R"), (FAR - 1, 7, 7, 1, 2.0, 5.0, "N")]
+    tables_ = {
+        "lineitem": spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string").withColumn("l_shipdate", F.lit("2001-01-01").cast(day)),
+        "orders": spark.createDataFrame([(FAR, 5_399_999, "2001-01-05"), (FAR - 1, 5_399_999, "2000-06-01")], "o_orderkey long, o_custkey long, d string").select("o_orderkey", "o_custkey", F.col("d").cast(day).alias("o_orderdate")),
+        "customer": spark.createDataFrame([(5_399_999, "c", "m", 1.0)], "c_custkey long, c_name string, c_mktsegment string, c_acctbal double"),
+        "supplier": spark.createDataFrame([(9, "s")], "s_suppkey long, s_name string"),
+        "part": spark.createDataFrame([(k, "p", 1.0) for k in (7, 7_199_998, 7_199_999)], "p_partkey long, p_name string, p_retailprice double"),
+    }
+    for name, rows in tables_.items():
+        rows.write.parquet(str(tmp_path / "far" / f"{name}.parquet"))
+    return str(tmp_path / "far"), lines
+
+
+def line_keys(lines):
+    seen = {}
+    for order, part, supplier, line, *_ in lines:
+        key = (((order * 10 + line) * 1000000 + part) * 10000 + supplier) * 10
+        seen[key] = seen.get(key, -1) + 1
+        yield key + seen[key]
+
+
+def test_line_keys_beyond_a_long_are_decimals_and_others_longs(spark, far_lines, few_lines):
+    path, lines = far_lines
+    keys = sorted(line_keys(lines))
+    assert max(keys) > 2**63 and len(set(keys)) == 5
+    assert sorted(int(r.order_item_id) for r in Inputs(spark, path).raw("order_items").collect()) == keys
+    read = catalog.QUERIES["S2_quantile_ranges"](spark, path)
+    assert sorted(int(r.order_item_id) for r in read.collect()) == keys
+    assert few_lines.raw("order_items").schema["order_item_id"].dataType.typeName() == "long"
+
+
+def test_wide_lines_differ_in_the_width_alone():
+    for table, sql in fixtures.WIDE_RAW.items():
+        narrow = sql.replace("CAST((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS DECIMAL(20,0))", "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey)")
+        assert narrow == fixtures.RAW[table] != sql
+
+
+@pytest.mark.parametrize("query", ["R3_monthly_sales_last_year", "R3_monthly_sales_by_parts"])
+def test_months_hold_a_revenue_of_more_than_fourteen_digits(spark, far_lines, query):
+    months = [tuple(r) for r in catalog.QUERIES[query](spark, far_lines[0]).collect()]
+    assert months == [(date(2001, 1, 1), 2001, 1, "January", 1, 130, 130 * 9 * 10**9)]
+
+
+def test_reports_of_a_revenue_of_more_than_fourteen_digits_are_read_back(spark, far_lines, tmp_path):
+    months = catalog.QUERIES["R3_monthly_sales_last_year"](spark, far_lines[0])
+    w = load.Warehouse(spark, str(tmp_path / "w"))
+    files.write_full(months, w.path("gold", "report_monthly_sales_last_year"))
+    assert [r.monthly_revenue for r in w.report("report_monthly_sales_last_year").collect()] == [130 * 9 * 10**9]
+    small = reports.by_month(spark.createDataFrame([(1, date(2001, 1, 1), 2001, 1, "January", 2)], "source_order_id long, full_date date, year int, month int, month_name string, quantity int").withColumn("total_amount", F.lit(7).cast("decimal(18,2)")))
+    assert small.schema["monthly_revenue"].dataType == schemas.REPORT_MONEY and [r.monthly_revenue for r in small.collect()] == [7]
+    assert reports.by_month(small.limit(0).select(F.lit(1).alias("source_order_id"), F.col("month_start").alias("full_date"), "year", "month", "month_name", F.lit(1).alias("quantity"), F.lit(1).cast("decimal(18,2)").alias("total_amount"))).collect() == []
