@@ -76,7 +76,8 @@ class Warehouse:
         return tables.read_table(self.spark, self.path("gold", table), schemas.GOLD[table], parts)
 
     def report(self, table: str) -> DataFrame:
-        return self.spark.read.schema(schemas.REPORTS[table]).parquet(self.path("gold", table))
+        """As it was written: a month's revenue may be wider than in `schemas.REPORTS`."""
+        return self.spark.read.parquet(self.path("gold", table))
 
     def load_counts(self) -> DataFrame:
         return self.spark.read.parquet(self.path("audit", "load_counts"))

@@ -169,9 +169,9 @@ def monthly_from_days(days: DataFrame, dim_date: DataFrame, as_of: date) -> Data
     calendar = since(dim_date, "full_date", as_of, 12).select("date_key", "full_date", "year", "month", "month_name")
     dated = days.filter(F.col("date_key") >= date_key(F.add_months(F.lit(as_of), -12))).join(F.broadcast(calendar), "date_key")
     months = dated.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
-        F.sum("orders").alias("total_orders"), F.sum("units").cast("bigint").alias("total_items_sold"), F.sum("amount").cast(REPORT_MONEY).alias("monthly_revenue")
+        F.sum("orders").alias("total_orders"), F.sum("units").cast("bigint").alias("total_items_sold"), F.sum("amount").alias("monthly_revenue")
     )
-    return month_order(months)
+    return month_order(_in_money(months, "monthly_revenue"))
 
 
 def month_order(months: DataFrame) -> DataFrame:
