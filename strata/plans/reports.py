@@ -15,7 +15,7 @@ from strata.functions import date_key, month_start
 from strata.operators.conform import since
 from strata.operators.numbering import number_rows
 from strata.schemas import DAY_MONEY, REPORT_MONEY
-from strata.session import materialize, materialize_counted
+from strata.session import materialize
 
 
 def web_device(fact_web: DataFrame, dim_device: DataFrame) -> DataFrame:
@@ -110,21 +110,21 @@ def rank_top(aggregate: DataFrame, amount: str, name: str, n: int) -> DataFrame:
     return top.select(F.row_number().over(Window.orderBy(*order)).alias("rank_no"), *aggregate.columns)
 
 
-def _in_money(months: DataFrame, amount: str) -> DataFrame:
-    """A row a month, written, with `amount` as REPORT_MONEY; where a month has more than that holds, as wide as it was summed up."""
-    held, seen = materialize_counted(months, "months", {"most": F.max(F.abs(amount))})
-    most = seen.get("most")
+def _by_month(dated: DataFrame, amount: str, **sums: Column) -> DataFrame:
+    """Aggregates `sums` and monthly_revenue, the sum of `amount`, of each month: REPORT_MONEY, or where a month has more than that holds, as
+    wide as it is summed up. Which of them is seen from sums by month alone, reduced before the shuffle, ahead of the rest."""
+    month = [month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name"]
+    total = F.sum(amount)
+    most = dated.groupBy(*month).agg(total.alias("total")).agg(F.max(F.abs("total"))).first()[0]
     fits = most is None or most < 10 ** (REPORT_MONEY.precision - REPORT_MONEY.scale)
-    return held.withColumn(amount, F.col(amount).cast(REPORT_MONEY)) if fits else held
+    revenue = total.cast(REPORT_MONEY) if fits else total
+    return dated.groupBy(*month).agg(*[c.alias(n) for n, c in sums.items()], revenue.alias("monthly_revenue"))
 
 
 def by_month(dated_sales: DataFrame) -> DataFrame:
-    months = dated_sales.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
-        F.count_distinct("source_order_id").alias("total_orders"),
-        F.sum("quantity").cast("bigint").alias("total_items_sold"),
-        F.sum("total_amount").alias("monthly_revenue"),
+    return _by_month(
+        dated_sales, "total_amount", total_orders=F.count_distinct("source_order_id"), total_items_sold=F.sum("quantity").cast("bigint")
     )
-    return _in_money(months, "monthly_revenue")
 
 
 def top_devices(fact_web: DataFrame, dim_device: DataFrame, n: int = 5) -> DataFrame:
@@ -168,10 +168,7 @@ def monthly_from_days(days: DataFrame, dim_date: DataFrame, as_of: date) -> Data
     """`monthly_sales` from a row a day instead of the fact."""
     calendar = since(dim_date, "full_date", as_of, 12).select("date_key", "full_date", "year", "month", "month_name")
     dated = days.filter(F.col("date_key") >= date_key(F.add_months(F.lit(as_of), -12))).join(F.broadcast(calendar), "date_key")
-    months = dated.groupBy(month_start(F.col("full_date")).alias("month_start"), "year", "month", "month_name").agg(
-        F.sum("orders").alias("total_orders"), F.sum("units").cast("bigint").alias("total_items_sold"), F.sum("amount").alias("monthly_revenue")
-    )
-    return month_order(_in_money(months, "monthly_revenue"))
+    return month_order(_by_month(dated, "amount", total_orders=F.sum("orders"), total_items_sold=F.sum("units").cast("bigint")))
 
 
 def month_order(months: DataFrame) -> DataFrame:
